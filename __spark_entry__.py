@@ -56,7 +56,8 @@ class _Inputs:
         return silver.silver_sessions(testdata.bronze_sessions(self.spark, self.sf_dir))
 
     def gold(self, name: str) -> DataFrame:
-        return gold.build(f"gold_{name}", self.clicks(), self.campaigns())
+        needs_campaigns = name in ("campaign_performance", "segment_analysis")
+        return gold.build(f"gold_{name}", self.clicks(), self.campaigns() if needs_campaigns else None)
 
     def perf(self) -> DataFrame:
         return self.gold("campaign_performance")

@@ -29,21 +29,19 @@ def parse_times(df: DataFrame, timestamps: Iterable[str] = (), dates: Iterable[s
     return df.withColumns(parsed)
 
 
-def business_hours(moment: Column) -> Column:
+def business_hours(moment: str) -> str:
     """From 09:00:00 to 18:59:59, Monday to Friday."""
-    return F.hour(moment).between(9, 18) & F.dayofweek(moment).between(2, 6)
+    return f"hour({moment}) BETWEEN 9 AND 18 AND dayofweek({moment}) BETWEEN 2 AND 6"
 
 
 def with_calendar(df: DataFrame, moment: str) -> DataFrame:
     """Add the calendar columns of a timestamp (day_of_week: 1 is Sunday)."""
-    ts = F.col(moment)
-    return df.withColumns(
-        {
-            "event_date": F.to_date(ts),
-            "hour_of_day": F.hour(ts),
-            "day_of_week": F.dayofweek(ts),
-            "is_business_hours": business_hours(ts),
-        }
+    return df.selectExpr(
+        "*",
+        f"to_date({moment}) AS event_date",
+        f"hour({moment}) AS hour_of_day",
+        f"dayofweek({moment}) AS day_of_week",
+        f"{business_hours(moment)} AS is_business_hours",
     )
 
 

@@ -1,4 +1,4 @@
-"""The measures of every gold table.
+"""The measures of every gold table, as SQL expressions.
 
 All counts and sums are additive, so they can be taken from events or re-taken from any finer table; ratios are
 always computed last, from sums.
@@ -9,74 +9,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL_COLUMNS = (
-    "impressions", "clicks", "conversions", "dismisses", "deep_links",
-    "conversion_value", "response_time_ms", "events",
-)
+# Of raw interactions. Rows without an action count as events only; unused sums are pruned by the optimizer.
+# The conversion value is NULL, not 0, where there is no conversion.
+EVENT_SUMS = {
+    "impressions": "count_if(action_type = 'impression')",
+    "clicks": "count_if(action_type = 'click')",
+    "conversions": "count_if(action_type = 'conversion')",
+    "dismisses": "count_if(action_type = 'dismiss')",
+    "deep_links": "count_if(action_type = 'deep_link')",
+    "conversion_value": "sum(CASE WHEN action_type = 'conversion' THEN conversion_value END)",
+    "response_time_ms": "sum(response_time_ms)",
+    "events": "count(1)",
+}
+# Of rows that already hold the sums; the types stay what they were.
+CELL_SUMS = {name: f"sum({name})" for name in EVENT_SUMS}
+CELL_SUMS["conversion_value"] = "cast(sum(conversion_value) AS decimal(25,2))"
 
 
-def count_action(action: str) -> Column:
-    """Rows with that action; rows with no action do not count."""
-    return F.count_if(F.col("action_type") == action)
-
-
-def conversion_value() -> Column:
-    """Value of the conversions; NULL when there is none."""
-    return F.sum(F.when(F.col("action_type") == "conversion", F.col("conversion_value")))
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{text} AS {name}") for name, text in expressions.items()]
 
 
 def sums_of_events() -> list[Column]:
-    """The additive measures of raw interactions. Unused ones are pruned by the optimizer."""
-    return [
-        count_action("impression").alias("impressions"),
-        count_action("click").alias("clicks"),
-        count_action("conversion").alias("conversions"),
-        count_action("dismiss").alias("dismisses"),
-        count_action("deep_link").alias("deep_links"),
-        conversion_value().alias("conversion_value"),
-        F.sum("response_time_ms").alias("response_time_ms"),
-        F.count(F.lit(1)).alias("events"),
-    ]
-
-
-def sums_of_cells() -> list[Column]:
-    """The same measures from rows that already hold them; the result types do not widen."""
-    out = []
-    for name in CELL_COLUMNS:
-        total = F.sum(name)
-        if name == "conversion_value":
-            total = total.cast("decimal(25,2)")
-        out.append(total.alias(name))
-    return out
+    return _named(EVENT_SUMS)
 
 
 def totals(df: DataFrame, *keys: str) -> DataFrame:
     """Group events or cells by ``keys``: partial sums before the shuffle, one row per key and task through it."""
-    is_cells = set(CELL_COLUMNS) <= set(df.columns)
-    return df.groupBy(*keys).agg(*(sums_of_cells() if is_cells else sums_of_events()))
+    is_cells = set(EVENT_SUMS) <= set(df.columns)
+    return df.groupBy(*keys).agg(*_named(CELL_SUMS if is_cells else EVENT_SUMS))
 
 
-def percent(part: str, whole: str) -> Column:
+def percent(part: str, whole: str) -> str:
     """part / whole * 100 in double arithmetic, to 2 places; 0 when the whole is 0."""
-    return F.when(F.col(whole) > 0, F.round(F.col(part) / F.col(whole) * 100, 2)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {whole} > 0 THEN round({part} / {whole} * 100, 2) ELSE 0D END"
 
 
-def mean_over_rows(total: str, rows: str) -> Column:
+def mean_over_rows(total: str, rows: str) -> str:
     """total / rows to 2 places. The divisor counts every row, also those whose value is NULL."""
-    return F.when(F.col(rows) > 0, F.round(F.col(total) / F.col(rows), 2)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {rows} > 0 THEN round({total} / {rows}, 2) ELSE 0D END"
 
 
-def cost_per(budget: str, count: str) -> Column:
+def cost_per(budget: str, count: str) -> str:
     """budget / count to 2 places, NULL when the count is 0 or the budget unknown."""
-    return F.when(F.col(count) > 0, F.round(F.col(budget) / F.col(count), 2))
+    return f"CASE WHEN {count} > 0 THEN round({budget} / {count}, 2) END"
 
 
-def exact_ratio(part: Column, whole: Column, factor: int, places: int) -> Column:
+def exact_ratio(part: str, whole: str, factor: int, places: int) -> str:
     """part * factor / whole, rounded half away from zero to ``places``, 0 unless the whole is positive.
 
     Whole-number arithmetic: a decimal quotient would already be rounded once before the final rounding.
     """
-    scale = factor * 10**places
-    rounded = F.call_function("div", F.abs(part) * (2 * scale) + whole, whole * 2) * F.signum(part).cast("bigint")
-    value = (rounded.cast("decimal(20,0)") / F.lit(10**places).cast("decimal(10,0)")).cast(f"decimal(20,{places})")
-    return F.when(whole > 0, value).otherwise(F.lit(0).cast(f"decimal(20,{places})"))
+    doubled = 2 * factor * 10**places
+    rounded = f"cast(signum({part}) AS bigint) * ((abs({part}) * {doubled} + {whole}) div (2 * {whole}))"
+    kind = f"decimal(20,{places})"
+    value = f"cast(cast({rounded} AS decimal(20,0)) / {10**places} AS {kind})"
+    return f"CASE WHEN {whole} > 0 THEN {value} ELSE cast(0 AS {kind}) END"

@@ -7,36 +7,33 @@ of every table, from which all eight follow without touching the interactions ag
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campflow.functions import measures as M
 
-Outputs = dict[str, Callable[[], Column]]
-
-_PERIOD: Outputs = {
-    "impressions": lambda: F.col("impressions"),
-    "clicks": lambda: F.col("clicks"),
-    "conversions": lambda: F.col("conversions"),
-    "total_events": lambda: F.col("events"),
-    "ctr": lambda: M.percent("clicks", "impressions"),
+_PERIOD = {
+    "impressions": "impressions",
+    "clicks": "clicks",
+    "conversions": "conversions",
+    "total_events": "events",
+    "ctr": M.percent("clicks", "impressions"),
 }
-_TOTAL: Outputs = {
-    "total_impressions": lambda: F.col("impressions"),
-    "total_clicks": lambda: F.col("clicks"),
-    "total_conversions": lambda: F.col("conversions"),
-    "total_dismisses": lambda: F.col("dismisses"),
-    "total_deep_links": lambda: F.col("deep_links"),
-    "total_conversion_value": lambda: F.col("conversion_value"),
-    "sum_response_time_ms": lambda: F.col("response_time_ms"),
-    "total_events": lambda: F.col("events"),
-    "avg_response_time_ms": lambda: M.mean_over_rows("response_time_ms", "events"),
-    "ctr": lambda: M.percent("clicks", "impressions"),
-    "conversion_rate": lambda: M.percent("conversions", "clicks"),
-    "cost_per_click": lambda: M.cost_per("budget_brl", "clicks"),
+_TOTAL = {
+    "total_impressions": "impressions",
+    "total_clicks": "clicks",
+    "total_conversions": "conversions",
+    "total_dismisses": "dismisses",
+    "total_deep_links": "deep_links",
+    "total_conversion_value": "conversion_value",
+    "sum_response_time_ms": "response_time_ms",
+    "total_events": "events",
+    "avg_response_time_ms": M.mean_over_rows("response_time_ms", "events"),
+    "ctr": M.percent("clicks", "impressions"),
+    "conversion_rate": M.percent("conversions", "clicks"),
+    "cost_per_click": M.cost_per("budget_brl", "clicks"),
 }
 _LATENCY = (
     "total_impressions", "total_clicks", "sum_response_time_ms", "total_events", "avg_response_time_ms", "ctr",
@@ -108,7 +105,7 @@ _CAMPAIGN_ATTRIBUTES = (
 def _finish(summed: DataFrame, name: str, keys: tuple[str, ...] | None = None) -> DataFrame:
     table = TABLES[name]
     known = _PERIOD if table.outputs == tuple(_PERIOD) else _TOTAL
-    return summed.select(*(keys or table.group), *[known[c]().alias(c) for c in table.outputs])
+    return summed.selectExpr(*(keys or table.group), *[f"{known[c]} AS {c}" for c in table.outputs])
 
 
 def _simple(source: DataFrame, name: str) -> DataFrame:
@@ -170,8 +167,8 @@ def daily_kpis(source: DataFrame) -> DataFrame:
     return days if source.isStreaming else days.orderBy("event_date")
 
 
-def build(name: str, source: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One gold table by name."""
+def build(name: str, source: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
+    """One gold table by name; ``campaigns`` is needed for campaign performance and segments only."""
     if name == "gold_campaign_performance":
         return campaign_performance(source, campaigns)
     if name == "gold_segment_analysis":
@@ -209,12 +206,10 @@ def activity_cells(clicks: DataFrame) -> DataFrame:
         name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own)
         for name, own in _CELL_SETS.items()
     }
-    label = F.lit(None).cast("string")
-    for name, number in ids.items():
-        label = F.when(F.col("_set") == number, name).otherwise(label)
+    names = " ".join(f"WHEN {number} THEN '{name}'" for name, number in ids.items())
     grouped = minutes.groupingSets([[F.col(k) for k in own] for own in _CELL_SETS.values()], *[F.col(k) for k in keys])
     cells = grouped.agg(F.grouping_id().alias("_set"), *M.sums_of_events())
-    return cells.select(label.alias("cell_set"), *keys, *M.CELL_COLUMNS)
+    return cells.selectExpr(f"CASE _set {names} END AS cell_set", *keys, *M.EVENT_SUMS)
 
 
 def build_from_cells(name: str, cells: DataFrame, campaigns: DataFrame) -> DataFrame:

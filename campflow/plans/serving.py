@@ -30,14 +30,14 @@ _COMPARED = (
 def kpis_summary(daily: DataFrame) -> DataFrame:
     """Key figures over all days; one row of zeros when there are none."""
     names = ("total_impressions", "total_clicks", "total_conversions", "total_events", "sum_response_time_ms")
-    sums = daily.agg(*[F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias(n) for n in names])
-    return sums.select(
+    sums = daily.agg(*[F.expr(f"coalesce(sum({n}), 0L) AS {n}") for n in names])
+    return sums.selectExpr(
         "total_impressions",
         "total_clicks",
-        exact_ratio(F.col("total_clicks"), F.col("total_impressions"), 100, 2).alias("ctr"),
+        f"{exact_ratio('total_clicks', 'total_impressions', 100, 2)} AS ctr",
         "total_conversions",
         "total_events",
-        exact_ratio(F.col("sum_response_time_ms"), F.col("total_events"), 1, 0).alias("avg_response_time_ms"),
+        f"{exact_ratio('sum_response_time_ms', 'total_events', 1, 0)} AS avg_response_time_ms",
     )
 
 
@@ -84,10 +84,10 @@ def campaigns_performance(perf: DataFrame) -> DataFrame:
 
 def _over_campaigns(series: DataFrame, *keys: str) -> DataFrame:
     sums = series.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("impressions", "clicks", "conversions", "total_events")]
+        *[F.expr(f"sum({c}) AS {c}") for c in ("impressions", "clicks", "conversions", "total_events")]
     )
-    ctr = exact_ratio(F.col("clicks"), F.col("impressions"), 100, 2).alias("ctr")
-    return sums.select(*keys, "impressions", "clicks", "conversions", ctr, "total_events")
+    ctr = f"{exact_ratio('clicks', 'impressions', 100, 2)} AS ctr"
+    return sums.selectExpr(*keys, "impressions", "clicks", "conversions", ctr, "total_events")
 
 
 def hourly(hourly_metrics: DataFrame, campaign_id: str | None = None, n: int = 168) -> DataFrame:

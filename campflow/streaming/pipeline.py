@@ -38,9 +38,9 @@ def hourly_windows(clicks: DataFrame, lateness: str = "7 days") -> DataFrame:
         .agg(*M.sums_of_events())
         .withColumns({"event_date": F.to_date("_hour.start"), "hour_of_day": F.hour("_hour.start")})
     )
-    return hours.select(
+    return hours.selectExpr(
         "campaign_id", "campaign_name", "event_date", "hour_of_day", "impressions", "clicks", "conversions",
-        F.col("events").alias("total_events"), M.percent("clicks", "impressions").alias("ctr"),
+        "events AS total_events", f"{M.percent('clicks', 'impressions')} AS ctr",
     )
 
 
