@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="campflow-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="campflow-")
