@@ -22,7 +22,7 @@ from campflow.operators import changes, sessions  # noqa: E402
 from campflow.operators.dedup import dedup  # noqa: E402
 from campflow.operators.quality import quality_report  # noqa: E402
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
-from campflow.session import configure, work_dir  # noqa: E402
+from campflow.session import configure, size_shuffles, work_dir  # noqa: E402
 from campflow.sources import sinks, synth, testdata  # noqa: E402
 from campflow.streaming.pipeline import gold_stream, hourly_windows  # noqa: E402
 from campflow.streaming.replica import read_replica, stream_upsert  # noqa: E402
@@ -45,6 +45,7 @@ class _Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = configure(spark), sf_dir
+        size_shuffles(testdata.read_events(spark, sf_dir))
 
     def clicks(self) -> DataFrame:
         return silver.silver_clicks(testdata.bronze_clicks(self.spark, self.sf_dir))

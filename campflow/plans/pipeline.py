@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 
 from campflow.plans import gold, silver
+from campflow.session import size_shuffles
 from campflow.sources.sinks import compact, materialize
 
 _BY_DATE = {"gold_campaign_hourly_metrics", "gold_campaign_minute_metrics"}
@@ -34,30 +36,30 @@ def run_batch(
     silver, once by group on the way into the activity cells. All gold tables then come from the stored cells.
     Each stage reads what the one before has written, so a lost executor costs a task, not the chain.
     """
+    size_shuffles(clicks, campaigns, sessions)
     seen = {name: Observation(name) for name in ("silver_clicks", "silver_campaigns", "silver_sessions")}
-    tables: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame, *partition_by: str) -> None:
-        tables[name] = materialize(df, f"{target}/{name}", partition_by=partition_by)
-
-    # a fixed choice among differing copies: a recomputed task must not change what other tasks have seen.
-    # Left unpartitioned, so that the files are cut where AQE cut the deduplication's own shuffle.
-    store(
-        "silver_clicks",
-        silver.silver_clicks(clicks, metrics=seen["silver_clicks"], order_by=["event_timestamp"]),
-    )
-    store("silver_campaigns", silver.silver_campaigns(campaigns, as_of, metrics=seen["silver_campaigns"]))
-    store(
-        "silver_sessions",
-        silver.silver_sessions(sessions, metrics=seen["silver_sessions"], order_by=["session_start"]),
-    )
-    store("activity_cells", gold.activity_cells(tables["silver_clicks"]), "cell_set")
-    for name in gold.TABLES:
-        df = gold.build_from_cells(name, tables["activity_cells"], tables["silver_campaigns"])
-        if name in _BY_DATE:
-            store(name, compact(df, ["event_date"]), "event_date")
-        else:
-            store(name, df)
-    return PipelineResult(tables, {name: observation.get for name, observation in seen.items()})
 
+    def store(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
+        return materialize(df, f"{target}/{name}", partition_by=partition_by)
 
+    def store_gold(name: str) -> DataFrame:
+        df = gold.build_from_cells(name, tables["activity_cells"], tables["silver_campaigns"])
+        return store(name, compact(df, ["event_date"]), "event_date") if name in _BY_DATE else store(name, df)
+
+    # Datasets that do not need each other are written at the same time: most are too small to fill a cluster.
+    with ThreadPoolExecutor(len(gold.TABLES)) as pool:
+        # a fixed choice among differing copies: a recomputed task must not change what other tasks have seen.
+        # Left unpartitioned, so that the files are cut where AQE cut the deduplication's own shuffle.
+        cleaned = {
+            "silver_clicks": silver.silver_clicks(
+                clicks, metrics=seen["silver_clicks"], order_by=["event_timestamp"]
+            ),
+            "silver_campaigns": silver.silver_campaigns(campaigns, as_of, metrics=seen["silver_campaigns"]),
+            "silver_sessions": silver.silver_sessions(
+                sessions, metrics=seen["silver_sessions"], order_by=["session_start"]
+            ),
+        }
+        tables = dict(zip(cleaned, pool.map(store, cleaned, cleaned.values())))
+        tables["activity_cells"] = store("activity_cells", gold.activity_cells(tables["silver_clicks"]), "cell_set")
+        tables |= dict(zip(gold.TABLES, list(pool.map(store_gold, gold.TABLES))))
+    return PipelineResult(tables, {name: observation.get for name, observation in seen.items()})

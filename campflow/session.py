@@ -6,9 +6,10 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -21,7 +22,6 @@ def local_session(cores: int | str = "*", app_name: str = "campflow", **conf: st
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -33,14 +33,53 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Times carry no offset, so hours and dates are only stable under a fixed zone. The shuffle width is left
     alone on a cluster (AQE coalesces from whatever the cluster sets); a local run needs no more than its cores.
+
+    HotSpot never compiles a method above 8,000 bytes of bytecode. Wide projections fused into one method pass that
+    easily and are then interpreted, several times slower; with the limit set, Spark splits them instead.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    if spark.conf.get(_STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+        # the default keeps all state of a task in heap memory, which ids kept without end outgrow
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     context = spark.sparkContext
     if context.master.startswith("local"):
         spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
+_MB = 1024 * 1024
+_INPUT_PER_TASK, _MAX_SPLIT = 128 * _MB, 1024 * _MB
+_MAX_MAPS, _MAX_REDUCERS = 200_000, 40_000
+
+
+def shuffle_plan(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a batch that shuffles ``input_bytes`` of files once.
+
+    AQE merges small reduce partitions but splits large ones only in joins, so it has to start from enough of them:
+    one per 128 MB. Both sides are bounded, because a shuffle has maps times reducers blocks; above some terabytes
+    the splits grow to 1 GB and the reduce partitions beyond 128 MB, where sorting spills to disk.
+    """
+    reducers = min(max(-(-input_bytes // _INPUT_PER_TASK), cores), _MAX_REDUCERS)
+    split = min(max(-(-input_bytes // _MAX_MAPS), _INPUT_PER_TASK), _MAX_SPLIT)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
+def size_shuffles(*inputs: DataFrame) -> None:
+    """Apply :func:`shuffle_plan` to the session for the files that ``inputs`` read."""
+    spark = inputs[0].sparkSession
+    total = 0
+    for df in inputs:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    for key, value in shuffle_plan(total, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder of the cluster, for written tables and stream checkpoints.
 

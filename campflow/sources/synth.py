@@ -35,13 +35,20 @@ OFFERS = 5
 class _Draws:
     """Whole-number draws for the row numbered ``number``."""
 
-    def __init__(self, number: Column, seed: int, topic: str) -> None:
-        self._text = F.concat(F.lit(f"{seed}:{topic}:"), number.cast("string"), F.lit(":"))
+    def __init__(self, number: str, seed: int, topic: str) -> None:
+        self._number, self._prefix, self._topic = number, f"{seed}:{topic}:", topic
+
+    def digests(self, draws: int) -> list[Column]:
+        """The hashes behind the first ``draws`` draws, as columns to be selected before drawing from them."""
+        text = f"'{self._prefix}', {self._number}, ':'"
+        return [F.expr(f"md5(binary(concat({text}, {i})))").alias(self._column(i)) for i in range((draws + 3) // 4)]
+
+    def _column(self, group: int) -> str:
+        return f"_{self._topic}_{group}"
 
     def word(self, draw: int) -> Column:
         """Draw number ``draw``: eight hex digits of the hash of its group of four."""
-        digest = F.md5(F.concat(self._text, F.lit(str(draw // 4))).cast("binary"))
-        return F.conv(F.substring(digest, 1 + 8 * (draw % 4), 8), 16, 10).cast("bigint")
+        return F.expr(f"bigint(conv(substr({self._column(draw // 4)}, {1 + 8 * (draw % 4)}, 8), 16, 10))")
 
     def below(self, draw: int, n: int) -> Column:
         return self.word(draw) % n
@@ -54,18 +61,19 @@ def _pick(index: Column, values: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def _weighted(draw: Column, weights: tuple[int, ...]) -> Column:
-    """Index of the weight that ``draw`` (below their sum) falls into."""
-    upper, chain = 0, None
-    for index, weight in enumerate(weights[:-1]):
-        upper += weight
-        chain = (F.when if chain is None else chain.when)(draw < upper, index)
-    return chain.otherwise(len(weights) - 1)
+def _weighted(draw: Column, weights: tuple[int, ...], values: tuple[object, ...]) -> Column:
+    """The value that ``draw`` (below the sum of the weights) falls on, each spread as wide as its weight.
+
+    A lookup, not a chain of comparisons: each comparison would compute the draw anew.
+    """
+    spread = [repr(value) for value, weight in zip(values, weights) for _ in range(weight)]
+    return F.element_at(F.expr(f"array({', '.join(spread)})"), (draw + 1).cast("int"))
 
 
 def _coded(prefix: str, index: Column, width: int) -> Column:
-    # format_string rather than lpad: a number wider than the padding must not be cut
-    return F.format_string(f"{prefix}%0{width}d", index)
+    # never narrower than the number itself: lpad would cut it
+    text = index.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
 
 
 def _campaign(index: Column) -> dict[str, Column]:
@@ -78,21 +86,23 @@ def _campaign(index: Column) -> dict[str, Column]:
     }
 
 
-def _session(index: Column, seed: int) -> dict[str, Column]:
-    """Attributes of a session of the pool, from its index alone."""
+def _with_session(df: DataFrame, index: str, seed: int) -> DataFrame:
+    """Add the attributes of the session of the pool numbered ``index``, from that number alone."""
     draws = _Draws(index, seed, "session")
-    region = draws.below(0, REGIONS)
-    return {
-        "session_id": _coded("SESS-", index, 12),
-        "customer_id": F.concat(F.lit("CUST-"), draws.between(1, 100000, 999999).cast("string")),
-        "device_id": _coded("DEV-", draws.word(2), 10),
-        "device_os": _pick(_weighted(draws.below(3, sum(DEVICE_WEIGHTS)), DEVICE_WEIGHTS), DEVICE_SYSTEMS),
-        "app_version": _pick(draws.below(4, len(APP_VERSIONS)), APP_VERSIONS),
-        "geo_region": F.concat(F.lit("Region "), region.cast("string")),
-        "geo_city": F.concat(
-            F.lit("City "), region.cast("string"), F.lit("-"), draws.below(5, CITIES_PER_REGION).cast("string")
+    hashed = df.select("*", *draws.digests(6))
+    region = draws.below(0, REGIONS).cast("string")
+    return hashed.select(
+        *df.columns,
+        _coded("SESS-", F.col(index), 12).alias("session_id"),
+        F.concat(F.lit("CUST-"), draws.between(1, 100000, 999999).cast("string")).alias("customer_id"),
+        _coded("DEV-", draws.word(2), 10).alias("device_id"),
+        _weighted(draws.below(3, sum(DEVICE_WEIGHTS)), DEVICE_WEIGHTS, DEVICE_SYSTEMS).alias("device_os"),
+        _pick(draws.below(4, len(APP_VERSIONS)), APP_VERSIONS).alias("app_version"),
+        F.concat(F.lit("Region "), region).alias("geo_region"),
+        F.concat(F.lit("City "), region, F.lit("-"), draws.below(5, CITIES_PER_REGION).cast("string")).alias(
+            "geo_city"
         ),
-    }
+    )
 
 
 def _conversion_cents(category: Column, word: Column) -> Column:
@@ -113,14 +123,14 @@ def clicks_of(
 ) -> DataFrame:
     """One raw interaction for each row of ``df`` (batch or stream), a function of the row's ``number``."""
     base = base or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    n = F.col("_n")
-    draws = _Draws(n, seed, "click")
-    drawn = df.select(F.col(number).cast("bigint").alias("_n")).select(
+    draws = _Draws("_n", seed, "click")
+    numbered = df.select(F.col(number).cast("bigint").alias("_n"))
+    drawn = numbered.select("_n", *draws.digests(14)).select(
         "_n",
         draws.below(0, campaigns).alias("_campaign"),
         draws.below(1, sessions).alias("_session"),
-        _pick(_weighted(draws.below(2, sum(ACTION_WEIGHTS)), ACTION_WEIGHTS), ACTION_TYPES).alias("action_type"),
-        _weighted(draws.below(3, sum(HOUR_WEIGHTS)), HOUR_WEIGHTS).alias("_hour"),
+        _weighted(draws.below(2, sum(ACTION_WEIGHTS)), ACTION_WEIGHTS, ACTION_TYPES).alias("action_type"),
+        _weighted(draws.below(3, sum(HOUR_WEIGHTS)), HOUR_WEIGHTS, tuple(range(24))).alias("_hour"),
         draws.below(4, 3600).alias("_second"),
         draws.below(5, DAYS_BACK + 1).alias("_days"),
         draws.below(6, SCREENS).alias("_screen"),
@@ -132,17 +142,17 @@ def clicks_of(
         draws.word(12).alias("_value"),
         draws.between(13, 1, OFFERS).alias("_offer"),
     )
-    campaign, session = _campaign(F.col("_campaign")), _session(F.col("_session"), seed)
+    campaign = _campaign(F.col("_campaign"))
     day = F.date_sub(F.lit(base.date().isoformat()).cast("date"), F.col("_days").cast("int"))
-    time = F.format_string("T%02d:%02d:%02d", "_hour", F.floor(F.col("_second") / 60), F.col("_second") % 60)
+    minute, second = F.floor(F.col("_second") / 60), F.col("_second") % 60
+    time = F.concat(_coded("T", F.col("_hour"), 2), _coded(":", minute, 2), _coded(":", second, 2))
     converted = F.col("action_type") == "conversion"
     cents = _conversion_cents(campaign["campaign_category"], F.col("_value"))
     columns = {
         **campaign,
-        **session,
-        "event_id": _coded("EVT-", n, 16),
+        "event_id": _coded("EVT-", F.col("_n"), 16),
         "event_timestamp": F.concat(day.cast("string"), time),
-        "offer_id": F.concat(F.format_string("OFR-%06d", "_campaign"), F.format_string("-%03d", "_offer")),
+        "offer_id": F.concat(_coded("OFR-", F.col("_campaign"), 6), _coded("-", F.col("_offer"), 3)),
         "action_element": F.when(F.col("action_type").isin("click", "deep_link", "conversion"), F.col("_element")),
         "screen_name": F.concat(F.lit("screen "), F.col("_screen").cast("string")),
         # a step of 1 to 9 around the ring of screens never ends on the screen itself
@@ -154,7 +164,8 @@ def clicks_of(
             converted, F.concat(F.lit("Product "), campaign["campaign_category"])
         ).otherwise(F.lit("")),
     }
-    return drawn.select(*[columns.get(f.name, F.col(f.name)).alias(f.name) for f in BRONZE_CLICKS.fields])
+    placed = _with_session(drawn, "_session", seed)
+    return placed.select(*[columns.get(f.name, F.col(f.name)).alias(f.name) for f in BRONZE_CLICKS.fields])
 
 
 def synth_clicks(spark: SparkSession, n: int, partitions: int | None = None, **shape: object) -> DataFrame:
@@ -166,12 +177,11 @@ def synth_clicks(spark: SparkSession, n: int, partitions: int | None = None, **s
 def synth_campaigns(spark: SparkSession, n: int = 12, seed: int = 0, base_date: dt.date | None = None) -> DataFrame:
     """Metadata of ``n`` campaigns: begun 10 to 60 days ago, 30 to 90 days long."""
     base_date = base_date or dt.datetime.now(dt.timezone.utc).date()
-    index = F.col("id")
-    draws = _Draws(index, seed, "campaign")
+    draws = _Draws("id", seed, "campaign")
     today = F.lit(base_date.isoformat()).cast("date")
     start = F.date_sub(today, draws.between(0, 10, 60).cast("int"))
     end = F.date_add(start, draws.between(1, 30, 90).cast("int"))
-    attributes = _campaign(index)
+    attributes = _campaign(F.col("id"))
     segment = _pick(draws.below(2, len(SEGMENTS)), SEGMENTS)
     columns = {
         **attributes,
@@ -183,10 +193,10 @@ def synth_campaigns(spark: SparkSession, n: int = 12, seed: int = 0, base_date:
         "is_active": end >= today,
         "created_by": F.concat(F.lit("team "), draws.below(4, 3).cast("string")),
     }
-    return spark.range(n).select(*[columns[f.name].alias(f.name) for f in BRONZE_CAMPAIGNS.fields])
+    hashed = spark.range(n).select("id", *draws.digests(5))
+    return hashed.select(*[columns[f.name].alias(f.name) for f in BRONZE_CAMPAIGNS.fields])
 
 
 def synth_sessions(spark: SparkSession, n: int = 50_000, seed: int = 0) -> DataFrame:
     """The pool that interactions pick their sessions from: fixed attributes, no events yet."""
-    columns = _session(F.col("id"), seed)
-    return spark.range(n).select(*[column.alias(name) for name, column in columns.items()])
+    return _with_session(spark.range(n), "id", seed).drop("id")

@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 from campflow.operators.dedup import dedup
 from campflow.operators.topk import top_k
 from campflow.plans import gold, silver
-from campflow.session import work_dir
+from campflow.session import shuffle_plan, size_shuffles, work_dir
 from campflow.sources import testdata
 
 
@@ -74,6 +74,19 @@ def test_one_campaign_is_found_by_the_scan(spark, sf_dir):
     assert "EqualTo(campaign_id,CMP-007)" in text
 
 
+def test_shuffles_are_sized_by_the_input(spark, sf_dir):
+    def sized(size):
+        return [int(v) for v in shuffle_plan(size, 8).values()]
+
+    gb, tb = 1024**3, 1024**4
+    assert sized(1) == [8, gb // 8]
+    assert sized(100 * gb) == [800, gb // 8]
+    reducers, split = sized(100 * tb)
+    assert reducers == 40_000 and 100 * tb / split <= 200_000 and split < gb
+    size_shuffles(testdata.bronze_clicks(spark, sf_dir))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "8"
+
+
 class _Session:
     """A stand-in with the two things that tell where to work."""
 
