@@ -20,7 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from campflow.functions.columns import json_safe  # noqa: E402
 from campflow.operators import changes, sessions  # noqa: E402
 from campflow.operators.dedup import dedup  # noqa: E402
-from campflow.operators.quality import quality_report  # noqa: E402
+from campflow.operators.quality import quality_report, uniqueness_report  # noqa: E402
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
 from campflow.session import configure, size_shuffles, work_dir  # noqa: E402
 from campflow.sources import sinks, synth, testdata  # noqa: E402
@@ -106,11 +106,16 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 
 def _quality(i: _Inputs) -> DataFrame:
-    return (
-        quality_report(testdata.bronze_clicks(i.spark, i.sf_dir), silver.CLICK_RULES, "clicks")
-        .unionAll(quality_report(testdata.bronze_campaigns(i.spark, i.sf_dir), silver.CAMPAIGN_RULES, "campaigns"))
-        .unionAll(quality_report(testdata.bronze_sessions(i.spark, i.sf_dir), silver.SESSION_RULES, "sessions"))
-    )
+    campaigns = testdata.bronze_campaigns(i.spark, i.sf_dir)
+    reports = [
+        quality_report(testdata.bronze_clicks(i.spark, i.sf_dir), silver.CLICK_RULES + silver.CLICK_PARSING, "clicks"),
+        quality_report(campaigns, silver.CAMPAIGN_RULES + silver.CAMPAIGN_PARSING, "campaigns"),
+        uniqueness_report(campaigns, ["campaign_id"], "campaigns"),
+        quality_report(
+            testdata.bronze_sessions(i.spark, i.sf_dir), silver.SESSION_RULES + silver.SESSION_PARSING, "sessions"
+        ),
+    ]
+    return reduce(DataFrame.unionAll, reports)
 
 
 def _kpi_changes(i: _Inputs) -> DataFrame:
@@ -520,7 +525,23 @@ def _checks() -> dict[str, str]:
   UNION ALL SELECT 'clicks', 'valid_campaign_id', 'drop', campaign_id IS NOT NULL FROM bronze_clicks
   UNION ALL SELECT 'clicks', 'valid_action_type', 'warn', coalesce(action_type IN
    ('impression', 'click', 'dismiss', 'swipe', 'deep_link', 'conversion'), false) FROM bronze_clicks
+  UNION ALL SELECT 'clicks', 'readable_event_timestamp', 'warn', event_timestamp IS NULL
+   OR TRY_CAST(event_timestamp AS TIMESTAMP) IS NOT NULL FROM bronze_clicks
+  UNION ALL SELECT 'clicks', 'readable_conversion_value', 'warn', conversion_value IS NULL
+   OR TRY_CAST(conversion_value AS DECIMAL(15,2)) IS NOT NULL FROM bronze_clicks
   UNION ALL SELECT 'campaigns', 'valid_campaign_id', 'drop', campaign_id IS NOT NULL FROM bronze_campaigns
+  UNION ALL SELECT 'campaigns', 'readable_campaign_start_date', 'warn', campaign_start_date IS NULL
+   OR TRY_CAST(campaign_start_date AS DATE) IS NOT NULL FROM bronze_campaigns
+  UNION ALL SELECT 'campaigns', 'readable_campaign_end_date', 'warn', campaign_end_date IS NULL
+   OR TRY_CAST(campaign_end_date AS DATE) IS NOT NULL FROM bronze_campaigns
+  UNION ALL SELECT 'campaigns', 'readable_budget_brl', 'warn', budget_brl IS NULL
+   OR TRY_CAST(budget_brl AS DECIMAL(15,2)) IS NOT NULL FROM bronze_campaigns
+  UNION ALL SELECT 'campaigns', 'unique_campaign_id', 'warn', count(*) OVER (PARTITION BY campaign_id) = 1
+   FROM bronze_campaigns
+  UNION ALL SELECT 'sessions', 'readable_session_start', 'warn', session_start IS NULL
+   OR TRY_CAST(session_start AS TIMESTAMP) IS NOT NULL FROM bronze_sessions
+  UNION ALL SELECT 'sessions', 'readable_session_end', 'warn', session_end IS NULL
+   OR TRY_CAST(session_end AS TIMESTAMP) IS NOT NULL FROM bronze_sessions
   UNION ALL SELECT 'sessions', 'valid_session_id', 'drop', session_id IS NOT NULL FROM bronze_sessions"""
     silver_clicks = (
         "SELECT * EXCLUDE (minute_of_hour), CAST(NULL AS VARCHAR) AS conversion_product FROM silver_clicks"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -54,6 +54,24 @@ def expect_or_drop(df: DataFrame, name: str, condition: str, into: Observation |
     return drop_failed(df if into is None else counted(df, [rule], into), [rule])
 
 
+def parse_rule(column: str, parsed: str) -> Rule:
+    """Warns of values that ``parsed``, an expression over the column, turns into NULL."""
+    return Rule(f"readable_{column}", f"{column} IS NULL OR {parsed} IS NOT NULL")
+
+
+def uniqueness_report(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFrame:
+    """The report row of a rule that a key occurs once; all rows of a repeated key fail."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.selectExpr("n", "n > 1 AS repeated").agg(
+        F.lit(dataset).alias("dataset"),
+        F.lit("unique_" + "_".join(keys)).alias("rule"),
+        F.lit("warn").alias("action"),
+        F.expr("coalesce(sum(n) FILTER (WHERE NOT repeated), 0L)").alias("passed"),
+        F.expr("coalesce(sum(n) FILTER (WHERE repeated), 0L)").alias("failed"),
+        F.lit(0).cast("bigint").alias("dropped"),
+    )
+
+
 def quality_report(df: DataFrame, rules: Iterable[Rule], dataset: str) -> DataFrame:
     """One row per rule (dataset, rule, action, passed, failed, dropped), from a single pass over ``df``."""
     rules = list(rules)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from campflow.functions import columns as C
 from campflow.operators.dedup import dedup, dedup_within
-from campflow.operators.quality import Rule, counted, drop_failed
+from campflow.operators.quality import Rule, counted, drop_failed, parse_rule
 from campflow.sources.schemas import ACTION_TYPES
 
 CLICK_RULES = (
@@ -21,6 +21,21 @@ CLICK_RULES = (
 CAMPAIGN_RULES = (Rule("valid_campaign_id", "campaign_id IS NOT NULL", drops=True),)
 SESSION_RULES = (Rule("valid_session_id", "session_id IS NOT NULL", drops=True),)
 
+# Not rules of the datasets but of their raw form: values that become NULL when typed.
+CLICK_PARSING = (
+    parse_rule("event_timestamp", "try_to_timestamp(event_timestamp)"),
+    parse_rule("conversion_value", "try_cast(conversion_value AS decimal(15,2))"),
+)
+CAMPAIGN_PARSING = (
+    parse_rule("campaign_start_date", "try_cast(campaign_start_date AS date)"),
+    parse_rule("campaign_end_date", "try_cast(campaign_end_date AS date)"),
+    parse_rule("budget_brl", "try_cast(budget_brl AS decimal(15,2))"),
+)
+SESSION_PARSING = (
+    parse_rule("session_start", "try_to_timestamp(session_start)"),
+    parse_rule("session_end", "try_to_timestamp(session_end)"),
+)
+
 
 def _screened(df: DataFrame, rules: Sequence[Rule], metrics: Observation | str | None) -> DataFrame:
     # before the deduplication: a bad copy can then never displace a good one, and fewer rows are shuffled
@@ -33,20 +48,22 @@ def silver_clicks(
     metrics: Observation | str | None = None,
     order_by: Sequence[str] = (),
     forget_after: str | None = None,
+    spread: int = 1,
 ) -> DataFrame:
     """Typed interactions, one row per event_id, with calendar columns.
 
     ``order_by`` fixes which of several differing copies is kept (batch). ``forget_after`` bounds the state of a
     stream: an event_id may then come back after that much event time; without it ids are kept for ever.
+    ``spread`` is for streams in which single ids come in very many copies (see :func:`dedup`).
     """
     df = C.ensure_columns(bronze, {"conversion_value": C.MONEY, "conversion_product": "string"})
     df = _screened(df, CLICK_RULES, metrics)
     df = C.parse_times(df, timestamps=["event_timestamp"])
     df = C.cast_columns(df, {"response_time_ms": "int", "conversion_value": C.MONEY})
     if forget_after is not None:
-        df = dedup_within(df, ["event_id"], "event_timestamp", forget_after)
+        df = dedup_within(df, ["event_id"], "event_timestamp", forget_after, spread)
     else:
-        df = dedup(df, ["event_id"], order_by)
+        df = dedup(df, ["event_id"], order_by, spread)
     # derived columns come after the shuffle of the deduplication, not through it
     return C.with_calendar(df, "event_timestamp")
 
@@ -84,6 +101,7 @@ def silver_sessions(
     metrics: Observation | str | None = None,
     order_by: Sequence[str] = (),
     forget_after: str | None = None,
+    spread: int = 1,
 ) -> DataFrame:
     """Typed sessions, one row per session_id, with length and engagement.
 
@@ -93,8 +111,8 @@ def silver_sessions(
     df = C.parse_times(df, timestamps=["session_start", "session_end"])
     df = C.cast_columns(df, {"total_events": "int", "total_clicks": "int"})
     if forget_after is not None:
-        df = dedup_within(df, ["session_id"], "session_start", forget_after)
+        df = dedup_within(df, ["session_id"], "session_start", forget_after, spread)
     else:
-        df = dedup(df, ["session_id"], order_by)
+        df = dedup(df, ["session_id"], order_by, spread)
     df = df.withColumn("session_duration_minutes", C.minutes_between("session_start", "session_end"))
     return df.withColumn("engagement_level", C.engagement("total_clicks", "session_duration_minutes"))

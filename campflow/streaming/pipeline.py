@@ -63,10 +63,10 @@ class Layout:
 
 
 def start_silver(
-    bronze: DataFrame, layout: Layout, trigger: str | None = None, forget_after: str | None = None
+    bronze: DataFrame, layout: Layout, trigger: str | None = None, forget_after: str | None = None, spread: int = 1
 ) -> StreamingQuery:
     """Clean the raw interactions into files that the gold queries follow."""
-    clean = silver_clicks(bronze, metrics="silver_clicks", forget_after=forget_after)
+    clean = silver_clicks(bronze, metrics="silver_clicks", forget_after=forget_after, spread=spread)
     return start(clean, layout.data("silver_clicks"), layout.checkpoint("silver_clicks"), trigger=trigger)
 
 
@@ -81,7 +81,12 @@ def start_gold(
 
 
 def refresh(
-    spark: SparkSession, bronze: DataFrame, campaigns: DataFrame, root: str, forget_after: str | None = None
+    spark: SparkSession,
+    bronze: DataFrame,
+    campaigns: DataFrame,
+    root: str,
+    forget_after: str | None = None,
+    spread: int = 1,
 ) -> tuple[Layout, dict[str, DataFrame]]:
     """Full refresh: recompute every table from all raw interactions, under new folders and new checkpoints.
 
@@ -90,7 +95,7 @@ def refresh(
     """
     layout = Layout.new(root)
     clean = silver_clicks(bronze)
-    finish(start_silver(bronze, layout, forget_after=forget_after))
+    finish(start_silver(bronze, layout, forget_after=forget_after, spread=spread))
     queries = [start_gold(spark, name, clean, campaigns, layout) for name in gold.TABLES]
     for query in queries:
         finish(query)

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from campflow.functions.measures import exact_ratio
+from campflow.operators.sessions import sessions_from_events
+from campflow.plans.answers import Dashboard
 from campflow.plans import dashboard, gold, pipeline, serving, silver
 from campflow.session import work_dir
 from campflow.sources import synth
@@ -241,12 +243,11 @@ def test_every_table_accounts_for_every_event(spark, seed):
 def test_run_batch(spark, clicks, campaigns):
     base = dt.datetime(2024, 2, 15)
     raw = synth.synth_clicks(spark, 500, seed=3, base=base, sessions=20)
-    from campflow.operators.sessions import sessions_from_events
-
     bad = raw.limit(5).withColumn("campaign_id", F.lit(None).cast("string"))
+    folder = work_dir(spark, "batch")
     result = pipeline.run_batch(
-        raw.unionAll(bad), synth.synth_campaigns(spark, 12, 3, base.date()), sessions_from_events(raw),
-        work_dir(spark, "batch"), base.date(),
+        raw.unionAll(bad), synth.synth_campaigns(spark, 12, 3, base.date()), sessions_from_events(raw), folder,
+        base.date(),
     )
     assert set(result.tables) >= set(gold.TABLES)
     assert result.quality["silver_clicks"] == {
@@ -256,3 +257,17 @@ def test_run_batch(spark, clicks, campaigns):
     perf = result.tables["gold_campaign_performance"]
     direct = gold.campaign_performance(silver.silver_clicks(raw), result.tables["silver_campaigns"])
     assert perf.exceptAll(direct).count() == 0 and direct.exceptAll(perf).count() == 0
+
+    asked = Dashboard.stored(spark, folder)
+    assert asked.kpis_summary().first().total_events == 500
+    assert asked.campaigns_performance().count() == 12 and asked.campaigns_search("campaign 1").count() == 3
+    assert asked.channels().count() == 4 and asked.ab_test().count() == 3 and asked.geo().count() > 0
+    assert asked.segments().agg(F.sum("total_events")).first()[0] == 500
+    days = asked.kpis_daily().collect()
+    assert days == sorted(days, key=lambda r: r.event_date, reverse=True) and isinstance(days[0].total_clicks, float)
+    hour = asked.campaigns_hourly().first()
+    detail = asked.hour_detail(hour.event_date, int(hour.hour_of_day))
+    assert 0 < detail["top_campaigns"].count() <= 5 and detail["channel_breakdown"].count() > 0
+    assert asked.campaigns_trend("minute", "CMP-000003").count() > 0
+    both = asked.compare("CMP-000003", "CMP-000004")
+    assert both["campaigns"].count() == 2 and {r.side for r in both["hours"].collect()} == {1.0, 2.0}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from campflow.functions import columns as C
 from campflow.operators.dedup import dedup
-from campflow.operators.quality import Rule, expect, expect_or_drop, quality_report
+from campflow.operators.quality import Rule, expect, expect_or_drop, parse_rule, quality_report, uniqueness_report
 from campflow.plans import silver
 from campflow.sources import readers, schemas, sinks
 from campflow.session import work_dir
@@ -154,6 +154,14 @@ def test_quality_report(spark):
     assert [(r.passed, r.failed) for r in empty] == [(0, 0), (0, 0)]
 
 
+def test_uniqueness_and_readability(spark):
+    df = spark.createDataFrame([("a", "2024-01-01"), ("a", "soon"), ("b", None)], "k string, d string")
+    assert tuple(uniqueness_report(df, ["k"], "d").first()) == ("d", "unique_k", "warn", 1, 2, 0)
+    assert tuple(uniqueness_report(df.filter("false"), ["k"], "d").first())[3:] == (0, 0, 0)
+    rule = parse_rule("d", "try_cast(d AS date)")
+    assert tuple(quality_report(df, [rule], "d").first()) == ("d", "readable_d", "warn", 2, 1, 0)
+
+
 def test_metrics_of_a_silver_write(spark):
     seen = Observation("clicks")
     raw = clicks(spark, {"event_id": None}, {"event_id": "e3", "action_type": "hover"})

@@ -96,6 +96,25 @@ def test_bounded_state(spark, sf_dir, bronze, batch_clicks):
     assert same(spark.read.schema(clean.schema).parquet(f"{folder}/data"), batch_clicks)
 
 
+@pytest.mark.parametrize("options", [{}, {"forget_after": "40 days"}])
+def test_hot_ids_are_spread(spark, sf_dir, batch_clicks, options):
+    """A third of the rows are copies of one event."""
+    folder = work_dir(spark, "hot")
+    events = testdata.read_events(spark, sf_dir)
+    copies = events.filter("event_id = 77").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    events.unionAll(copies).repartition(8).write.parquet(f"{folder}/raw")
+    raw = testdata.bronze_clicks(spark, sf_dir, testdata.stream_events(spark, f"{folder}/raw", files_per_batch=4))
+    clean = silver.silver_clicks(raw, spread=4, **options)
+    finish(start(clean, f"{folder}/data", f"{folder}/checkpoint"))
+    assert same(spark.read.schema(clean.schema).parquet(f"{folder}/data"), batch_clicks)
+    if not options:
+        changed = gold_stream("gold_daily_kpis", silver.silver_clicks(raw, spread=4), None)
+        finish(stream_upsert(changed, f"{folder}/days", ["event_date"], f"{folder}/days-checkpoint"))
+        assert same(
+            read_replica(spark, f"{folder}/days", ["event_date"], changed.schema), gold.daily_kpis(batch_clicks)
+        )
+
+
 def test_windows_close_once(spark, bronze, batch_clicks):
     folder = work_dir(spark, "windows")
     hours = hourly_windows(silver.silver_clicks(bronze), "30 days")
