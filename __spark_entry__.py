@@ -31,7 +31,7 @@ from campflow.streaming.run import finish, start  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-02-15"
-CAMPAIGN, OTHER = "CMP-007", "CMP-042"
+CAMPAIGN, SECOND, UNLISTED = "CMP-000000000007", "CMP-000000000012", "CMP-000000000003"
 DAY, HOUR = "2024-01-15", 10
 BEFORE, AFTER = "2024-01-20 12:30:00", "2024-01-05 00:30:00"
 FLUSH_EVERY = 3000
@@ -84,7 +84,7 @@ class _Inputs:
         return dedup(testdata.bronze_clicks(self.spark, self.sf_dir), ["event_id"])
 
     def fragments(self) -> DataFrame:
-        numbered = self.raw_events().withColumn("_sequence", F.substring("event_id", 5, 10).cast("bigint"))
+        numbered = self.raw_events().withColumn("_sequence", F.expr("bigint(substr(event_id, 5))"))
         flushed = sessions.with_flush_number(numbered, "_sequence", FLUSH_EVERY)
         return sessions.session_fragments(flushed, arrival=["event_id"])
 
@@ -201,16 +201,16 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "search_blank": lambda i: serving.search_campaigns(i.perf(), "  "),
         "hour_detail_top": lambda i: serving.hour_detail_top(i.hourly(), DAY, HOUR),
         "hour_detail_channels": lambda i: serving.hour_detail_channels(i.perf(), i.hourly(), DAY, HOUR),
-        "compare_perf": lambda i: serving.compare_campaigns(i.perf(), CAMPAIGN, OTHER),
-        "compare_hours": lambda i: serving.compare_hours(i.hourly(), CAMPAIGN, OTHER),
+        "compare_perf": lambda i: serving.compare_campaigns(i.perf(), CAMPAIGN, UNLISTED),
+        "compare_hours": lambda i: serving.compare_hours(i.hourly(), CAMPAIGN, UNLISTED),
         "json_safe_campaigns": lambda i: json_safe(serving.campaigns_performance(i.perf())),
         "json_safe_daily": lambda i: json_safe(serving.kpis_daily(i.daily())),
         # work of the dashboard itself
         "trend_series_hour": lambda i: dashboard.trend_series(serving.hourly(i.hourly()), "hour"),
         "trend_series_minute": lambda i: dashboard.trend_series(serving.minutely(i.minutely()), "minute"),
         "cross_filter_top": lambda i: dashboard.cross_filter_top(i.perf(), "push", "varejo"),
-        "compare_metrics": lambda i: dashboard.compare_metrics(i.perf(), CAMPAIGN, "CMP-012"),
-        "compare_series": lambda i: dashboard.compare_hourly(i.hourly(), CAMPAIGN, "CMP-012"),
+        "compare_metrics": lambda i: dashboard.compare_metrics(i.perf(), CAMPAIGN, SECOND),
+        "compare_series": lambda i: dashboard.compare_hourly(i.hourly(), CAMPAIGN, SECOND),
         "channel_share": lambda i: dashboard.share_of_max(
             serving.hour_detail_channels(i.perf(), i.hourly(), DAY, HOUR), "clicks"
         ),
@@ -264,15 +264,15 @@ WITH raw AS (
  SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events
  UNION ALL SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events WHERE event_id % 50 = 0),
 bronze_clicks AS (
- SELECT concat('EVT-', lpad(CAST(event_id AS VARCHAR), 10, '0')) AS event_id,
+ SELECT concat('EVT-', lpad(CAST(event_id AS VARCHAR), 16, '0')) AS event_id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
-  concat('CUST-', lpad(CAST(user_id AS VARCHAR), 6, '0')) AS customer_id,
-  concat('SESS-', lpad(CAST((event_id // 12) AS VARCHAR), 8, '0')) AS session_id,
+  concat('CUST-', lpad(CAST(user_id AS VARCHAR), 12, '0')) AS customer_id,
+  concat('SESS-', lpad(CAST((event_id // 12) AS VARCHAR), 16, '0')) AS session_id,
   concat('DEV-', lpad(CAST(user_id * 31 % 100000 AS VARCHAR), 6, '0')) AS device_id,
   CASE WHEN user_id % 20 < 9 THEN 'iOS' ELSE 'Android' END AS device_os,
   concat('8.', CAST(9 + user_id % 4 AS VARCHAR), '.0') AS app_version,
   CASE WHEN k = 98 THEN NULL
-       ELSE concat('CMP-', lpad(CAST((event_id * 7 + user_id) % 45 AS VARCHAR), 3, '0')) END AS campaign_id,
+       ELSE concat('CMP-', lpad(CAST((event_id * 7 + user_id) % 45 AS VARCHAR), 12, '0')) END AS campaign_id,
   concat('Campaign ', CAST((event_id * 7 + user_id) % 45 AS VARCHAR)) AS campaign_name,
   CASE (event_id * 7 + user_id) % 45 % 4 WHEN 0 THEN 'push' WHEN 1 THEN 'in_app_banner'
        WHEN 2 THEN 'in_app_modal' ELSE 'story' END AS campaign_channel,
@@ -286,15 +286,15 @@ bronze_clicks AS (
  FROM raw JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey),
 bronze_campaigns AS (
- SELECT concat('CMP-', lpad(CAST(p_partkey AS VARCHAR), 3, '0')) AS campaign_id,
-  concat('Campaign ', CAST(p_partkey AS VARCHAR)) AS campaign_name, p_type AS campaign_category,
-  CASE p_partkey % 4 WHEN 0 THEN 'push' WHEN 1 THEN 'in_app_banner' WHEN 2 THEN 'in_app_modal'
+ SELECT concat('CMP-', lpad(CAST(p_partkey + 5 AS VARCHAR), 12, '0')) AS campaign_id,
+  concat('Campaign ', CAST(p_partkey + 5 AS VARCHAR)) AS campaign_name, p_type AS campaign_category,
+  CASE (p_partkey + 5) % 4 WHEN 0 THEN 'push' WHEN 1 THEN 'in_app_banner' WHEN 2 THEN 'in_app_modal'
        ELSE 'story' END AS campaign_channel,
   CAST(DATE '2024-01-01' - CAST(p_size AS INT) AS VARCHAR) AS campaign_start_date,
-  CAST(DATE '2024-02-01' + CAST(p_partkey AS INT) AS VARCHAR) AS campaign_end_date,
+  CAST(DATE '2024-02-01' + CAST(p_partkey % 40 AS INT) AS VARCHAR) AS campaign_end_date,
   CASE p_size % 4 WHEN 0 THEN 'varejo' WHEN 1 THEN 'alta_renda' WHEN 2 THEN 'private' ELSE 'pj' END AS target_segment,
-  p_retailprice * 100 AS budget_brl, p_partkey >= 15 AS is_active
- FROM part WHERE p_partkey < 40),
+  p_retailprice * 100 AS budget_brl, p_partkey % 40 >= 15 AS is_active
+ FROM part),
 bronze_sessions AS (
  SELECT session_id, min_by(customer_id, event_id) AS customer_id, min_by(device_id, event_id) AS device_id,
   min_by(device_os, event_id) AS device_os, min_by(app_version, event_id) AS app_version,
@@ -493,7 +493,7 @@ def _checks() -> dict[str, str]:
         f"SELECT {i} AS position, '{m}' AS metric, CAST(a.{m} AS DOUBLE) AS value1, CAST(b.{m} AS DOUBLE) AS value2,"
         f" CAST(sign(coalesce(CAST(a.{m} AS DOUBLE), 0) - coalesce(CAST(b.{m} AS DOUBLE), 0)) AS DOUBLE) AS trend"
         f" FROM gold_campaign_performance a, gold_campaign_performance b"
-        f" WHERE a.campaign_id = '{CAMPAIGN}' AND b.campaign_id = 'CMP-012'"
+        f" WHERE a.campaign_id = '{CAMPAIGN}' AND b.campaign_id = '{SECOND}'"
         for i, m in enumerate(metrics, 1)
     )
     kpi_changes = " UNION ALL ".join(
@@ -509,7 +509,7 @@ def _checks() -> dict[str, str]:
   AS _change_type FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
  UNION ALL SELECT *, CASE WHEN ({key}) IN (SELECT ({key}) FROM a) THEN 'update_preimage' ELSE 'delete' END
   AS _change_type FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""
-    fragments = f"""SELECT session_id, CAST(CAST(substr(event_id, 5, 10) AS BIGINT) // {FLUSH_EVERY} AS BIGINT)
+    fragments = f"""SELECT session_id, CAST(CAST(substr(event_id, 5) AS BIGINT) // {FLUSH_EVERY} AS BIGINT)
   AS flush_number, min_by(customer_id, event_id) AS customer_id, min_by(device_id, event_id) AS device_id,
   min_by(device_os, event_id) AS device_os, min_by(app_version, event_id) AS app_version,
   min_by(geo_region, event_id) AS geo_region, min_by(geo_city, event_id) AS geo_city,
@@ -580,8 +580,8 @@ def _checks() -> dict[str, str]:
         "hour_detail_top": hour_top,
         "hour_detail_channels": hour_channels,
         "compare_perf": f"""SELECT CASE campaign_id WHEN '{CAMPAIGN}' THEN 1 ELSE 2 END AS side, {_PERF_COLUMNS}
- FROM gold_campaign_performance WHERE campaign_id IN ('{CAMPAIGN}', '{OTHER}')""",
-        "compare_hours": f"{side(1, CAMPAIGN)} UNION ALL {side(2, OTHER)}",
+ FROM gold_campaign_performance WHERE campaign_id IN ('{CAMPAIGN}', '{UNLISTED}')""",
+        "compare_hours": f"{side(1, CAMPAIGN)} UNION ALL {side(2, UNLISTED)}",
         "json_safe_campaigns": "SELECT campaign_id, campaign_name, campaign_category, campaign_channel,"
         f" target_segment, {doubles('budget_brl, is_active, ' + ', '.join(_PERF_COLUMNS.split(', ')[6:]))}"
         " FROM (SELECT * REPLACE (CAST(is_active AS INT) AS is_active) FROM gold_campaign_performance)",
@@ -601,7 +601,7 @@ def _checks() -> dict[str, str]:
         "compare_series": f"""SELECT CAST(coalesce(l.event_date, r.event_date) AS VARCHAR) || ' '
    || lpad(CAST(coalesce(l.hour_of_day, r.hour_of_day) AS VARCHAR), 2, '0') || ':00' AS label,
   coalesce(l.clicks, 0) AS clicks1, coalesce(r.clicks, 0) AS clicks2
- FROM ({side(1, CAMPAIGN)}) l FULL OUTER JOIN ({side(2, 'CMP-012')}) r
+ FROM ({side(1, CAMPAIGN)}) l FULL OUTER JOIN ({side(2, SECOND)}) r
   ON l.event_date = r.event_date AND l.hour_of_day = r.hour_of_day""",
         "channel_share": "SELECT *, clicks / (SELECT greatest(coalesce(max(clicks), 1), 1) FROM"
         f" ({hour_channels})) * 100 AS share FROM ({hour_channels})",

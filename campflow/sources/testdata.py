@@ -27,14 +27,14 @@ def _channel(number: str) -> str:
 
 
 _CLICK_COLUMNS = (
-    "concat('EVT-', lpad(string(event_id), 10, '0')) AS event_id",
+    "concat('EVT-', lpad(string(event_id), 16, '0')) AS event_id",
     "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS event_timestamp",
-    "concat('CUST-', lpad(string(user_id), 6, '0')) AS customer_id",
-    "concat('SESS-', lpad(string(event_id div 12), 8, '0')) AS session_id",
+    "concat('CUST-', lpad(string(user_id), 12, '0')) AS customer_id",
+    "concat('SESS-', lpad(string(event_id div 12), 16, '0')) AS session_id",
     "concat('DEV-', lpad(string(user_id * 31 % 100000), 6, '0')) AS device_id",
     "if(user_id % 20 < 9, 'iOS', 'Android') AS device_os",
     "concat('8.', 9 + user_id % 4, '.0') AS app_version",
-    "if(k = 98, NULL, concat('CMP-', lpad(string(c), 3, '0'))) AS campaign_id",
+    "if(k = 98, NULL, concat('CMP-', lpad(string(c), 12, '0'))) AS campaign_id",
     "concat('Campaign ', c) AS campaign_name",
     f"{_channel('c')} AS campaign_channel",
     """CASE event_type WHEN 'view' THEN 'impression' WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'conversion'
@@ -47,17 +47,18 @@ _CLICK_COLUMNS = (
     "if(k = 97, NULL, 50 + (k * 7) % 750) AS response_time_ms",
     "if(event_type = 'purchase', value, double(0)) AS conversion_value",
 )
+# Part 0 is campaign 5: the events of campaigns 0 to 4 have no metadata, and most metadata has no events.
 _CAMPAIGN_COLUMNS = (
-    "concat('CMP-', lpad(string(p_partkey), 3, '0')) AS campaign_id",
-    "concat('Campaign ', p_partkey) AS campaign_name",
+    "concat('CMP-', lpad(string(p_partkey + 5), 12, '0')) AS campaign_id",
+    "concat('Campaign ', p_partkey + 5) AS campaign_name",
     "p_type AS campaign_category",
-    f"{_channel('p_partkey')} AS campaign_channel",
+    f"{_channel('(p_partkey + 5)')} AS campaign_channel",
     "string(date_sub(date'2024-01-01', p_size)) AS campaign_start_date",
-    "string(date_add(date'2024-02-01', int(p_partkey))) AS campaign_end_date",
+    "string(date_add(date'2024-02-01', int(p_partkey % 40))) AS campaign_end_date",
     """CASE p_size % 4 WHEN 0 THEN 'varejo' WHEN 1 THEN 'alta_renda' WHEN 2 THEN 'private' ELSE 'pj' END
        AS target_segment""",
     "p_retailprice * 100 AS budget_brl",
-    "p_partkey >= 15 AS is_active",
+    "p_partkey % 40 >= 15 AS is_active",
 )
 
 
@@ -97,8 +98,8 @@ def bronze_clicks(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
 
 
 def bronze_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Campaign metadata from the first forty parts."""
-    return _table(spark, sf_dir, "part", _PART).filter("p_partkey < 40").selectExpr(*_CAMPAIGN_COLUMNS)
+    """Campaign metadata, one campaign for each part."""
+    return _table(spark, sf_dir, "part", _PART).selectExpr(*_CAMPAIGN_COLUMNS)
 
 
 def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,8 +70,8 @@ def test_one_campaign_is_found_by_the_scan(spark, sf_dir):
     gold.campaign_hourly_metrics(silver.silver_clicks(testdata.bronze_clicks(spark, sf_dir))).write.parquet(folder)
     from campflow.plans import serving
 
-    text = plan(serving.hourly(spark.read.parquet(folder), "CMP-007"))
-    assert "EqualTo(campaign_id,CMP-007)" in text
+    text = plan(serving.hourly(spark.read.parquet(folder), contract.CAMPAIGN))
+    assert f"EqualTo(campaign_id,{contract.CAMPAIGN})" in text
 
 
 def test_shuffles_are_sized_by_the_input(spark, sf_dir):
