@@ -34,7 +34,7 @@ AS_OF = "2024-02-15"
 CAMPAIGN, SECOND, UNLISTED = "CMP-000000000007", "CMP-000000000012", "CMP-000000000003"
 DAY, HOUR = "2024-01-15", 10
 BEFORE, AFTER = "2024-01-20 12:30:00", "2024-01-05 00:30:00"
-FLUSH_EVERY = 3000
+FLUSH_EVERY = 1000  # cuts through sessions of twelve events
 SYNTH = {"seed": 7, "base": dt.datetime(2024, 2, 15), "campaigns": 12, "sessions": 50_000}
 
 _GOLD = {name.removeprefix("gold_"): name for name in gold.TABLES}
