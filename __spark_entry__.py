@@ -28,6 +28,14 @@ from campflow.streaming.pipeline import gold_stream, hourly_windows  # noqa: E40
 from campflow.streaming.replica import read_replica, stream_upsert  # noqa: E402
 from campflow.streaming.run import finish, start  # noqa: E402
 
+try:  # the operators for training text can be left out of an installation
+    import corpus_pipeline
+    from campflow.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "campflow.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2024-02-15"
@@ -254,7 +262,8 @@ def queries() -> dict[str, Query]:
     def bind(definition: Callable[[_Inputs], DataFrame]) -> Query:
         return lambda spark, sf_dir: definition(_Inputs(spark, sf_dir))
 
-    return {name: bind(definition) for name, definition in _definitions().items()}
+    own = {name: bind(definition) for name, definition in _definitions().items()}
+    return own | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 # --- checking SQL -----------------------------------------------------------------------------------------------
@@ -712,4 +721,6 @@ def oracle_sql() -> dict[str, str]:
   max(event_timestamp) AS session_end, CAST(count(*) AS INT) AS total_events,
   CAST(sum(CASE WHEN action_type = 'click' THEN 1 ELSE 0 END) AS INT) AS total_clicks
  FROM synthetic GROUP BY session_id"""
+    if llm:
+        out |= llm.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
     return out
