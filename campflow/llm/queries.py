@@ -7,8 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import mixing, simhash
+from campflow.llm import mixing, quality, simhash, tokens
 from campflow.llm.common import read_table
+from campflow.session import work_dir
+
+
+def tokenizer_file() -> str:
+    """The vocabulary file of the queries, where it is installed on each machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the ids of ``docs``, read the files back, and describe what they hold."""
+    folder = work_dir(spark, "tokens")
+    tokens.write_tokens(docs, folder, tokenizer_file())
+    return tokens.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(spark, read_table(spark, sf_dir, "documents"))
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return out.select("doc_id", *counts, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +47,8 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_files": _op4,
+    "op6_quality_rules": _op6,
     "op9_mix_sources": _op9,
     "op10_simhash_groups": _op10,
 }
