@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import mixing, quality, simhash, tokens
+from campflow.llm import decontaminate, mixing, quality, repeats, simhash, tokens
 from campflow.llm.common import read_table
 from campflow.session import work_dir
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_spans(read_table(spark, sf_dir, "documents"))
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select("doc_id", "first_ids", "spans", size.alias("repeated_bytes"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_file() -> str:
     """The vocabulary file of the queries, where it is installed on each machine."""
     import public_tokenizers
@@ -47,6 +57,8 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_repeats": _op1,
+    "op3_benchmark_leaks": _op3,
     "op4_token_files": _op4,
     "op6_quality_rules": _op6,
     "op9_mix_sources": _op9,
@@ -56,6 +68,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    # all items against all documents, without the search
+    "op3_benchmark_leaks": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d)),
+iss AS (SELECT DISTINCT item_id, array_to_string(w[k : k + 4], ' ') AS shingle
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM i)),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM iss GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM ds JOIN iss USING (shingle) JOIN sizes USING (item_id) GROUP BY doc_id, item_id, n_shingles
+HAVING count(*) / n_shingles >= 0.8""",
     "op9_mix_sources": f"""
 WITH sized AS (SELECT doc_id, source, CAST(coalesce(len({_WORDS}), 0) AS BIGINT) AS size,
   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || text, '')) AS draw FROM documents),
