@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import decontaminate, mixing, quality, repeats, simhash, tokens
+from campflow.llm import decontaminate, mixing, pseudonyms, quality, repeats, simhash, tokens
 from campflow.llm.common import read_table
 from campflow.session import work_dir
 
 
+#: The key of the registered query only; a real job takes its own from where it keeps secrets.
+PSEUDONYM_KEY = "registered query"
+
+
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.repeated_spans(read_table(spark, sf_dir, "documents"))
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -46,6 +50,11 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonyms.pseudonymised(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return out.select("doc_id", "n_values", "text")
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
@@ -61,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_leaks": _op3,
     "op4_token_files": _op4,
     "op6_quality_rules": _op6,
+    "op8_pseudonyms": _op8,
     "op9_mix_sources": _op9,
     "op10_simhash_groups": _op10,
 }
