@@ -33,7 +33,8 @@ SHAPES: dict[str, str] = {
     "date": r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
             r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])",
     "person": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}"
+            r"|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])",
 }
 _ANY = "|".join(SHAPES.values())
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import decontaminate, mixing, pseudonyms, quality, repeats, simhash, tokens
+from campflow.llm import decontaminate, licences, mixing, pseudonyms, quality, repeats, simhash, templates, tokens
 from campflow.llm.common import read_table
 from campflow.session import work_dir
 
@@ -22,6 +22,24 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_ids", "spans", size.alias("repeated_bytes"))
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: a folder per source, 700 ids and 70 ids; every seventh is a notice file, and
+    every seventh of these lies one folder higher."""
+    number, source = F.col("doc_id"), F.coalesce("source", F.lit("unknown"))
+    upper = F.concat_ws("/", source, F.floor(number / 700))
+    lower = F.concat_ws("/", upper, F.floor(number / 70))
+    path = (
+        F.when(number % 49 == 0, F.concat(upper, F.lit("/LICENSE-"), number))
+        .when(number % 7 == 0, F.concat(lower, F.lit("/LICENSE-"), number))
+        .otherwise(F.concat(lower, F.lit("/"), number, F.lit(".txt")))
+    )
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(as_files(read_table(spark, sf_dir, "documents")))
+
+
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +62,12 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, read_table(spark, sf_dir, "documents"))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = templates.without_templates(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("chars_left"),
+                      F.md5("text").alias("text_md5"))
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -67,8 +91,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_repeats": _op1,
+    "op2_licence_scan": _op2,
     "op3_benchmark_leaks": _op3,
     "op4_token_files": _op4,
+    "op5_line_templates": _op5,
     "op6_quality_rules": _op6,
     "op8_pseudonyms": _op8,
     "op9_mix_sources": _op9,
