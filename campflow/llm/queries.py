@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import decontaminate, licences, mixing, pseudonyms, quality, repeats, simhash, templates, tokens
+from campflow.llm import decontaminate, langid, licences, mixing, pseudonyms, quality, repeats, simhash, templates, tokens
 from campflow.llm.common import read_table
 from campflow.session import work_dir
 
@@ -74,6 +74,10 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pseudonyms.pseudonymised(read_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
     return out.select("doc_id", "n_values", "text")
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": _op4,
     "op5_line_templates": _op5,
     "op6_quality_rules": _op6,
+    "op7_language_crf": _op7,
     "op8_pseudonyms": _op8,
     "op9_mix_sources": _op9,
     "op10_simhash_groups": _op10,
