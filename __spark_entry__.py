@@ -23,9 +23,11 @@ from campflow.operators.dedup import dedup  # noqa: E402
 from campflow.operators.quality import quality_report, uniqueness_report  # noqa: E402
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
 from campflow.session import configure, size_shuffles, work_dir  # noqa: E402
-from campflow.sources import sinks, synth, testdata  # noqa: E402
-from campflow.streaming.pipeline import gold_stream, hourly_windows  # noqa: E402
-from campflow.streaming.replica import read_replica, stream_upsert  # noqa: E402
+from campflow.sources import readers, sinks, synth, testdata  # noqa: E402
+from campflow.streaming.late import bounded_dedup, read_kept, read_late  # noqa: E402
+from campflow.streaming.pipeline import (  # noqa: E402
+    Layout, hourly_windows, read_sums, start_daily, start_sessions, start_sums,
+)
 from campflow.streaming.run import finish, start  # noqa: E402
 
 try:  # the operators for training text can be left out of an installation
@@ -167,10 +169,110 @@ def _full_refresh(i: _Inputs) -> DataFrame:
 
 def _stream_gold(name: str) -> Callable[[_Inputs], DataFrame]:
     def run(i: _Inputs) -> DataFrame:
-        changed = gold_stream(name, i.stream_clicks(), i.campaigns())
-        folder, keys = i.work_dir(name), gold.PRIMARY_KEYS[name]
-        finish(stream_upsert(changed, f"{folder}/data", keys, f"{folder}/checkpoint"))
-        return read_replica(i.spark, f"{folder}/data", keys, changed.schema)
+        folder = i.work_dir(name)
+        finish(start_sums(name, i.stream_clicks(), f"{folder}/data", f"{folder}/checkpoint"))
+        return read_sums(i.spark, name, f"{folder}/data", i.clicks(), i.campaigns)
+
+    return run
+
+
+def _arriving(i: _Inputs, phases: list[str], run: Callable[[DataFrame, int], None], folder: str) -> None:
+    """Calls ``run`` with the stream of raw events once for each of ``phases``, conditions under which they arrive."""
+    events = testdata.read_events(i.spark, i.sf_dir)
+    for number, condition in enumerate(phases):
+        events.filter(condition).write.mode("append").parquet(f"{folder}/raw")
+        run(testdata.stream_events(i.spark, f"{folder}/raw"), number)
+
+
+def _stream_renamed(i: _Inputs) -> DataFrame:
+    """Hourly metrics over three micro-batches, between which every campaign gets a new name."""
+    folder, name = i.work_dir("renamed"), "gold_campaign_hourly_metrics"
+    version = F.expr("bigint(substr(event_id, 5)) % 3")
+
+    def clicks(events: DataFrame) -> DataFrame:
+        bronze = testdata.bronze_clicks(i.spark, i.sf_dir, events)
+        return silver.silver_clicks(bronze.withColumn("campaign_name", F.concat("campaign_name", F.lit(" v"), version)))
+
+    def run(events: DataFrame, _: int) -> None:
+        finish(start_sums(name, clicks(events), f"{folder}/data", f"{folder}/checkpoint"))
+
+    _arriving(i, [f"event_id % 3 = {n}" for n in range(3)], run, folder)
+    return read_sums(i.spark, name, f"{folder}/data", i.clicks(), i.campaigns)
+
+
+def _stream_fresh_metadata(i: _Inputs) -> DataFrame:
+    """Campaign performance; half of the metadata comes after the stream has started, and after half of the events."""
+    folder, name, all_campaigns = i.work_dir("fresh"), "gold_campaign_performance", i.campaigns()
+
+    def run(events: DataFrame, phase: int) -> None:
+        known = all_campaigns.filter("pmod(hash(campaign_id), 2) = 0") if phase == 0 else all_campaigns
+        known.write.mode("overwrite").parquet(f"{folder}/campaigns")
+        clicks = silver.silver_clicks(testdata.bronze_clicks(i.spark, i.sf_dir, events))
+        finish(start_sums(name, clicks, f"{folder}/data", f"{folder}/checkpoint"))
+
+    _arriving(i, ["event_id % 2 = 0", "event_id % 2 = 1"], run, folder)
+    metadata = i.spark.read.schema(all_campaigns.schema).parquet(f"{folder}/campaigns")
+    return read_sums(i.spark, name, f"{folder}/data", i.clicks(), lambda: metadata)
+
+
+LATE_DELAY = "7 days"
+
+
+def _bounded_dedup(i: _Inputs) -> DataFrame:
+    """How often each event is kept, late or without a time, if a fifth of them comes after the others."""
+    folder = i.work_dir("bounded")
+    kind = None
+
+    def run(events: DataFrame, phase: int) -> None:
+        nonlocal kind
+        timed = events.withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts")))
+        rows = timed.selectExpr("event_id", "timestamp(ts) AS ts", "explode(if(event_id % 50 = 0, array(1, 2), array(1))) AS n")
+        rows, kind = rows.select("event_id", "ts"), rows.select("event_id", "ts").schema
+        finish(start(rows, bounded_dedup(folder, ["event_id"], "ts", LATE_DELAY), f"{folder}/checkpoint"))
+
+    _arriving(i, ["event_id % 5 != 0", "event_id % 5 = 0 OR event_id % 7 = 0"], run, folder)
+    kept = read_kept(i.spark, folder, kind).select("event_id", F.lit("kept").alias("outcome"))
+    late = read_late(i.spark, folder, kind).select("event_id", F.col("reason").alias("outcome"))
+    return kept.unionAll(late).groupBy("event_id", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stream_sessions(i: _Inputs) -> DataFrame:
+    folder = i.work_dir("sessions")
+    raw = testdata.bronze_sessions(i.spark, i.sf_dir)
+    raw.repartition(3).write.parquet(f"{folder}/raw")
+    stream = readers.read_sessions(i.spark, f"{folder}/raw", streaming=True, maxFilesPerTrigger="1")
+    layout = Layout.new(folder)
+    finish(start_sessions(stream, layout))
+    kind = silver.silver_sessions(stream).schema
+    return i.spark.read.schema(kind).parquet(layout.data("silver_sessions"))
+
+
+def _stream_daily(i: _Inputs) -> DataFrame:
+    """The daily table in complete mode over stored silver files, three of them at a time."""
+    layout = Layout.new(i.work_dir("daily"))
+    i.clicks().repartition(3).write.parquet(layout.data("silver_clicks"))
+    last = f"{layout.root}/last"
+    finish(start_daily(i.spark, i.clicks(), lambda days, _: days.write.mode("overwrite").parquet(last), layout))
+    return i.spark.read.parquet(last)
+
+
+def _from_files(i: _Inputs) -> DataFrame:
+    """Cleaned interactions of raw files that arrived in two parts, read with the declared schema."""
+    folder = i.work_dir("raw")
+    raw = testdata.bronze_clicks(i.spark, i.sf_dir)
+    for part in ("<", ">="):
+        sinks.materialize(raw.filter(f"event_timestamp {part} '{BEFORE[:10]}'"), folder, "append")
+    # the declared schema also has the columns that these files lack; they read as NULL
+    return silver.silver_clicks(readers.read_clicks(i.spark, folder)).select(i.clicks().columns)
+
+
+def _stored_gold(name: str) -> Callable[[_Inputs], DataFrame]:
+    """A table that the batch pipeline has stored."""
+
+    def run(i: _Inputs) -> DataFrame:
+        spark, sf_dir, folder = i.spark, i.sf_dir, i.work_dir("stored")
+        raw = testdata.bronze_clicks(spark, sf_dir), testdata.bronze_campaigns(spark, sf_dir), testdata.bronze_sessions(spark, sf_dir)
+        return pipeline.run_batch(*raw, folder, AS_OF).tables[name]
 
     return run
 
@@ -206,7 +308,7 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "trend_minute_one": lambda i: serving.trend(i.hourly(), i.minutely(), "minute", CAMPAIGN),
         "search": lambda i: serving.search_campaigns(i.perf(), "BANNER"),
         "search_wildcard": lambda i: serving.search_campaigns(i.perf(), "gn 3_"),
-        "search_blank": lambda i: serving.search_campaigns(i.perf(), "  "),
+        "search_escaped": lambda i: serving.search_campaigns(i.perf(), r"in\_app\_b\anner"),
         "hour_detail_top": lambda i: serving.hour_detail_top(i.hourly(), DAY, HOUR),
         "hour_detail_channels": lambda i: serving.hour_detail_channels(i.perf(), i.hourly(), DAY, HOUR),
         "compare_perf": lambda i: serving.compare_campaigns(i.perf(), CAMPAIGN, UNLISTED),
@@ -242,6 +344,15 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "full_refresh": _full_refresh,
         # streams
         "stream_dedup": lambda i: _plain_times(_stream_append(i, i.stream_clicks(), "silver")),
+        "stream_sessions": lambda i: _plain_times(_stream_sessions(i)),
+        "stream_daily_complete": _stream_daily,
+        "stream_hourly_renamed": _stream_renamed,
+        "stream_fresh_metadata": _stream_fresh_metadata,
+        "bounded_dedup_outcome": _bounded_dedup,
+        "silver_clicks_from_files": lambda i: _plain_times(_from_files(i)),
+        "stored_campaign_performance": _stored_gold("gold_campaign_performance"),
+        "stored_campaign_hourly_metrics": _stored_gold("gold_campaign_hourly_metrics"),
+        "stored_daily_kpis": _stored_gold("gold_daily_kpis"),
         "stream_hourly_watermarked": lambda i: _stream_append(i, hourly_windows(i.stream_clicks()), "windows"),
         # generated interactions, one for each event
         "synth_clicks": lambda i: i.synthetic(),
@@ -268,20 +379,26 @@ def queries() -> dict[str, Query]:
 
 # --- checking SQL -----------------------------------------------------------------------------------------------
 
-_INPUTS = """
+def _padded(number: str, width: int) -> str:
+    """Leading zeros up to ``width``; longer numbers stay whole."""
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INT), '0')"
+
+
+_INPUTS = f"""
 WITH raw AS (
  SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events
  UNION ALL SELECT *, CAST(json_extract(props, '$.k') AS INT) AS k FROM events WHERE event_id % 50 = 0),
 bronze_clicks AS (
- SELECT concat('EVT-', lpad(CAST(event_id AS VARCHAR), 16, '0')) AS event_id,
+ SELECT concat('EVT-', {_padded('event_id', 16)}) AS event_id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp,
-  concat('CUST-', lpad(CAST(user_id AS VARCHAR), 12, '0')) AS customer_id,
-  concat('SESS-', lpad(CAST((event_id // 12) AS VARCHAR), 16, '0')) AS session_id,
+  concat('CUST-', {_padded('user_id', 12)}) AS customer_id,
+  concat('SESS-', {_padded('event_id // 12', 16)}) AS session_id,
   concat('DEV-', lpad(CAST(user_id * 31 % 100000 AS VARCHAR), 6, '0')) AS device_id,
   CASE WHEN user_id % 20 < 9 THEN 'iOS' ELSE 'Android' END AS device_os,
   concat('8.', CAST(9 + user_id % 4 AS VARCHAR), '.0') AS app_version,
   CASE WHEN k = 98 THEN NULL
-       ELSE concat('CMP-', lpad(CAST((event_id * 7 + user_id) % 45 AS VARCHAR), 12, '0')) END AS campaign_id,
+       ELSE concat('CMP-', {_padded('(event_id * 7 + user_id) % 45', 12)}) END AS campaign_id,
   concat('Campaign ', CAST((event_id * 7 + user_id) % 45 AS VARCHAR)) AS campaign_name,
   CASE (event_id * 7 + user_id) % 45 % 4 WHEN 0 THEN 'push' WHEN 1 THEN 'in_app_banner'
        WHEN 2 THEN 'in_app_modal' ELSE 'story' END AS campaign_channel,
@@ -295,7 +412,7 @@ bronze_clicks AS (
  FROM raw JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey),
 bronze_campaigns AS (
- SELECT concat('CMP-', lpad(CAST(p_partkey + 5 AS VARCHAR), 12, '0')) AS campaign_id,
+ SELECT concat('CMP-', {_padded('p_partkey + 5', 12)}) AS campaign_id,
   concat('Campaign ', CAST(p_partkey + 5 AS VARCHAR)) AS campaign_name, p_type AS campaign_category,
   CASE (p_partkey + 5) % 4 WHEN 0 THEN 'push' WHEN 1 THEN 'in_app_banner' WHEN 2 THEN 'in_app_modal'
        ELSE 'story' END AS campaign_channel,
@@ -585,7 +702,8 @@ def _checks() -> dict[str, str]:
         "trend_minute_one": minute_one,
         "search": search("%BANNER%"),
         "search_wildcard": search("%gn 3_%"),
-        "search_blank": f"SELECT {search_columns} FROM gold_campaign_performance WHERE false",
+        "search_escaped": f"SELECT {search_columns} FROM gold_campaign_performance"
+        " WHERE contains(lower(campaign_channel), 'in_app_banner') ORDER BY total_clicks DESC, campaign_id LIMIT 10",
         "hour_detail_top": hour_top,
         "hour_detail_channels": hour_channels,
         "compare_perf": f"""SELECT CASE campaign_id WHEN '{CAMPAIGN}' THEN 1 ELSE 2 END AS side, {_PERF_COLUMNS}
@@ -636,6 +754,30 @@ def _checks() -> dict[str, str]:
             for name in gold.TABLES
         ),
         "stream_dedup": silver_clicks,
+        "silver_clicks_from_files": silver_clicks,
+        "stream_sessions": "SELECT * FROM silver_sessions",
+        "stream_daily_complete": "SELECT * FROM gold_daily_kpis",
+        "stream_hourly_renamed": f"""SELECT *, {_pct('clicks', 'impressions')} AS ctr FROM (
+ SELECT campaign_id, max(campaign_name || ' v' || CAST(substr(event_id, 5) AS BIGINT) % 3) AS campaign_name,
+  event_date, hour_of_day, {_count('impression')} AS impressions, {_count('click')} AS clicks,
+  {_count('conversion')} AS conversions, {_EVENTS} AS total_events
+ FROM silver_clicks GROUP BY campaign_id, event_date, hour_of_day)""",
+        "stream_fresh_metadata": "SELECT * FROM gold_campaign_performance",
+        "bounded_dedup_outcome": f"""FROM (WITH t AS (
+  SELECT event_id, CASE WHEN event_id % 97 != 0 THEN ts END AS ts,
+   CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END AS n FROM events),
+ h AS (SELECT max(ts) - INTERVAL {LATE_DELAY} AS horizon FROM t WHERE event_id % 5 != 0)
+ SELECT event_id, outcome, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT event_id, CASE WHEN ts IS NULL THEN 'untimed' ELSE 'kept' END AS outcome,
+   CASE WHEN ts IS NULL THEN n ELSE 1 END AS n FROM t WHERE event_id % 5 != 0
+  UNION ALL
+  SELECT event_id, CASE WHEN ts IS NULL THEN 'untimed' WHEN ts < horizon THEN 'late' ELSE 'kept' END,
+   CASE WHEN ts IS NULL OR ts < horizon THEN n ELSE 1 END
+  FROM t, h WHERE (event_id % 5 = 0 OR event_id % 7 = 0)
+   AND (event_id % 5 = 0 OR ts IS NULL OR ts < horizon)) GROUP BY event_id, outcome)""",
+        "stored_campaign_performance": "SELECT * FROM gold_campaign_performance",
+        "stored_campaign_hourly_metrics": f"SELECT * FROM {hourly}",
+        "stored_daily_kpis": "SELECT * FROM gold_daily_kpis",
         "stream_hourly_watermarked": f"""SELECT * FROM {hourly}
  WHERE event_date + to_hours(hour_of_day + 1)
   <= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver_clicks)""",
@@ -689,7 +831,7 @@ named AS (
  SELECT *, {_choice(synth.CATEGORIES, f'c % {len(synth.CATEGORIES)}')} AS campaign_category,
   {session(0)} % {synth.REGIONS} AS region FROM drawn),
 synthetic AS (
- SELECT 'EVT-' || lpad(CAST(event_id AS VARCHAR), 16, '0') AS event_id,
+ SELECT 'EVT-' || {_padded('event_id', 16)} AS event_id,
   CAST(DATE '{SYNTH['base'].date()}' - days AS VARCHAR) || 'T' || lpad(CAST(h AS VARCHAR), 2, '0') || ':'
    || lpad(CAST(sec // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(sec % 60 AS VARCHAR), 2, '0') AS event_timestamp,
   'CUST-' || ({session(1)} % 900000 + 100000) AS customer_id,

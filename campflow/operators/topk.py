@@ -26,10 +26,13 @@ def top_k(df: DataFrame, order: Sequence[str], n: int | None = None, tie_break:
     return ordered if n is None else ordered.limit(n)
 
 
-def with_rank(df: DataFrame, order: Sequence[str], n: int, tie_break: Sequence[str] = ()) -> DataFrame:
-    """The first ``n`` rows with their place, 1 being the first. The window only ever sees ``n`` rows."""
+def with_rank(df: DataFrame, order: Sequence[str], n: int | None, tie_break: Sequence[str] = ()) -> DataFrame:
+    """The first ``n`` rows with their place, 1 being the first. The window only ever sees ``n`` rows.
+
+    Without ``n`` all rows are ranked, in one task: for lists that already have a limit.
+    """
     window = Window.partitionBy(F.lit(1)).orderBy(*order_columns(order, tie_break))
-    return top_k(df, order, n, tie_break).withColumn("rank", F.row_number().over(window))
+    return (df if n is None else top_k(df, order, n, tie_break)).withColumn("rank", F.row_number().over(window))
 
 
 def top_k_per(

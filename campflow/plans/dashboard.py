@@ -129,6 +129,6 @@ def kpi_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
     return paired.filter((F.col("previous") != 0) & (F.col("previous") != F.col("current")))
 
 
-def hour_rank(hour_top: DataFrame, n: int = 5) -> DataFrame:
-    """The list of an hour's campaigns with their rank."""
-    return with_rank(hour_top, ["-clicks"], n, ["campaign_id", "campaign_name"])
+def hour_rank(hour_top: DataFrame) -> DataFrame:
+    """The list of an hour's campaigns with their rank: the whole list, which is as long as its limit."""
+    return with_rank(hour_top, ["-clicks"], None, ["campaign_id", "campaign_name"])

@@ -95,6 +95,8 @@ TABLES = {
     ),
 }
 PRIMARY_KEYS = {name: table.primary_key for name, table in TABLES.items()}
+#: The tables that need campaign metadata besides the interactions.
+WITH_CAMPAIGNS = ("gold_campaign_performance", "gold_segment_analysis")
 
 _CAMPAIGN_ATTRIBUTES = (
     "campaign_name", "campaign_category", "campaign_channel", "target_segment", "budget_brl", "is_active",
@@ -112,6 +114,11 @@ def _simple(source: DataFrame, name: str) -> DataFrame:
     return _finish(M.totals(source, *TABLES[name].group), name)
 
 
+def campaign_sums(source: DataFrame) -> DataFrame:
+    """All sums per campaign, of which both tables with metadata are made."""
+    return M.totals(source, "campaign_id")
+
+
 def campaign_performance(source: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Totals per campaign with its attributes; campaigns without metadata have NULL attributes.
 

