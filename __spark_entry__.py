@@ -22,7 +22,7 @@ from campflow.operators import changes, sessions  # noqa: E402
 from campflow.operators.dedup import dedup  # noqa: E402
 from campflow.operators.quality import quality_report, uniqueness_report  # noqa: E402
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
-from campflow.session import configure, size_shuffles, work_dir  # noqa: E402
+from campflow.session import configure, work_dir  # noqa: E402
 from campflow.sources import readers, sinks, synth, testdata  # noqa: E402
 from campflow.streaming.late import bounded_dedup, read_kept, read_late  # noqa: E402
 from campflow.streaming.pipeline import (  # noqa: E402
@@ -55,7 +55,6 @@ class _Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = configure(spark), sf_dir
-        size_shuffles(testdata.read_events(spark, sf_dir))
 
     def clicks(self) -> DataFrame:
         return silver.silver_clicks(testdata.bronze_clicks(self.spark, self.sf_dir))
@@ -266,6 +265,19 @@ def _from_files(i: _Inputs) -> DataFrame:
     return silver.silver_clicks(readers.read_clicks(i.spark, folder)).select(i.clicks().columns)
 
 
+def _stored_trend(granularity: str) -> Callable[[_Inputs], DataFrame]:
+    """A trend over the stored tables, of which only the newest days are read."""
+
+    def run(i: _Inputs) -> DataFrame:
+        spark, sf_dir, folder = i.spark, i.sf_dir, i.work_dir("stored")
+        raw = testdata.bronze_clicks(spark, sf_dir), testdata.bronze_campaigns(spark, sf_dir), testdata.bronze_sessions(spark, sf_dir)
+        tables = pipeline.run_batch(*raw, folder, AS_OF).tables
+        hours, minutes = tables["gold_campaign_hourly_metrics"], tables["gold_campaign_minute_metrics"]
+        return serving.trend(hours, minutes, granularity, by_day=True)
+
+    return run
+
+
 def _stored_gold(name: str) -> Callable[[_Inputs], DataFrame]:
     """A table that the batch pipeline has stored."""
 
@@ -353,6 +365,10 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "stored_campaign_performance": _stored_gold("gold_campaign_performance"),
         "stored_campaign_hourly_metrics": _stored_gold("gold_campaign_hourly_metrics"),
         "stored_daily_kpis": _stored_gold("gold_daily_kpis"),
+        "stored_geo_performance": _stored_gold("gold_geo_performance"),
+        "stored_campaign_minute_metrics": _stored_gold("gold_campaign_minute_metrics"),
+        "stored_trend_hour": _stored_trend("hour"),
+        "stored_trend_minute": _stored_trend("minute"),
         "stream_hourly_watermarked": lambda i: _stream_append(i, hourly_windows(i.stream_clicks()), "windows"),
         # generated interactions, one for each event
         "synth_clicks": lambda i: i.synthetic(),
@@ -778,6 +794,10 @@ def _checks() -> dict[str, str]:
         "stored_campaign_performance": "SELECT * FROM gold_campaign_performance",
         "stored_campaign_hourly_metrics": f"SELECT * FROM {hourly}",
         "stored_daily_kpis": "SELECT * FROM gold_daily_kpis",
+        "stored_geo_performance": "SELECT * FROM gold_geo_performance",
+        "stored_campaign_minute_metrics": f"SELECT * FROM {minutely}",
+        "stored_trend_hour": hour_all,
+        "stored_trend_minute": minute_all,
         "stream_hourly_watermarked": f"""SELECT * FROM {hourly}
  WHERE event_date + to_hours(hour_of_day + 1)
   <= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver_clicks)""",

@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), spread: int = 1) -> DataFrame:
+#: Groups per key in which a stream first drops copies.
+SPREAD = 8
+
+
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), spread: int = SPREAD) -> DataFrame:
     """Keep one row per key.
 
     ``order_by`` (batch only) names the columns whose smallest values tell the copy to keep; remaining ties are
@@ -19,9 +23,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), spre
     the shuffle, so a key with very many copies is cheap. (dropDuplicates has that too, but aggregates each column
     on its own, which takes half as long again.)
 
-    A stream keeps the first copy to arrive and has no such step. Where single keys may make up much of a stream,
-    ``spread`` drops copies in that many groups per key first, by input task, so that no task gets more than a
-    fraction of them; the price is a second shuffle and keeping every key twice.
+    A stream keeps the first copy to arrive and has no such step. As single keys may make up much of a stream, it
+    drops copies in ``spread`` groups per key first, by input task, so that no task gets more than a fraction of them;
+    the price is a second shuffle and keeping every key twice, and 1 saves it where keys are known to be spread.
     """
     if df.isStreaming:
         if order_by:
@@ -32,8 +36,14 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), spre
     return df.withColumn("_copy", F.row_number().over(window)).filter("_copy = 1").drop("_copy")
 
 
-def dedup_within(df: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread: int = 1) -> DataFrame:
-    """Streaming form with bounded state: a key is forgotten ``delay`` after its event time."""
+def dedup_within(
+    df: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread: int = SPREAD
+) -> DataFrame:
+    """Streaming form with bounded state: a key is forgotten ``delay`` after its event time.
+
+    Spark drops rows that are older than that on arrival, whether their key was seen or not. Where none may be lost,
+    :func:`campflow.streaming.late.bounded_dedup` keeps them apart.
+    """
     timed = df.withWatermark(event_time, delay)
     return _spread_out(timed, keys, spread, lambda part, by: part.dropDuplicatesWithinWatermark(by))
 

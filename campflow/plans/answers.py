@@ -17,13 +17,14 @@ class Dashboard:
     ``tables`` maps gold table names to DataFrames: stored tables of a batch, or current rows of the replicas.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
-        self._tables = tables
+    def __init__(self, tables: Mapping[str, DataFrame], by_day: bool = False) -> None:
+        """``by_day``: the hourly and minute tables are stored by ``event_date``."""
+        self._tables, self._by_day = tables, by_day
 
     @classmethod
     def stored(cls, spark: SparkSession, folder: str) -> Dashboard:
         """Over the tables that the batch pipeline has written below ``folder``."""
-        return cls({name: spark.read.parquet(f"{folder}/{name}") for name in gold.TABLES})
+        return cls({name: spark.read.parquet(f"{folder}/{name}") for name in gold.TABLES}, by_day=True)
 
     def _table(self, name: str) -> DataFrame:
         return self._tables[f"gold_{name}"]
@@ -50,11 +51,11 @@ class Dashboard:
         return json_safe(serving.campaigns_performance(self._table("campaign_performance")))
 
     def campaigns_hourly(self, campaign_id: str | None = None) -> DataFrame:
-        return json_safe(serving.hourly(self._table("campaign_hourly_metrics"), campaign_id))
+        return json_safe(serving.hourly(self._table("campaign_hourly_metrics"), campaign_id, by_day=self._by_day))
 
     def campaigns_trend(self, granularity: str = "hour", campaign_id: str | None = None) -> DataFrame:
         hours, minutes = self._table("campaign_hourly_metrics"), self._table("campaign_minute_metrics")
-        return json_safe(serving.trend(hours, minutes, granularity, campaign_id))
+        return json_safe(serving.trend(hours, minutes, granularity, campaign_id, self._by_day))
 
     def campaigns_search(self, q: str = "") -> DataFrame:
         return json_safe(serving.search_campaigns(self._table("campaign_performance"), q))

@@ -219,6 +219,37 @@ def activity_cells(clicks: DataFrame) -> DataFrame:
     return cells.selectExpr(f"CASE _set {names} END AS cell_set", *keys, *M.EVENT_SUMS)
 
 
+_MINUTE_KEYS = _CELL_SETS["campaign_minute"]
+
+
+def minute_cells(clicks: DataFrame) -> DataFrame:
+    """The sums per campaign, name, channel and minute: the finest table there is. Not expanded for other sets."""
+    return M.totals(clicks.withColumn("minute_of_hour", F.minute("event_timestamp")), *_MINUTE_KEYS)
+
+
+def hour_cells(minutes: DataFrame) -> DataFrame:
+    """The same per hour, from the minute cells: what the tables per campaign, channel, segment and day come from."""
+    return M.totals(minutes, *_MINUTE_KEYS[:-1])
+
+
+def side_cells(clicks: DataFrame) -> DataFrame:
+    """The sums per place and per experiment group, in one pass. Both have few groups, so each task sends few rows."""
+    keys = [*_CELL_SETS["geo"], *_CELL_SETS["ab_test"]]
+    sets = [[F.col(k) for k in _CELL_SETS[name]] for name in ("geo", "ab_test")]
+    grouped = clicks.groupingSets(sets, *[F.col(k) for k in keys])
+    cells = grouped.agg(F.grouping("ab_test_group").alias("_set"), *M.sums_of_events())
+    return cells.selectExpr("if(_set = 1, 'geo', 'ab_test') AS cell_set", *keys, *M.EVENT_SUMS)
+
+
+def build_from_cascade(
+    name: str, minutes: DataFrame, hours: DataFrame, sides: DataFrame, campaigns: DataFrame
+) -> DataFrame:
+    """One gold table by name, from the smallest stored cells that hold it."""
+    if name in _CELL_SET_OF:
+        return build(name, sides.filter(F.col("cell_set") == _CELL_SET_OF[name]))
+    return build(name, minutes if name == "gold_campaign_minute_metrics" else hours, campaigns)
+
+
 def build_from_cells(name: str, cells: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One gold table by name, from stored activity cells."""
     own = _CELL_SET_OF.get(name, "campaign_minute")

@@ -9,10 +9,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 
 from campflow.plans import gold, silver
-from campflow.session import size_shuffles
+from campflow.session import sized_shuffles
 from campflow.sources.sinks import compact, materialize
 
-_BY_DATE = {"gold_campaign_hourly_metrics", "gold_campaign_minute_metrics"}
+# Stored by date, and sorted within files, so that reading a campaign skips most row groups.
+_BY_DATE = {
+    "gold_campaign_hourly_metrics": ("event_date", "campaign_id", "hour_of_day"),
+    "gold_campaign_minute_metrics": ("event_date", "campaign_id", "hour_of_day", "minute_of_hour"),
+}
 
 
 @dataclass
@@ -29,22 +33,36 @@ def run_batch(
     sessions: DataFrame,
     target: str,
     as_of: dt.date | str | None = None,
+    catalog: bool = False,
 ) -> PipelineResult:
-    """Compute every dataset below the folder ``target`` (which is overwritten).
+    """Compute every dataset below the folder ``target``, or as tables of the catalog schema ``target``; what is there
+    is overwritten. Tables in the catalog carry their comment.
 
-    The interactions are shuffled twice, whatever the number of gold tables: once by event_id on the way into
-    silver, once by group on the way into the activity cells. All gold tables then come from the stored cells.
-    Each stage reads what the one before has written, so a lost executor costs a task, not the chain.
+    The interactions are shuffled once by event_id on the way into silver, and once by campaign and minute. Each
+    further table comes from the smallest that holds it: minutes, then hours of campaign and channel, then the rest;
+    places and experiment groups, which have few groups, from a second narrow pass. Each stage reads what the one
+    before has written, so a lost executor costs a task, not the chain.
     """
-    size_shuffles(clicks, campaigns, sessions)
+    with sized_shuffles(clicks, campaigns, sessions):
+        return _run(clicks, campaigns, sessions, target, as_of, catalog)
+
+
+def _run(
+    clicks: DataFrame, campaigns: DataFrame, sessions: DataFrame, target: str, as_of: dt.date | str | None, catalog: bool
+) -> PipelineResult:
     seen = {name: Observation(name) for name in ("silver_clicks", "silver_campaigns", "silver_sessions")}
 
     def store(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        return materialize(df, f"{target}/{name}", partition_by=partition_by)
+        comment = gold.TABLES[name].comment if catalog and name in gold.TABLES else None
+        at = f"{target}.{name}" if catalog else f"{target}/{name}"
+        return materialize(df, at, partition_by=partition_by, comment=comment, catalog=catalog)
 
     def store_gold(name: str) -> DataFrame:
-        df = gold.build_from_cells(name, tables["activity_cells"], tables["silver_campaigns"])
-        return store(name, compact(df, ["event_date"]), "event_date") if name in _BY_DATE else store(name, df)
+        cells = [tables[f"{kind}_cells"] for kind in ("minute", "hour", "side")]
+        df = gold.build_from_cascade(name, *cells, tables["silver_campaigns"])
+        if name not in _BY_DATE:
+            return store(name, df)
+        return store(name, compact(df, ["event_date"]).sortWithinPartitions(*_BY_DATE[name]), "event_date")
 
     # Datasets that do not need each other are written at the same time: most are too small to fill a cluster.
     with ThreadPoolExecutor(len(gold.TABLES)) as pool:
@@ -60,6 +78,9 @@ def run_batch(
             ),
         }
         tables = dict(zip(cleaned, pool.map(store, cleaned, cleaned.values())))
-        tables["activity_cells"] = store("activity_cells", gold.activity_cells(tables["silver_clicks"]), "cell_set")
+        sides = pool.submit(store, "side_cells", gold.side_cells(tables["silver_clicks"]), "cell_set")
+        tables["minute_cells"] = store("minute_cells", gold.minute_cells(tables["silver_clicks"]))
+        tables["hour_cells"] = store("hour_cells", gold.hour_cells(tables["minute_cells"]))
+        tables["side_cells"] = sides.result()
         tables |= dict(zip(gold.TABLES, list(pool.map(store_gold, gold.TABLES))))
     return PipelineResult(tables, {name: observation.get for name, observation in seen.items()})

@@ -91,32 +91,55 @@ def _over_campaigns(series: DataFrame, *keys: str) -> DataFrame:
     return sums.selectExpr(*keys, "impressions", "clicks", "conversions", ctr, "total_events")
 
 
-def hourly(hourly_metrics: DataFrame, campaign_id: str | None = None, n: int = 168) -> DataFrame:
+def newest_days(series: DataFrame, n: int) -> DataFrame:
+    """The rows of the newest ``n`` days, those without a day among them.
+
+    Every day has a row at least, so the newest ``n`` rows lie in the newest ``n`` days. The bound is a scalar
+    subquery, which prunes the folders of a table that is stored by day.
+    """
+    days = top_k(series.select("event_date").distinct(), ["-event_date"], n)
+    oldest = days.agg(F.min("event_date")).scalar()
+    return series.filter((F.col("event_date") >= oldest) | F.col("event_date").isNull())
+
+
+def hourly(
+    hourly_metrics: DataFrame, campaign_id: str | None = None, n: int = 168, by_day: bool = False
+) -> DataFrame:
     """``n`` hours of one campaign, or summed over all: latest days first, hours ascending within a day.
 
-    The cut therefore takes the late hours off the oldest day shown.
+    The cut therefore takes the late hours off the oldest day shown. ``by_day`` says that the table is stored by
+    ``event_date``: then only the newest days are read.
     """
     if campaign_id:
-        own = hourly_metrics.filter(F.col("campaign_id") == campaign_id).select(*_HOURLY)
-        return top_k(own, _BY_HOUR, n, ["campaign_name"])
+        hourly_metrics = hourly_metrics.filter(F.col("campaign_id") == campaign_id)
+    if by_day:
+        hourly_metrics = newest_days(hourly_metrics, n)
+    if campaign_id:
+        return top_k(hourly_metrics.select(*_HOURLY), _BY_HOUR, n, ["campaign_name"])
     return top_k(_over_campaigns(hourly_metrics, "event_date", "hour_of_day"), _BY_HOUR, n)
 
 
-def minutely(minute_metrics: DataFrame, campaign_id: str | None = None, n: int = 60) -> DataFrame:
-    """The latest ``n`` minutes of one campaign, or summed over all."""
+def minutely(
+    minute_metrics: DataFrame, campaign_id: str | None = None, n: int = 60, by_day: bool = False
+) -> DataFrame:
+    """The latest ``n`` minutes of one campaign, or summed over all; ``by_day`` as for :func:`hourly`."""
+    if campaign_id:
+        minute_metrics = minute_metrics.filter(F.col("campaign_id") == campaign_id)
+    if by_day:
+        minute_metrics = newest_days(minute_metrics, n)
     if campaign_id:
-        own = minute_metrics.filter(F.col("campaign_id") == campaign_id).select(*_MINUTE)
-        return top_k(own, _BY_MINUTE, n, ["campaign_name"])
+        return top_k(minute_metrics.select(*_MINUTE), _BY_MINUTE, n, ["campaign_name"])
     return top_k(_over_campaigns(minute_metrics, "event_date", "hour_of_day", "minute_of_hour"), _BY_MINUTE, n)
 
 
 def trend(
-    hourly_metrics: DataFrame, minute_metrics: DataFrame, granularity: str = "hour", campaign_id: str | None = None
+    hourly_metrics: DataFrame, minute_metrics: DataFrame, granularity: str = "hour", campaign_id: str | None = None,
+    by_day: bool = False,
 ) -> DataFrame:
     """The minute series for ``"minute"``, the hourly one for anything else."""
     if granularity == "minute":
-        return minutely(minute_metrics, campaign_id)
-    return hourly(hourly_metrics, campaign_id)
+        return minutely(minute_metrics, campaign_id, by_day=by_day)
+    return hourly(hourly_metrics, campaign_id, by_day=by_day)
 
 
 def search_campaigns(perf: DataFrame, term: str, n: int = 10) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from campflow.functions import columns as C
-from campflow.operators.dedup import dedup, dedup_within
+from campflow.operators.dedup import SPREAD, dedup, dedup_within
 from campflow.operators.quality import Rule, counted, drop_failed, parse_rule
 from campflow.sources.schemas import ACTION_TYPES
 
@@ -48,13 +48,14 @@ def silver_clicks(
     metrics: Observation | str | None = None,
     order_by: Sequence[str] = (),
     forget_after: str | None = None,
-    spread: int = 1,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Typed interactions, one row per event_id, with calendar columns.
 
     ``order_by`` fixes which of several differing copies is kept (batch). ``forget_after`` bounds the state of a
-    stream: an event_id may then come back after that much event time; without it ids are kept for ever.
-    ``spread`` is for streams in which single ids come in very many copies (see :func:`dedup`).
+    stream: an event_id may then come back after that much event time, and events that arrive later than that are
+    dropped (:func:`campflow.streaming.late.bounded_dedup` keeps them); without it ids are kept for ever. ``spread``
+    is for streams in which single ids come in very many copies (see :func:`dedup`).
     """
     df = C.ensure_columns(bronze, {"conversion_value": C.MONEY, "conversion_product": "string"})
     df = _screened(df, CLICK_RULES, metrics)
@@ -101,7 +102,7 @@ def silver_sessions(
     metrics: Observation | str | None = None,
     order_by: Sequence[str] = (),
     forget_after: str | None = None,
-    spread: int = 1,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Typed sessions, one row per session_id, with length and engagement.
 

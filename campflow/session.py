@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -50,16 +53,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 _MB = 1024 * 1024
-_INPUT_PER_TASK, _MAX_SPLIT = 128 * _MB, 1024 * _MB
-_MAX_MAPS, _MAX_REDUCERS = 200_000, 40_000
+_INPUT_PER_TASK, _MAX_SPLIT = 128 * _MB, 4096 * _MB
+_MAX_MAPS, _MAX_REDUCERS = 32_000, 20_000
 
 
 def shuffle_plan(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a batch that shuffles ``input_bytes`` of files once.
 
     AQE merges small reduce partitions but splits large ones only in joins, so it has to start from enough of them:
-    one per 128 MB. Both sides are bounded, because a shuffle has maps times reducers blocks; above some terabytes
-    the splits grow to 1 GB and the reduce partitions beyond 128 MB, where sorting spills to disk.
+    one per 128 MB. Both sides are bounded, because a shuffle has maps times reducers blocks: above some terabytes
+    the splits grow to 4 GB (columnar and pruned, they shuffle far less) and the reduce partitions beyond 128 MB, where
+    sorting spills to disk. From there on a shuffle service that merges blocks (push-based shuffle) is needed.
     """
     reducers = min(max(-(-input_bytes // _INPUT_PER_TASK), cores), _MAX_REDUCERS)
     split = min(max(-(-input_bytes // _MAX_MAPS), _INPUT_PER_TASK), _MAX_SPLIT)
@@ -69,15 +73,37 @@ def shuffle_plan(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-def size_shuffles(*inputs: DataFrame) -> None:
-    """Apply :func:`shuffle_plan` to the session for the files that ``inputs`` read."""
-    spark = inputs[0].sparkSession
-    total = 0
+def input_bytes(*inputs: DataFrame) -> int:
+    """The size of the files that ``inputs`` read, as Spark's reader lists them."""
+    sizes = 0
     for df in inputs:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total += sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    for key, value in shuffle_plan(total, spark.sparkContext.defaultParallelism).items():
-        spark.conf.set(key, value)
+        names = df.inputFiles()
+        if names:
+            folders = df.sparkSession.read.format("binaryFile").load(names).select("length")
+            sizes += folders.agg(F.sum("length")).first()[0] or 0
+    return sizes
+
+
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[None]:
+    """Within the block, the session plans shuffles for the files that ``inputs`` read; afterwards as before.
+
+    The settings are the session's: jobs that run at the same time in other threads should have sessions of their own
+    (``spark.newSession()``).
+    """
+    spark = inputs[0].sparkSession
+    plan = shuffle_plan(input_bytes(*inputs), spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key, None) for key in plan}
+    try:
+        for key, value in plan.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

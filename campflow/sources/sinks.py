@@ -28,17 +28,17 @@ def materialize(
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
     fmt: str = "parquet",
+    catalog: bool = False,
 ) -> DataFrame:
     """Write ``df`` (append or overwrite) and return it as read back from ``target``.
 
-    A target with a slash is a folder, anything else a catalog table. A comment and properties need a table.
-    The schema is handed to the reader, so that reading back lists files but infers nothing.
+    The target is a folder, or with ``catalog`` the name of a table, which may have a comment and properties. The schema is handed to the reader, so that reading back lists files but infers nothing.
     """
     spark = df.sparkSession
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if "/" in target:
+    if not catalog:
         if comment or properties:
             raise ValueError("comment and properties need a catalog table")
         writer.save(target)

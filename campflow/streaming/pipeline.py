@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from campflow.functions import measures as M
+from campflow.operators.dedup import SPREAD
 from campflow.plans import gold
 from campflow.plans.answers import Dashboard
 from campflow.plans.silver import silver_clicks, silver_sessions
@@ -70,11 +71,6 @@ class Layout:
         return f"{self.root}/{self.run}/checkpoint/{name}"
 
 
-#: Groups per id in which a stream first drops copies, so that an id with a large share of the rows is no single
-#: task's work.
-SPREAD = 8
-
-
 def start_silver(
     bronze: DataFrame, layout: Layout, trigger: str | None = None, forget_after: str | None = None, spread: int = SPREAD
 ) -> StreamingQuery:

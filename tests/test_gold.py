@@ -84,6 +84,9 @@ def test_tables_from_cells_equal_tables_from_events(clicks, campaigns):
     cells = gold.activity_cells(clicks)
     for name in gold.TABLES:
         direct, derived = gold.build(name, clicks, campaigns), gold.build_from_cells(name, cells, campaigns)
+        minutes = gold.minute_cells(clicks)
+        cascade = gold.build_from_cascade(name, minutes, gold.hour_cells(minutes), gold.side_cells(clicks), campaigns)
+        assert cascade.dtypes == direct.dtypes and cascade.exceptAll(direct).count() == 0 == direct.exceptAll(cascade).count()
         assert direct.dtypes == derived.dtypes, name
         assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0, name
 

@@ -195,7 +195,7 @@ def test_read_what_was_written(spark):
 def test_catalog_table_with_comment_and_properties(spark):
     raw = clicks(spark, {})
     spark.sql("CREATE DATABASE IF NOT EXISTS demo LOCATION '{}'".format(work_dir(spark, "demo")))
-    stored = sinks.materialize(raw, "demo.clicks", comment="Bob's \\ clicks", properties={"quality": "bronze"})
+    stored = sinks.materialize(raw, "demo.clicks", catalog=True, comment="Bob's \\ clicks", properties={"quality": "bronze"})
     assert stored.count() == 1
     assert readers.read_clicks(spark, "demo.clicks", fmt="table").count() == 1
     about = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED demo.clicks").collect()}
