@@ -274,3 +274,32 @@ def test_run_batch(spark, clicks, campaigns):
     assert asked.campaigns_trend("minute", "CMP-000003").count() > 0
     both = asked.compare("CMP-000003", "CMP-000004")
     assert both["campaigns"].count() == 2 and {r.side for r in both["hours"].collect()} == {1.0, 2.0}
+
+
+def test_run_batch_into_the_catalog(spark):
+    base = dt.datetime(2024, 2, 15)
+    raw = synth.synth_clicks(spark, 100, seed=3, base=base, sessions=5)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS batch LOCATION '{work_dir(spark, 'batch')}'")
+    sources = raw, synth.synth_campaigns(spark, 12, 3, base.date()), sessions_from_events(raw)
+    pipeline.run_batch(*sources, "batch", base.date(), catalog=True)
+    for name, table in gold.TABLES.items():
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED batch.{name}").collect()}
+        assert about["Comment"] == table.comment
+    assert spark.table("batch.gold_daily_kpis").agg(F.sum("total_events")).first()[0] == 100
+    spark.sql("DROP DATABASE batch CASCADE")
+
+
+def test_ranks_of_the_whole_list(spark):
+    rows = [(str(i), "n", 1, i, 0, 0.0) for i in range(9)]
+    top = spark.createDataFrame(rows, "campaign_id string, campaign_name string, impressions int, clicks int, conversions int, ctr double")
+    assert [r.rank for r in dashboard.hour_rank(top).collect()] == list(range(1, 10))
+
+
+@pytest.mark.parametrize(
+    "term, found", [(r"a\\b", 1), (r"5\0\%", 1), (r"50%\x", 0), ("\\", 0), ("  ", 0), (r"50\%\z", 1)]
+)
+def test_backslashes_in_a_search(clicks, campaigns, term, found):
+    perf = gold.campaign_performance(clicks, campaigns)
+    named = perf.withColumn("campaign_name", F.when(F.col("campaign_id") == "a", r"a\b").otherwise("50%z"))
+    named = named.filter("campaign_id != 'zz'").replace("push", "x").replace("story", "x")
+    assert serving.search_campaigns(named, term).count() == found
