@@ -108,7 +108,80 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
+
+def _quality_sql() -> str:
+    """The counts, the exact binomial tests in sequence, and the verdicts. (Risk and level are those of the module.)"""
+    rules, level = quality.RULES, quality.LEVEL
+    share = {
+        "symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+        "capitals": "n_capitals / greatest(n_letters, 1)", "word_length": "word_chars / greatest(n_words, 1)",
+    }
+    grid = ", ".join(f"('{rule}', {i}, CAST({c} AS DOUBLE))" for rule, cuts in rules.items() for i, c in enumerate(cuts))
+    shares = " UNION ALL ".join(f"SELECT doc_id, lang, '{rule}' AS rule, {share[rule]} AS share FROM counted" for rule in rules)
+    risk = f"CAST({quality.RISK / len(rules)!r} AS DOUBLE)"
+    return rf"""
+WITH base AS (SELECT doc_id, lang, coalesce(text, '') AS text, {_WORDS.replace("text", "coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, k, w[k : k + 4] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM base)),
+covered AS (SELECT doc_id, count(DISTINCT k + j) AS n FROM (
+  SELECT doc_id, k FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), range(5) r(j) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT line) AS d FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM base)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counted AS (SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  coalesce(lines.n - lines.d, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
+  length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS n_letters,
+  length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) AS n_capitals
+  FROM base LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+shares AS ({shares}),
+grid(rule, nth, cutoff) AS (VALUES {grid}),
+marks AS (SELECT doc_id, max(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+risks AS (SELECT lang, rule, nth, cutoff, count(*) FILTER (quality = 1) AS n,
+  count(*) FILTER (quality = 1 AND share > cutoff) AS k, count(*) FILTER (quality != 1 AND share > cutoff) AS bad
+  FROM shares JOIN marks USING (doc_id) JOIN grid USING (rule) GROUP BY ALL),
+tested AS (SELECT *, CASE WHEN n = 0 OR k >= n THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+   exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) END AS p,
+  (SELECT count(DISTINCT coalesce(lang, '<none>')) FROM risks) * {len(rules)} AS tests FROM risks),
+admitted AS (SELECT * FROM tested QUALIFY bool_and(p <= {level} / tests) OVER (PARTITION BY lang, rule ORDER BY nth)),
+picked AS (SELECT lang, rule, cutoff FROM admitted WHERE bad - {quality.COST} * k > 0
+  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY bad - {quality.COST} * k DESC, nth) = 1),
+broken AS (SELECT doc_id, string_agg(rule, ',' ORDER BY list_position({list(rules)}, rule)) AS broken
+  FROM shares s JOIN picked p USING (rule) WHERE s.lang IS NOT DISTINCT FROM p.lang AND share > cutoff GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+ n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, coalesce(broken, '') AS broken,
+ NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND broken IS NULL AS kept
+FROM counted LEFT JOIN broken USING (doc_id)"""
+
+
+def _templates_sql() -> str:
+    t = templates
+    return rf"""
+WITH lines AS (SELECT doc_id, place_of, line, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+   lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place_of
+   FROM documents)),
+own AS (SELECT DISTINCT doc_id, m, list_prepend(CAST(len(m) AS VARCHAR), m[1 : {t.LEADING}]) AS leaf FROM lines WHERE len(m) >= {t.MIN_TOKENS}),
+leaves AS (SELECT leaf FROM own GROUP BY leaf HAVING count(DISTINCT doc_id) >= {t.MIN_DOCS}),
+same AS (SELECT leaf, m, count(*) AS n FROM own JOIN leaves USING (leaf) GROUP BY ALL),
+placed AS (SELECT leaf, m, n, unnest(m) AS token, generate_subscripts(m, 1) AS place FROM same),
+fixed AS (SELECT leaf, place, token FROM placed WHERE token != '<*>' GROUP BY ALL HAVING sum(n) >= {t.MIN_DOCS}),
+named AS (SELECT p.leaf, p.m, list(CASE WHEN f.token IS NULL THEN '<*>' ELSE p.token END ORDER BY p.place) AS template
+  FROM placed p LEFT JOIN fixed f ON p.leaf = f.leaf AND p.place = f.place AND p.token = f.token
+  GROUP BY p.leaf, p.m HAVING avg(CASE WHEN f.token IS NULL THEN 0 ELSE 1 END) >= {t.MIN_FIXED}),
+recurring AS (SELECT template FROM own JOIN named USING (leaf, m) GROUP BY leaf, template
+  HAVING count(DISTINCT doc_id) >= {t.MIN_DOCS}),
+gone AS (SELECT m FROM named WHERE template IN (SELECT template FROM recurring)),
+marked AS (SELECT doc_id, place_of, line, len(m) > 0 AS worded, m IN (SELECT m FROM gone) AS dropped FROM lines),
+left_over AS (SELECT doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  coalesce(string_agg(line, chr(10) ORDER BY place_of) FILTER (NOT dropped), '') AS text FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+ CAST(length(l.text) AS BIGINT) AS chars_left, md5(l.text) AS text_md5 FROM documents d LEFT JOIN left_over l USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
+    "op5_line_templates": _templates_sql(),
+    "op6_quality_rules": _quality_sql(),
     # all items against all documents, without the search
     "op3_benchmark_leaks": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents),
