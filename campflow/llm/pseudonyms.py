@@ -42,6 +42,11 @@ _ANY = "|".join(SHAPES.values())
 _FIRST_DAY, _DAY_HIGH, _DAY_LOW = "1800-01-01", 189, 773
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _whole(shape: str, value: Column) -> Column:
     return value.rlike(f"^(?:{SHAPES[shape]})$")
 
@@ -65,13 +70,23 @@ def _permuted(left: Column, right: Column, left_size: Column, right_size: Column
 
 def permuted_digits(digits: Column, kind: str, key: str) -> Column:
     """A string of up to 36 digits permuted among those of its length."""
-    n = F.length(digits)
-    half = F.floor(n / 2).cast("int")
-    size = lambda k: F.concat(F.lit("1"), F.repeat(F.lit("0"), k)).cast("long")
-    left = F.concat(F.lit("0"), F.substring(digits, F.lit(1), half))
-    out = _permuted(left, F.substring(digits, half + 1, n), size(half), size(n - half), F.concat(F.lit(f"{kind}:"), n), key)
-    text = lambda part, k: F.lpad(F.when(k > 0, out[part].cast("string")).otherwise(""), k, "0")
-    return F.concat(text("l", half), text("r", n - half))
+
+    def size(k: Column) -> Column:
+        return F.concat(F.lit("1"), F.repeat(F.lit("0"), k)).cast("long")
+
+    def permute(d: Column) -> Column:
+        n = F.length(d)
+        half = F.floor(n / 2).cast("int")
+        left, right = F.concat(F.lit("0"), F.substring(d, F.lit(1), half)), F.substring(d, half + 1, n)
+        tweak = F.concat(F.lit(f"{kind}:"), n)
+
+        def text(out: Column) -> Column:
+            first = F.when(half > 0, F.lpad(out["l"].cast("string"), half, "0")).otherwise("")
+            return F.concat(first, F.lpad(out["r"].cast("string"), n - half, "0"))
+
+        return _let(_permuted(left, right, size(half), size(n - half), tweak, key), text)
+
+    return _let(digits, permute)
 
 
 def _digits(value: Column) -> Column:
@@ -82,47 +97,60 @@ def _refilled(value: Column, digits: Column) -> Column:
     """``value`` with its digits replaced, in order."""
     steps = F.regexp_extract_all(value, F.lit("[^0-9]*[0-9]"), F.lit(0))
     tail = F.regexp_extract(value, "[^0-9]*$", 0)
-    put = F.transform(steps, lambda s, i: F.concat(F.substring(s, F.lit(1), F.length(s) - 1), F.substring(digits, i + 1, F.lit(1))))
-    return F.concat(F.array_join(put, ""), tail)
+
+    def put(new: Column) -> Column:
+        each = F.transform(steps, lambda s, i: F.concat(F.substring(s, F.lit(1), F.length(s) - 1), F.substring(new, i + 1, F.lit(1))))
+        return F.concat(F.array_join(each, ""), tail)
+
+    return _let(digits, put)
 
 
 def _luhn_sum(digits: Column, doubled_from_right: int) -> Column:
     """The Luhn sum of ``digits``; the last digit is doubled if ``doubled_from_right`` is 0, the one before if 1."""
-    places = F.sequence(F.lit(0), F.length(digits) - 1)
 
-    def add(total: Column, place: Column) -> Column:
-        d = F.substring(digits, F.length(digits) - place, F.lit(1)).cast("int")
-        twice = d * 2
-        return total + F.when(place % 2 == doubled_from_right, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(d)
+    def total(text: Column) -> Column:
+        def add(so_far: Column, place: Column) -> Column:
+            d = F.substring(text, F.length(text) - place, F.lit(1)).cast("int")
+            doubled = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+            return so_far + F.when(place % 2 == doubled_from_right, doubled).otherwise(d)
+
+        return F.aggregate(F.sequence(F.lit(0), F.length(text) - 1), F.lit(0), add)
 
-    return F.aggregate(places, F.lit(0), add)
+    return _let(digits, total)
 
 
 def _card(value: Column, key: str) -> Column:
-    digits = _digits(value)
-    body = permuted_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), "card", key)
-    check = (F.lit(10) - _luhn_sum(body, 0) % 10) % 10
-    return F.when(_luhn_sum(digits, 1) % 10 == 0, _refilled(value, F.concat(body, check.cast("string"))))
+    def renewed(digits: Column) -> Column:
+        body = permuted_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), "card", key)
+        checked = _let(body, lambda b: F.concat(b, ((F.lit(10) - _luhn_sum(b, 0) % 10) % 10).cast("string")))
+        return F.when(_luhn_sum(digits, 1) % 10 == 0, _refilled(value, checked))
+
+    return _let(_digits(value), renewed)
 
 
 def _mod97(value: Column) -> Column:
     """An account number's remainder: its first four characters moved to the end, letters read as 10 to 35."""
-    moved = F.concat(F.substring(value, F.lit(5), F.length(value)), F.substring(value, 1, 4))
 
-    def add(rest: Column, place: Column) -> Column:
-        code = F.ascii(F.substring(moved, place, F.lit(1)))
-        return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
+    def rest(moved: Column) -> Column:
+        def add(so_far: Column, place: Column) -> Column:
+            code = F.ascii(F.substring(moved, place, F.lit(1)))
+            return F.when(code < 58, (so_far * 10 + code - 48) % 97).otherwise((so_far * 100 + code - 55) % 97)
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
+    return _let(F.concat(F.substring(value, F.lit(5), F.length(value)), F.substring(value, 1, 4)), rest)
 
 
 def _iban(value: Column, key: str) -> Column:
-    account = F.substring(value, F.lit(5), F.length(value))
+    account, country = F.substring(value, F.lit(5), F.length(value)), F.substring(value, 1, 2)
     digits = _digits(account)
     renewed = F.when(F.length(digits) > 0, _refilled(account, permuted_digits(digits, "iban", key))).otherwise(account)
-    country = F.substring(value, 1, 2)
-    check = F.lit(98) - _mod97(F.concat(country, F.lit("00"), renewed))
-    return F.when(_mod97(value) == 1, F.concat(country, F.lpad(check.cast("string"), 2, "0"), renewed))
+
+    def whole(new: Column) -> Column:
+        check = F.lit(98) - _mod97(F.concat(country, F.lit("00"), new))
+        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
+
+    return F.when(_mod97(value) == 1, _let(renewed, whole))
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -133,31 +161,43 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def _address(value: Column, key: str) -> Column:
-    parts = F.transform(F.split(value, r"\."), lambda p: p.cast("long"))
-    out = _permuted(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], F.lit(65536), F.lit(65536), F.lit("address"), key)
-    octets = [F.floor(out[half] / 256) if high else out[half] % 256 for half in "lr" for high in (True, False)]
-    return F.when(F.forall(parts, lambda p: p < 256), F.concat_ws(".", *(o.cast("string") for o in octets)))
+    def renewed(parts: Column) -> Column:
+        high, low, half = parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], F.lit(65536)
+        octets = lambda o: F.concat_ws(
+            ".", *(x.cast("string") for h in "lr" for x in (F.floor(o[h] / 256), o[h] % 256))
+        )
+        new = _let(_permuted(high, low, half, half, F.lit("address"), key), octets)
+        return F.when(F.forall(parts, lambda p: p < 256), new)
+
+    return _let(F.transform(F.split(value, r"\."), lambda p: p.cast("long")), renewed)
 
 
 def _date(value: Column, key: str) -> Column:
     # year first, or month before day with slashes, or day before month with dots
-    split = F.split(value, r"[./\-]")
-    year_first, slashes = value.rlike("^[0-9]{4}-"), value.contains("/")
-    year = F.when(year_first, split[0]).otherwise(split[2])
-    month = F.when(year_first | ~slashes, split[1]).otherwise(split[0])
-    day = F.when(year_first, split[2]).when(slashes, split[1]).otherwise(split[0])
-    iso = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    number = F.datediff(F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd"))), F.lit(_FIRST_DAY).cast("date"))
-    sizes = F.lit(_DAY_HIGH), F.lit(_DAY_LOW)
-    out = _permuted(F.floor(number / _DAY_LOW), number % _DAY_LOW, *sizes, F.lit("date"), key)
-    new = F.date_add(F.lit(_FIRST_DAY).cast("date"), (out["l"] * _DAY_LOW + out["r"]).cast("int"))
-    plain = F.length(value) < 10
-    shown = (
-        F.when(year_first, F.date_format(new, "yyyy-MM-dd"))
-        .when(slashes & plain, F.date_format(new, "M/d/yyyy")).when(slashes, F.date_format(new, "MM/dd/yyyy"))
-        .when(plain, F.date_format(new, "d.M.yyyy")).otherwise(F.date_format(new, "dd.MM.yyyy"))
-    )
-    return F.when(number.between(0, _DAY_HIGH * _DAY_LOW - 1), shown)
+    year_first, slashes, plain = value.rlike("^[0-9]{4}-"), value.contains("/"), F.length(value) < 10
+    first = F.lit(_FIRST_DAY).cast("date")
+
+    def number(split: Column) -> Column:
+        year = F.when(year_first, split[0]).otherwise(split[2])
+        month = F.when(year_first | ~slashes, split[1]).otherwise(split[0])
+        day = F.when(year_first, split[2]).when(slashes, split[1]).otherwise(split[0])
+        iso = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+        return F.datediff(F.to_date(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd"))), first)
+
+    def shown(new: Column) -> Column:
+        return (
+            F.when(year_first, F.date_format(new, "yyyy-MM-dd"))
+            .when(slashes & plain, F.date_format(new, "M/d/yyyy")).when(slashes, F.date_format(new, "MM/dd/yyyy"))
+            .when(plain, F.date_format(new, "d.M.yyyy")).otherwise(F.date_format(new, "dd.MM.yyyy"))
+        )
+
+    def renewed(days: Column) -> Column:
+        high, low = F.lit(_DAY_HIGH), F.lit(_DAY_LOW)
+        new = _permuted(F.floor(days / _DAY_LOW), days % _DAY_LOW, high, low, F.lit("date"), key)
+        moved = _let(new, lambda o: F.date_add(first, (o["l"] * _DAY_LOW + o["r"]).cast("int")))
+        return F.when(days.between(0, _DAY_HIGH * _DAY_LOW - 1), _let(moved, shown))
+
+    return _let(_let(F.split(value, r"[./\-]"), number), renewed)
 
 
 def _person(value: Column, key: str) -> Column:
