@@ -29,7 +29,7 @@ END_ID = 1
 #: The dictionary is trained on so many documents, drawn by a hash of doc_id over the whole table, and on so many
 #: bytes of each one's ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 13, 1 << 16
-_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS, _CACHED_PIECES = 3, 1 << 20, 4096, 1_000_000
+_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS, _CACHED_PIECES = 3, 1 << 20, 4096, 300_000
 _BLOCK_SCHEMA = (
     "part int, block int, first_id long, last_id long, n_ids long, dict_hash string, doc_ids array<long>,"
     " starts array<long>, n_tokens array<long>, offsets array<long>, payload binary"
@@ -41,19 +41,24 @@ class PieceIds(dict):
 
     The tokenizer drops white space and never joins over it, so a text's ids are those of its pieces. A piece shares
     the work of its lower-case form, and of its letters where one full stop or comma follows them: the tokenizer
-    lower-cases and splits there itself. Emptied when it holds ``_CACHED_PIECES`` pieces.
+    lower-cases and splits there itself. When it holds ``_CACHED_PIECES`` pieces they become the older generation, in
+    place of the one before: pieces that are still in use come back from there, others go.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._older: dict[bytes, bytes] = {}
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= _CACHED_PIECES:
+            self._older = dict(self)
             self.clear()
-        if piece.isascii() and (low := piece.lower()) != piece:
+        if (known := self._older.get(piece)) is not None:
+            found = known
+        elif piece.isascii() and (low := piece.lower()) != piece:
             found = self[low]
         elif piece[-1:] in (b".", b",") and piece[-2:-1].isalpha():
             found = self[piece[:-1]] + self[piece[-1:]]
