@@ -265,11 +265,13 @@ def held_out() -> Column:
 def training_sample(docs: DataFrame) -> list[tuple[str, str]]:
     """(lang, text) of the drawn documents, from those with a language and a doc_id that are not held out."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    draw = F.xxhash64("doc_id")
-    share = F.lit(2 * SAMPLE_DOCS) / F.col("n")
-    near = usable.select("lang", "text", draw.alias("draw")).join(sizes, "lang")
-    near = near.filter(F.pmod("draw", F.lit(1 << 20)) < F.ceil(share * (1 << 20)))
+    # as many rows as languages; a map of them lets every task drop what is not drawn before anything is shuffled
+    sizes = {row.lang: row.n for row in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return []
+    draw, scale = F.xxhash64("doc_id"), 1 << 20
+    bound = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, -(-2 * SAMPLE_DOCS * scale // n))))
+    near = usable.select("lang", "text", draw.alias("draw")).filter(F.pmod("draw", F.lit(scale)) < bound[F.col("lang")])
     spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     part = F.substring(F.col("text"), F.pmod(F.col("draw"), spare).cast("int") + 1, F.lit(SAMPLE_CHARS))
     first = near.select("lang", part.alias("text"), F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")).alias("nth"))
