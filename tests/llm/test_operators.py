@@ -420,3 +420,27 @@ def test_near_duplicates_on_odd_tables(odd_docs, no_docs):
     kept = simhash.keep_one_per_group(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [-8, 2, 4, 7]
+
+
+def test_edited_copies_leave_one_per_group(spark):
+    dice = random.Random(11)
+    texts = {}
+    for group in range(40):
+        words = [f"w{dice.randrange(5_000)}" for _ in range(200)]
+        for _ in range(5):
+            copy = list(words)
+            for at in dice.sample(range(200), dice.choice((2, 4, 6, 8))):
+                copy[at] = f"x{dice.randrange(5_000)}"
+            texts[len(texts)] = " ".join(copy)
+    for _ in range(300):  # many copies of one text: fewer comparisons than pairs
+        at = dice.randrange(200)
+        texts[len(texts)] = " ".join([*words[:at], f"y{dice.randrange(5_000)}", *words[at + 1 :]])
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.split()]}
+    from test_components import brute
+
+    pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = {i: i for i in texts} | dict(brute(pairs))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()} == root
+    kept = {r.doc_id for r in simhash.keep_one_per_group(docs).collect()}
+    assert kept == set(root.values()) and len(kept) < len(texts) // 2
