@@ -101,6 +101,22 @@ def test_unrelated_lines_have_no_licence():
     assert matcher.best(["// Licensed under the Apache License, Version 2.0."])[0] == "Apache-2.0"
 
 
+def test_wrapped_headers_and_licence_files_are_found():
+    import textwrap
+
+    matcher = licences._Matcher({None: 1000})
+    assert len(licences.FULL) == 9
+    for name, (full,) in licences.FULL.items():
+        for width, mark in ((60, ""), (72, "# "), (78, " * "), (10_000, "")):
+            lines = "\n".join(mark + line for line in textwrap.wrap("Copyright (c) 2020 A. Person. " + full, width))
+            assert matcher.of_text(f"#!/bin/sh\n{lines}\n\nint main;\n".encode())[0] == name
+    heads = {"The MIT License (MIT)": "MIT", "          GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "GPL-3.0"}
+    long = "words before it " * 300 + "Licensed under the Apache License, Version 2.0." + " words after it" * 300
+    for text, name in (heads | {long: "Apache-2.0"}).items():
+        assert matcher.of_text(text.encode())[0] == name
+    assert matcher.of_text(b"I lost my driving licence in the snow\npermission to come aboard was refused")[0] is None
+
+
 # 3 ----------------------------------------------------------------------------------------------------------------
 
 
