@@ -21,14 +21,29 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 _WORDISH = r"\p{L}\p{N}._%+\-"
 
+#: Fixed: the length of account numbers by country, where they may be printed in groups of four.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_GROUPED = "|".join(
+    rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in _IBAN_COUNTRIES.items()
+)
+_BETWEEN = r"[ .\-/()]{0,2}"
+
 #: Shapes, tried in this order at each place of a text.
 SHAPES: dict[str, str] = {
     "mail": rf"(?<![{_WORDISH}])[{_WORDISH}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)*\.\p{{L}}{{2,}}",
     "hex": r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])"
+    "iban": r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|" + _IBAN_GROUPED + r")(?![0-9A-Za-z])",
+    "phone": rf"(?<![0-9+])\+1(?:{_BETWEEN}[0-9]){{10}}(?![0-9])"
+             rf"|(?<![0-9+])\+[0-9](?:{_BETWEEN}[0-9]){{7,14}}(?![0-9]|[./\-][0-9])"
              r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-             r"|(?<![0-9.\-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9\-])",
+             r"|(?<![0-9.\-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9\-])"
+             r"|(?<![0-9.\-])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|\.[0-9])",
     "address": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "date": r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
             r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])",
@@ -147,15 +162,15 @@ def _iban(value: Column, key: str) -> Column:
     renewed = F.when(F.length(digits) > 0, _refilled(account, permuted_digits(digits, "iban", key))).otherwise(account)
 
     def whole(new: Column) -> Column:
-        check = F.lit(98) - _mod97(F.concat(country, F.lit("00"), new))
+        check = F.lit(98) - _mod97(F.concat(country, F.lit("00"), F.replace(new, F.lit(" "), F.lit(""))))
         return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
 
-    return F.when(_mod97(value) == 1, _let(renewed, whole))
+    return F.when(_mod97(F.replace(value, F.lit(" "), F.lit(""))) == 1, _let(renewed, whole))
 
 
 def _phone(value: Column, key: str) -> Column:
     # the country code stays: the digits after a plus and before a separator
-    country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .\-(])", 0)
+    country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .\-/(])", 0)
     rest = F.substring(value, F.length(country) + 1, F.length(value))
     return F.concat(country, _refilled(rest, permuted_digits(_digits(rest), "phone", key)))
 

@@ -347,6 +347,28 @@ def test_values_in_text(spark):
     assert other.text != one
 
 
+def test_printed_forms_of_numbers(spark):
+    forms = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "+33 1 23 45 67 89", "+33 6 12 34 56 78", "555.123.4567",
+             "+44 (0)20 7946 0958", "+4930123456", "+1 (017) 555-7713", "NO93 8601 1117 947"]
+    rows = [(i, f"call {f} AND MORE, {f}.") for i, f in enumerate(forms)]
+    rows += [(20, "DE89370400440532013000 or DE89 3704 0044 0532 0130 00"), (21, "DE88 3704 0044 0532 0130 00"),
+             (22, "+1 (017) 555-7713 42 and +33 1 23 45 67 89 2021-01-01")]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    shape = lambda text: "".join("9" if c.isdigit() else c for c in text)
+    for i, f in enumerate(forms):
+        text = out[i].text
+        assert out[i].n_values == 2 and f not in text and shape(text) == shape(rows[i][1])
+        new = text[5 : 5 + len(f)]
+        assert text == f"call {new} AND MORE, {new}."
+        if f[0].isalpha():
+            moved = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in moved[4:] + moved[:4])) % 97 == 1
+    packed, _, spaced = out[20].text.partition(" or ")
+    assert spaced.replace(" ", "") == packed and packed[:2] == "DE" and out[20].n_values == 2
+    assert (out[21].text, out[21].n_values) == (rows[-2][1], 0)
+    assert "-7713" not in out[22].text and " 42 and +33 " in out[22].text and out[22].n_values == 3
+
+
 def test_pseudonyms_on_odd_tables(odd_docs, no_docs):
     assert pseudonyms.pseudonymised(no_docs, "k").count() == 0
     out = pseudonyms.pseudonymised(odd_docs, "k")
