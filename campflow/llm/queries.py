@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campflow.llm import decontaminate, langid, licences, mixing, pseudonyms, quality, repeats, simhash, templates, tokens
-from campflow.llm.common import read_table
+from campflow.llm import (
+    decontaminate, langid, licences, mixing, phrases, pseudonyms, quality, repeats, simhash, templates, tokens, tries, urls,
+)
+from campflow.llm.common import read_table, stage
 from campflow.session import work_dir
 
 
@@ -93,6 +95,55 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+#: Fixed: the rules of the query, and the words that put a host on the list that it makes of the pages.
+URL_RULES = {"net/": urls.BLOCK, "example.net/en/": urls.ALLOW, "example.com/de/": urls.BLOCK, "org/fr/": urls.ALLOW}
+LISTED_WORDS = ("bets", "betting", "casino", "gambling", "jackpot", "loans", "pills", "poker", "porn", "slots", "viagra", "xxx")
+
+
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(list(URL_RULES.items()), "entry string, verdict string")
+    lists = [urls.write_list(rules, work_dir(spark, "url_rules")),
+             urls.write_list(urls.listed_hosts(pages, LISTED_WORDS), work_dir(spark, "url_hosts"))]
+    judged = urls.judged(pages, lists)
+    return judged.select("page_id", "host", "path", F.when(F.col("place") == 0, F.col("entry")).alias("rule"), "verdict")
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations whose first turns are those of the one whose id is the next lower multiple of 20.
+
+    ``turns`` as :func:`tries.numbered` counts them. Of a conversation c, h = crc32(c) mod 4 turns go, and as many of the
+    other one's first turns come before the rest (all, if it has fewer). Returns the turns and the ids of all.
+    """
+    ids = turns.select("conv_id").distinct().select(
+        "conv_id", (F.crc32(F.col("conv_id").cast("string")) % 4).alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base")
+    )
+    heads = turns.filter("place <= 3").withColumnRenamed("conv_id", "base")
+    lent = ids.filter("h > 0").join(heads, "base").filter("place <= h").select("conv_id", "place", "key", "words")
+    found = heads.groupBy("base").agg(F.max("place").alias("found"))
+    ids = ids.join(found, "base", "left").select("conv_id", "h", F.least("h", F.coalesce("found", F.lit(0))).alias("taken"))
+    rest = turns.join(ids, "conv_id").filter("place > h")
+    rest = rest.select("conv_id", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "key", "words")
+    return lent.unionByName(rest), ids.select("conv_id")
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(tries.numbered(read_table(spark, sf_dir, "conversations")).drop("role", "text"), "turns")
+    nodes, members = tries.prefix_nodes(*rebuilt(turns))
+    nodes = nodes.join(tries.member_digests(members), "node", "left")
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+PHRASE_SUPPORT, PHRASES_OF_A_LANGUAGE = 30, 2000
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(read_table(spark, sf_dir, "documents"), PHRASE_SUPPORT)
+    best = phrases.best_phrases(found, PHRASES_OF_A_LANGUAGE)
+    return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_repeats": _op1,
     "op2_licence_scan": _op2,
@@ -104,6 +155,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pseudonyms": _op8,
     "op9_mix_sources": _op9,
     "op10_simhash_groups": _op10,
+    "op11_url_filter": _op11,
+    "op12_conversation_trie": _op12,
+    "op13_phrases": _op13,
 }
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
@@ -179,7 +233,77 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
  CAST(length(l.text) AS BIGINT) AS chars_left, md5(l.text) AS text_md5 FROM documents d LEFT JOIN left_over l USING (doc_id)"""
 
 
+def _urls_sql() -> str:
+    rules = ", ".join(f"('{rule}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}', '{verdict}')" for rule, verdict in URL_RULES.items())
+    part = r"'(?s)^.*?://([^/?#]*)([^?#]*)'"
+    return rf"""
+WITH rules(rule, rule_host, rule_path, verdict) AS (VALUES {rules}),
+parts AS (SELECT row_number() OVER () AS row, page_id,
+  translate(regexp_extract(coalesce(url, ''), {part}, 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), {part}, 2) AS path FROM pages),
+best AS (SELECT row, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY row)
+SELECT page_id, host, path, rule, coalesce(verdict,
+  CASE WHEN regexp_matches(host, '(^|[.-])({"|".join(LISTED_WORDS)})([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN best USING (row)"""
+
+
+#: CRC-32 (reflected polynomial) of a text of ASCII characters, bit by bit.
+_CRC32_SQL = """(xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+  range(0, 8 * length(t)), lambda i: CAST(((ascii(substring(t, i // 8 + 1, 1)) >> (i % 8)) & 1) AS BIGINT))),
+  lambda c, b: xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END))))"""
+
+_TRIE_SQL = rf"""
+WITH own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+  {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT conv_id, list(t ORDER BY place) AS ts FROM own GROUP BY conv_id),
+heads AS (SELECT conv_id, ts, {_CRC32_SQL.replace("(t)", "(CAST(conv_id AS VARCHAR))").replace("substring(t,", "substring(CAST(conv_id AS VARCHAR),")} % 4 AS h FROM whole),
+made AS (SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1 : c.h], c.ts[c.h + 1 :]) AS ts
+  FROM heads c LEFT JOIN whole b ON b.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (SELECT conv_id, unnest(range(0, len(ts) + 1)) AS depth, ts FROM made),
+nodes AS (SELECT ts[1 : depth] AS way, depth, min(conv_id) AS conv_id, count(*) AS n,
+  string_agg(CASE WHEN depth = len(ts) THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends,
+  coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-]+')), 0) AS words
+  FROM steps GROUP BY ts[1 : depth], depth, coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-]+')), 0)),
+named AS (SELECT *, row_number() OVER () AS id FROM nodes),
+kids AS (SELECT p.id, count(*) AS n_children FROM named p JOIN named k ON k.depth = p.depth + 1 AND k.way[1 : p.depth] = p.way GROUP BY p.id),
+lines AS (SELECT id, unnest(range(0, depth + 1)) AS up, way, n, words FROM named),
+sums AS (SELECT a.id, count(*) FILTER (k.id IS NULL) AS n_leaves, sum((l.n - 1) * l.words) AS saved_tokens
+  FROM lines l JOIN named a ON a.depth = l.up AND a.way = l.way[1 : l.up] LEFT JOIN kids k ON k.id = l.id GROUP BY a.id)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs,
+ coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM named c LEFT JOIN named p ON p.depth = c.depth - 1 AND p.way = c.way[1 : p.depth]
+ LEFT JOIN kids ON kids.id = c.id JOIN sums ON sums.id = c.id"""
+
+
+def _phrases_sql(support: int = PHRASE_SUPPORT, first: int = PHRASES_OF_A_LANGUAGE) -> str:
+    return rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS w FROM documents),
+grams AS (SELECT lang, k, w[i : i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM pieces, (VALUES (1), (2), (3), (4)) ks(k) WHERE len(w) >= k)),
+counts AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM counts WHERE a >= {support}),
+cuts AS (SELECT lang, k, g, a, unnest(range(1, k)) AS cut FROM often WHERE k > 1),
+scored AS (SELECT c.lang, c.k, c.g, c.a, cut, l.a AS l, r.a AS r,
+   CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+  FROM cuts c JOIN often l ON l.lang = c.lang AND l.g = c.g[1 : cut] JOIN often r ON r.lang = c.lang AND r.g = c.g[cut + 1 :]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inner_ones AS (SELECT lang, a, g[i : i + size - 1] AS g FROM (SELECT lang, k, g, a, size, unnest(range(1, k - size + 2)) AS i
+  FROM (SELECT lang, k, g, a, unnest(range(2, k)) AS size FROM often WHERE k > 2))),
+longer AS (SELECT lang, g, max(a) AS b FROM inner_ones GROUP BY ALL),
+kept AS (SELECT o.*, array_to_string(o.g, ' ') AS phrase FROM lowest o LEFT JOIN longer x ON x.lang = o.lang AND x.g = o.g
+  WHERE x.b IS NULL OR CAST(100 AS HUGEINT) * x.b < CAST(80 AS HUGEINT) * o.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN sizes USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {first}"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_url_filter": _urls_sql(),
+    "op12_conversation_trie": _TRIE_SQL,
+    "op13_phrases": _phrases_sql(),
     "op5_line_templates": _templates_sql(),
     "op6_quality_rules": _quality_sql(),
     # all items against all documents, without the search

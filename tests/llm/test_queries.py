@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     db = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "conversations"):
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return db
 
@@ -34,7 +34,7 @@ def rows_of(df):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
