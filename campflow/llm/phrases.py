@@ -12,8 +12,9 @@ whole count, and phrases whose bound is too low are not united. With t = 1 every
 The united phrases are as many as the corpus is rich, so they are never sent whole to anyone: the pass that counts gets a
 bit per hash, in a map of a fixed size. A phrase that shares its bit with another one is counted in every shard as well,
 exactly, and falls to the support in the end; a crowded map costs time, not truth. The words that reach the support are
-told from the others in the same way before either pass. A shard is what a task has read of a language when
-``SHARD_WORDS`` are full, so a task's memory does not grow with the input.
+told from the others in the same way before either pass. A shard is what a task has read of a language; a
+task reads about ``SHARD_WORDS``, and twice as many at most before it mines a shard, so its memory does not grow with the
+input.
 """
 
 from __future__ import annotations
@@ -35,13 +36,12 @@ from campflow.llm.common import stage, utf8_texts
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
 MAX_WORDS = 4
-#: Words of a language that a task holds at once, as numbers (of all together twice as many); and texts are cut at piece ends into parts of about so many bytes.
-SHARD_WORDS, TEXT_BYTES = 4_000_000, 1 << 20
+#: Words that a task holds at once, as numbers; texts are cut at piece ends into parts of about so many bytes.
+SHARD_WORDS, TEXT_BYTES = 11_000_000, 1 << 20
 #: Bits of the maps that tell which words and phrases may reach the support: 16 MB each, whatever the input.
 MAP_BITS = 1 << 27
 _MAP_ROW = 1 << 15  # bits of one row of Spark's bitmaps
-_TASK_WORDS = 6_500_000
-_REPORTED_AT_ONCE = 1 << 19
+_PARTS = 4
 _COUNTED_AT_ONCE = 500_000
 _ENDS = bytes.maketrans(PIECE_ENDS, b"\n" * len(PIECE_ENDS))
 _END = b"."  # cannot be a word
@@ -124,20 +124,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class _Ids(dict):
-    """Numbers from 1 of the words that may reach the support; 0 for all others, which no phrase contains."""
+    """Numbers from 1 of the words that may reach the support; 0 for all others, which no phrase contains.
+
+    The others are not kept: they are most of the different words, and few of all words.
+    """
 
     def __init__(self, lang: str, frequent: BitMap) -> None:
         self._seed, self._frequent = _seed(lang), frequent
+        self[_END] = 0
         self.words: list[bytes] = [b""]
         self.hashes: list[int] = [0]
 
     def __missing__(self, word: bytes) -> int:
-        value, found = xxhash.xxh64_intdigest(word, self._seed), 0
-        if word != _END and self._frequent.has_one(value):
-            found = len(self.words)
-            self.words.append(word)
-            self.hashes.append(value)
-        self[word] = found
+        value = xxhash.xxh64_intdigest(word, self._seed)
+        if not self._frequent.has_one(value):
+            return 0
+        self[word] = found = len(self.words)
+        self.words.append(word)
+        self.hashes.append(value)
         return found
 
 
@@ -179,20 +183,29 @@ def _mine(
     for length in range(2, longest + 1):
         last = ids[np.minimum(at + (length - 1), len(ids) - 1)]  # a shard ends with a zero
         real = last > 0
-        at, label = at[real], label[real]
-        if not len(at):
+        at, label, last = at[real], label[real], last[real]
+        del real
+        found, number, kept = [], np.full(len(at), -1, np.int32), 0
+        for part in range(_PARTS):  # by first words, so that each phrase is whole in one part
+            own = np.flatnonzero(label % _PARTS == part)
+            if not len(own):
+                continue
+            pairs, own_label, counts = _numbered(label[own].astype(np.int64) * len(hashes) + last[own])
+            before, word = pairs // len(hashes), pairs % len(hashes)
+            longer = _longer(known_hashes[before], hashes[word])
+            ok = passes(longer, counts)
+            numbers = np.where(ok, np.cumsum(ok, dtype=np.int32) - 1 + kept, -1).astype(np.int32)
+            number[own] = numbers[own_label]
+            kept += int(ok.sum())
+            words = np.concatenate([known_words[before[ok]], word[ok].astype(np.int32)[:, None]], axis=1) if with_words else None
+            found.append(_Found(words, longer[ok], counts[ok]))
+        if not kept:
             return
-        pairs, label, counts = _numbered(label.astype(np.int64) * len(hashes) + last[real])
-        before, word = pairs // len(hashes), pairs % len(hashes)
-        longer = _longer(known_hashes[before], hashes[word])
-        ok = passes(longer, counts)
-        if with_words:
-            known_words = np.concatenate([known_words[before[ok]], word[ok].astype(np.int32)[:, None]], axis=1)
-        known_hashes = longer[ok]
-        yield _Found(known_words if with_words else None, known_hashes, counts[ok])
-        number = np.cumsum(ok, dtype=np.int32) - 1
-        keep = ok[label]
-        at, label = at[keep], number[label[keep]]
+        known_hashes = np.concatenate([f.hashes for f in found])
+        known_words = np.concatenate([f.words for f in found]) if with_words else known_words
+        yield _Found(known_words if with_words else None, known_hashes, np.concatenate([f.counts for f in found]))
+        keep = number >= 0
+        at, label = at[keep], number[keep]
 
 
 def _shards(batches: Iterator[pa.RecordBatch], frequent: BitMap) -> Iterator[tuple[str, int, np.ndarray, _Ids]]:
@@ -214,18 +227,61 @@ def _shards(batches: Iterator[pa.RecordBatch], frequent: BitMap) -> Iterator[tup
                 parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
                 parts.append(np.zeros(1, np.int32))
                 sizes[lang] += len(words) - words.count(_END)
-                if sizes[lang] >= SHARD_WORDS:
-                    yield shard(lang)
-                elif sizes.total() >= 2 * SHARD_WORDS:
+                if sizes.total() >= 2 * SHARD_WORDS:  # only where the input's partitions are larger than asked for
                     yield shard(max(sizes, key=sizes.get))
     for lang in list(held):
         yield shard(lang)
 
 
+def _report(lang: int, spare: int, places: np.ndarray, over: np.ndarray) -> pa.RecordBatch:
+    """What a shard found, a row per row of the map; the first row holds what an unreported phrase may occur."""
+    order = np.argsort(places)
+    places, over = places[order], over[order]
+    rows, begin = np.unique(places // _MAP_ROW, return_index=True)
+    cuts = [*begin.tolist(), len(places)]
+    packed = [(places[a:b] % _MAP_ROW).astype("<u2").tobytes() for a, b in zip(cuts, cuts[1:])]
+    counts = [over[a:b].astype("<i8").tobytes() for a, b in zip(cuts, cuts[1:])]
+    none = [0] * len(rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * (len(rows) + 1), pa.int32()), pa.array([spare, *none], pa.int64()), pa.array([None, *rows.tolist()], pa.int32()),
+         pa.array([None, *packed], pa.binary()), pa.array([None, *counts], pa.binary())],
+        ["lang", "spare", "row", "places", "over"],
+    )
+
+
+def _united(batches: Iterator[pa.RecordBatch], wanted: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """The rows of the map, from reports sorted by row and language: a bit where the bounds of all shards add up to what
+    the language wants. One row of sums is held at a time."""
+    row = lang = None
+    sums, bits = np.zeros(_MAP_ROW, np.int64), np.zeros(_MAP_ROW, bool)
+
+    def end_of_language() -> None:
+        if lang is not None:
+            bits[(sums > 0) & (sums >= wanted[lang])] = True
+        sums[:] = 0
+
+    def end_of_row() -> pa.RecordBatch:
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        bits[:] = False
+        return pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([packed], pa.binary())], ["row", "bits"])
+
+    for batch in batches:
+        for new_row, new_lang, places, over in zip(*(column.to_pylist() for column in batch.columns)):
+            if (new_row, new_lang) != (row, lang):
+                end_of_language()
+                if row is not None and new_row != row:
+                    yield end_of_row()
+                row, lang = new_row, new_lang
+            np.add.at(sums, np.frombuffer(places, "<u2"), np.frombuffer(over, "<i8"))
+    if row is not None:
+        end_of_language()
+        yield end_of_row()
+
+
 def _tasks(texts: DataFrame, words: int) -> DataFrame:
     """The input in fewer partitions where they hold few words, so that a shard is as large as a task can hold."""
     cores = texts.sparkSession.sparkContext.defaultParallelism
-    return texts.coalesce(max(cores, -(-words // _TASK_WORDS)))
+    return texts.coalesce(max(cores, -(-words // SHARD_WORDS)))
 
 
 def phrase_counts(texts: DataFrame, support: int, longest: int = MAX_WORDS, map_bits: int = MAP_BITS) -> DataFrame:
@@ -252,22 +308,17 @@ def phrase_counts(texts: DataFrame, support: int, longest: int = MAX_WORDS, map_
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, n, ids, known in _shards(batches, frequent.value):
             least = max(1, -(-support * n // totals[lang]))  # this shard's share of the support, rounded up
-
-            def report(place: np.ndarray | list, over: np.ndarray | list) -> pa.RecordBatch:
-                own = pa.array([numbers[lang]] * len(over), pa.int32())
-                return pa.RecordBatch.from_arrays([own, pa.array(place, pa.int64()), pa.array(over, pa.int64())], ["lang", "place", "over"])
-
-            yield report([None], [least - 1])
-            for found in _mine(ids, np.array(known.hashes, np.uint64), lambda _, counts: counts >= least, longest, False):
-                for at in range(0, len(found.counts), _REPORTED_AT_ONCE):
-                    some = slice(at, at + _REPORTED_AT_ONCE)
-                    yield report((found.hashes[some] % np.uint64(map_bits)).astype(np.int64), found.counts[some] - (least - 1))
-
-    reports = dealt.mapInArrow(local, "lang int, place long, over long")
-    reports = stage(reports.groupBy("lang", "place").agg(F.sum("over").alias("over")), "local_phrases")
-    spare = {row.lang: row.over for row in reports.filter("place IS NULL").collect()}  # a row per language
-    wanted = F.coalesce(*[F.when(F.col("lang") == i, support - over) for i, over in spare.items()], F.lit(support))
-    united = _bit_map(reports.filter(F.col("place").isNotNull() & (F.col("over") >= wanted)).select("place"), map_bits)
+            mined = list(_mine(ids, np.array(known.hashes, np.uint64), lambda _, counts: counts >= least, longest, False))
+            places = np.concatenate([f.hashes % np.uint64(map_bits) for f in mined] or [np.zeros(0, np.uint64)]).astype(np.int64)
+            over = np.concatenate([f.counts - (least - 1) for f in mined] or [np.zeros(0, np.int64)])
+            yield _report(numbers[lang], least - 1, places, over)
+
+    reports = stage(dealt.mapInArrow(local, "lang int, spare long, row int, places binary, over binary"), "local_phrases")
+    spare = {row.lang: row.n for row in reports.groupBy("lang").agg(F.sum("spare").alias("n")).collect()}  # a row per language
+    wanted = {lang: support - n for lang, n in spare.items()}
+    by_row = reports.filter("places IS NOT NULL").repartition("row").sortWithinPartitions("row", "lang")
+    rows = by_row.select("row", "lang", "places", "over").mapInArrow(lambda batches: _united(batches, wanted), "row int, bits binary")
+    united = context.broadcast(BitMap(rows.collect(), map_bits))  # a bit per place
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, _, ids, known in _shards(batches, frequent.value):
