@@ -24,10 +24,13 @@ from campflow.operators.quality import quality_report, uniqueness_report  # noqa
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
 from campflow.session import configure, work_dir  # noqa: E402
 from campflow.sources import readers, sinks, synth, testdata  # noqa: E402
+from campflow.streaming import live  # noqa: E402
 from campflow.streaming.late import bounded_dedup, read_kept, read_late  # noqa: E402
 from campflow.streaming.pipeline import (  # noqa: E402
     Layout, hourly_windows, read_sums, start_daily, start_sessions, start_sums,
 )
+from campflow.streaming.replica import read_replica, stream_upsert  # noqa: E402
+from campflow.streaming.rules import RuleHistory, rule_history, rule_report  # noqa: E402
 from campflow.streaming.run import finish, start  # noqa: E402
 
 try:  # the operators for training text can be left out of an installation
@@ -214,6 +217,106 @@ def _stream_fresh_metadata(i: _Inputs) -> DataFrame:
     return read_sums(i.spark, name, f"{folder}/data", i.clicks(), lambda: metadata)
 
 
+_THIRDS = [f"event_id % 3 = {n}" for n in range(3)]
+_deployments: dict[tuple, str] = {}
+
+
+def _deployed(i: _Inputs, kind: str, build: Callable[[str], None]) -> str:
+    """The folder of tables that several queries ask: built once in a session for each input."""
+    key = (i.spark.sparkContext.applicationId, i.sf_dir, kind)
+    if key not in _deployments:
+        folder = i.work_dir(kind)
+        build(folder)
+        _deployments[key] = folder
+    return _deployments[key]
+
+
+def _live(i: _Inputs, reset_at: int | None = None) -> str:
+    """All tables from one stream of three micro-batches; the folder they are in."""
+    return _deployed(i, f"live{reset_at or ''}", lambda folder: _run_live(i, folder, reset_at)) + "/live"
+
+
+def _run_live(i: _Inputs, folder: str, reset_at: int | None) -> None:
+    """With ``reset_at`` the checkpoint is lost before that batch: the query begins again with all that has arrived."""
+    events = testdata.read_events(i.spark, i.sf_dir)
+    for phase, condition in enumerate(_THIRDS):
+        clicks = silver.silver_clicks(testdata.bronze_clicks(i.spark, i.sf_dir, events.filter(condition)))
+        clicks.write.mode("append").parquet(f"{folder}/silver")
+        stream = i.spark.readStream.schema(clicks.schema).parquet(f"{folder}/silver")
+        checkpoint = "second" if reset_at is not None and phase >= reset_at else "first"
+        finish(live.start_live(stream, f"{folder}/live", f"{folder}/{checkpoint}"))
+
+
+def _live_table(name: str, reset_at: int | None = None) -> Callable[[_Inputs], DataFrame]:
+    return lambda i: live.live_table(i.spark, _live(i, reset_at), name, i.campaigns)
+
+
+def _live_feed_applied(i: _Inputs) -> DataFrame:
+    """The change feed of the hourly table, followed as a stream and applied to an empty table, version by version."""
+    name, folder = "gold_campaign_hourly_metrics", i.work_dir("followed")
+    feed = live.live_feed(i.spark, _live(i), name, streaming=True)
+    columns, keys = [c for c in feed.columns if c not in ("_change_type", "version")], gold.PRIMARY_KEYS[name]
+
+    def follow(images: DataFrame, _: int) -> None:
+        images.write.mode("append").parquet(f"{folder}/images")
+
+    finish(start(feed, follow, f"{folder}/checkpoint"))
+    state = i.spark.createDataFrame([], feed.select(*columns).schema)
+    images = i.spark.read.parquet(f"{folder}/images")
+    for row in images.select("version").distinct().orderBy("version").collect():
+        state = changes.apply_feed(state, images.filter(F.col("version") == row.version).drop("version"), keys)
+    return state
+
+
+def _replica_after_reset(i: _Inputs) -> DataFrame:
+    """The hourly replica of a query that loses its checkpoint after two of three micro-batches."""
+    folder, name = i.work_dir("reset"), "gold_campaign_hourly_metrics"
+    keys, kind = gold.TABLES[name].group, None
+
+    def run(events: DataFrame, phase: int) -> None:
+        nonlocal kind
+        hours = gold.campaign_hourly_metrics(silver.silver_clicks(testdata.bronze_clicks(i.spark, i.sf_dir, events)))
+        kind = hours.schema
+        finish(stream_upsert(hours, f"{folder}/data", keys, f"{folder}/checkpoint-{phase // 2}"))
+
+    _arriving(i, _THIRDS, run, folder)
+    return read_replica(i.spark, f"{folder}/data", keys, kind)
+
+
+def _refreshed(i: _Inputs) -> str:
+    """The tables of two loads by date: what came before a day, and what comes from then on."""
+    raw = testdata.bronze_clicks(i.spark, i.sf_dir)
+
+    def load(folder: str) -> None:
+        for part in ("<", ">="):
+            live.refresh_dates(raw.filter(f"event_timestamp {part} '{BEFORE[:10]}'"), folder)
+
+    return _deployed(i, "dates", load)
+
+
+def _refreshed_table(name: str) -> Callable[[_Inputs], DataFrame]:
+    return lambda i: live.live_table(i.spark, _refreshed(i), name, i.campaigns)
+
+
+def _stream_rule_report(i: _Inputs) -> DataFrame:
+    """The rule counts of a stream of three micro-batches, as a listener has stored them."""
+    folder = i.work_dir("rules")
+    history = RuleHistory(i.spark, f"{folder}/history", {"clicks": silver.CLICK_RULES})
+
+    def run(events: DataFrame, _: int) -> None:
+        raw = testdata.bronze_clicks(i.spark, i.sf_dir, events)
+        query = start(silver.silver_clicks(raw, metrics="clicks"), f"{folder}/data", f"{folder}/checkpoint")
+        finish(query)
+        history.wait(str(query.runId))
+
+    i.spark.streams.addListener(history)
+    try:
+        _arriving(i, _THIRDS, run, folder)
+    finally:
+        i.spark.streams.removeListener(history)
+    return rule_report(rule_history(i.spark, f"{folder}/history"))
+
+
 LATE_DELAY = "7 days"
 
 
@@ -370,6 +473,21 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "stored_trend_hour": _stored_trend("hour"),
         "stored_trend_minute": _stored_trend("minute"),
         "stream_hourly_watermarked": lambda i: _stream_append(i, hourly_windows(i.stream_clicks()), "windows"),
+        # all tables from one stream, by signed sums
+        "live_campaign_performance": _live_table("gold_campaign_performance"),
+        "live_campaign_minute_metrics": _live_table("gold_campaign_minute_metrics"),
+        "live_segment_analysis": _live_table("gold_segment_analysis"),
+        "live_geo_performance": _live_table("gold_geo_performance"),
+        "live_daily_after_reset": _live_table("gold_daily_kpis", reset_at=2),
+        "live_feed_applied": _live_feed_applied,
+        "live_kpi_changes": lambda i: live.kpi_changes(i.spark, _live(i)),
+        "live_trend_hour": lambda i: serving.trend(
+            *[live.live_table(i.spark, _live(i), f"gold_campaign_{grain}_metrics") for grain in ("hourly", "minute")], "hour", by_day=True),
+        "replica_after_reset": _replica_after_reset,
+        "refreshed_campaign_performance": _refreshed_table("gold_campaign_performance"),
+        "refreshed_campaign_hourly_metrics": _refreshed_table("gold_campaign_hourly_metrics"),
+        "refreshed_daily_kpis": _refreshed_table("gold_daily_kpis"),
+        "stream_rule_report": _stream_rule_report,
         # generated interactions, one for each event
         "synth_clicks": lambda i: i.synthetic(),
         "synth_sessions": lambda i: sessions.sessions_from_events(i.synthetic(), arrival=["event_id"]),
@@ -512,6 +630,16 @@ def _period_table(keys: str, source: str = "silver_clicks") -> str:
    {_count('conversion')} AS conversions, {_EVENTS} AS total_events FROM {source} GROUP BY {keys})"""
 
 
+def _daily_of(source: str) -> str:
+    return f"""
+ SELECT *, {_AVG} AS avg_response_time_ms, {_pct('total_clicks', 'total_impressions')} AS ctr,
+  {_pct('total_conversions', 'total_clicks')} AS conversion_rate FROM (
+  SELECT event_date, {_count('impression')} AS total_impressions, {_count('click')} AS total_clicks,
+   {_count('conversion')} AS total_conversions, {_count('dismiss')} AS total_dismisses,
+   {_VALUE} AS total_conversion_value, {_LATENCY_SUM} AS sum_response_time_ms, {_EVENTS} AS total_events
+  FROM {source} GROUP BY event_date)"""
+
+
 _CPC = (
     "CASE WHEN total_clicks > 0 THEN CAST((CAST(budget_brl * 100 AS BIGINT) * 2 + total_clicks)"
     " // (2 * total_clicks) / 100.0 AS DECIMAL(16,2)) END"
@@ -546,17 +674,11 @@ gold_geo_performance AS (
   SELECT geo_region, geo_city, {_EVENTS} AS total_events, {_count('click')} AS total_clicks,
    {_count('impression')} AS total_impressions FROM silver_clicks GROUP BY geo_region, geo_city)),
 gold_ab_test_results AS ({_latency_table('silver_clicks', 'ab_test_group')}),
-gold_daily_kpis AS (
- SELECT *, {_AVG} AS avg_response_time_ms, {_pct('total_clicks', 'total_impressions')} AS ctr,
-  {_pct('total_conversions', 'total_clicks')} AS conversion_rate FROM (
-  SELECT event_date, {_count('impression')} AS total_impressions, {_count('click')} AS total_clicks,
-   {_count('conversion')} AS total_conversions, {_count('dismiss')} AS total_dismisses,
-   {_VALUE} AS total_conversion_value, {_LATENCY_SUM} AS sum_response_time_ms, {_EVENTS} AS total_events
-  FROM silver_clicks GROUP BY event_date))
+gold_daily_kpis AS ({_daily_of('silver_clicks')})
 """
 
 
-def _summary(where: str = "true") -> str:
+def _summary(where: str = "true", source: str | None = None) -> str:
     return f"""SELECT total_impressions, total_clicks, {_exact_pct('total_clicks', 'total_impressions')} AS ctr,
   total_conversions, total_events,
   CAST(CASE WHEN total_events > 0 THEN (2 * latency + total_events) // (2 * total_events) ELSE 0 END
@@ -565,7 +687,7 @@ def _summary(where: str = "true") -> str:
   CAST(coalesce(sum(total_clicks), 0) AS BIGINT) AS total_clicks,
   CAST(coalesce(sum(total_conversions), 0) AS BIGINT) AS total_conversions,
   CAST(coalesce(sum(total_events), 0) AS BIGINT) AS total_events,
-  CAST(coalesce(sum(sum_response_time_ms), 0) AS BIGINT) AS latency FROM gold_daily_kpis WHERE {where})"""
+  CAST(coalesce(sum(sum_response_time_ms), 0) AS BIGINT) AS latency FROM {f'({source})' if source else 'gold_daily_kpis'} WHERE {where})"""
 
 
 def _over_campaigns(table: str, keys: str) -> str:
@@ -644,6 +766,15 @@ def _checks() -> dict[str, str]:
         f" WHERE p.{m} <> 0 AND p.{m} <> c.{m}"
         for m in ("total_impressions", "total_clicks", "ctr", "total_conversions")
     )
+    phase = "CAST(substr(event_id, 5) AS BIGINT) % 3"
+    summed = " UNION ALL ".join(
+        f"SELECT {n} AS at, * FROM ({_summary(source=_daily_of(f'(SELECT * FROM silver_clicks WHERE {phase} < {n})'))})" for n in range(4)
+    )
+    live_kpis = " UNION ALL ".join(
+        f"SELECT CAST(c.at AS BIGINT) AS at, '{m}' AS metric, CAST(p.{m} AS DOUBLE) AS previous, CAST(c.{m} AS DOUBLE) AS current"
+        f" FROM ({summed}) p JOIN ({summed}) c ON c.at = p.at + 1 WHERE p.{m} <> 0 AND p.{m} <> c.{m}"
+        for m in ("total_impressions", "total_clicks", "ctr", "total_conversions")
+    )
     before = _period_table(_HOUR_KEYS, f"(SELECT * FROM silver_clicks WHERE event_timestamp < TIMESTAMP '{BEFORE}')")
     after = _period_table(_HOUR_KEYS, f"(SELECT * FROM silver_clicks WHERE event_timestamp >= TIMESTAMP '{AFTER}')")
     key = "campaign_id, event_date, hour_of_day"
@@ -798,6 +929,18 @@ def _checks() -> dict[str, str]:
         "stored_campaign_minute_metrics": f"SELECT * FROM {minutely}",
         "stored_trend_hour": hour_all,
         "stored_trend_minute": minute_all,
+        **{name: "SELECT * FROM gold_" + name.partition("_")[2] for name in (
+            "live_campaign_performance", "live_campaign_minute_metrics", "live_segment_analysis", "live_geo_performance",
+            "refreshed_campaign_performance", "refreshed_campaign_hourly_metrics", "refreshed_daily_kpis")},
+        "live_daily_after_reset": "SELECT * FROM gold_daily_kpis",
+        "live_feed_applied": f"SELECT * FROM {hourly}",
+        "replica_after_reset": f"SELECT * FROM {hourly}",
+        "live_trend_hour": hour_all,
+        "live_kpi_changes": live_kpis,
+        "stream_rule_report": f"""SELECT dataset, rule, action, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+  CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS failed,
+  CAST(sum(CASE WHEN ok OR action = 'warn' THEN 0 ELSE 1 END) AS BIGINT) AS dropped
+ FROM ({rules}) WHERE dataset = 'clicks' AND rule LIKE 'valid%' GROUP BY dataset, rule, action""",
         "stream_hourly_watermarked": f"""SELECT * FROM {hourly}
  WHERE event_date + to_hours(hour_of_day + 1)
   <= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM silver_clicks)""",

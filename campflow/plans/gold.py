@@ -110,6 +110,12 @@ def _finish(summed: DataFrame, name: str, keys: tuple[str, ...] | None = None) -
     return summed.selectExpr(*(keys or table.group), *[f"{known[c]} AS {c}" for c in table.outputs])
 
 
+def finish_sums(sums: DataFrame, name: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """A table without metadata from rows that hold its sums, and the columns ``extra`` as they are. Row by row, so it
+    works on stored sums, on their images and on streams of them."""
+    return _finish(sums, name, (*TABLES[name].group, *extra))
+
+
 def _simple(source: DataFrame, name: str) -> DataFrame:
     return _finish(M.totals(source, *TABLES[name].group), name)
 
@@ -249,8 +255,3 @@ def build_from_cascade(
         return build(name, sides.filter(F.col("cell_set") == _CELL_SET_OF[name]))
     return build(name, minutes if name == "gold_campaign_minute_metrics" else hours, campaigns)
 
-
-def build_from_cells(name: str, cells: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One gold table by name, from stored activity cells."""
-    own = _CELL_SET_OF.get(name, "campaign_minute")
-    return build(name, cells.filter(F.col("cell_set") == own), campaigns)

@@ -145,8 +145,9 @@ def start_daily(
 
 
 def live_dashboard(spark: SparkSession, silver: DataFrame, campaigns: Campaigns, layout: Layout) -> Dashboard:
-    """The dashboard's questions over the current rows of the replicas of a deployment."""
-    return Dashboard({name: gold_table(spark, name, silver, campaigns, layout) for name in gold.TABLES})
+    """The dashboard's questions over the current rows of the replicas of a deployment. The hourly and minute replicas are
+    stored by day, so trends read the newest days only."""
+    return Dashboard({name: gold_table(spark, name, silver, campaigns, layout) for name in gold.TABLES}, by_day=True)
 
 
 def refresh(

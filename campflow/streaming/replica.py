@@ -1,16 +1,8 @@
-"""A continuously updated keyed replica of a streaming result.
+"""A continuously updated keyed replica of a streaming result: a keyed merge into a partitioned table.
 
-Plain files have no row updates, so the replica is a log: each micro-batch adds the rows it changed, and reading takes
-the newest row of every key. A batch that is delivered again replaces what it wrote before, which makes the replica
-exact. Every ``fold_every`` batches the writer folds everything into a new base, and reading starts from there.
-
-Three rings of folders, written by Spark's writers only, so their number is fixed however long the query runs::
-
-    log/slot=K     the rows of one batch, K = batch modulo the ring
-    base/slot=K    all current rows as of one batch
-    marks/slot=K   written after a base is complete: the batch up to which it holds everything
-
-A base is overwritten when three newer ones are complete, so a reader has that long to finish.
+Each micro-batch merges the rows it changed into the partitions they lie in, by :mod:`campflow.streaming.store`: days for
+results that have one, a hash of the key otherwise. The last value wins; a batch that is delivered again changes nothing,
+and a query that lost its checkpoint writes over the rows of the run before.
 """
 
 from __future__ import annotations
@@ -23,14 +15,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from campflow.functions import measures as M
-from campflow.operators.changes import latest, require_unique
 from campflow.plans import gold
 from campflow.streaming.run import start
+from campflow.streaming.store import VERSION, Batch, Store, Table, run_of
 
-BATCH = "batch_id"
-FOLD_EVERY = 50
-_BASES = 4
-_MARK = "upto long, generation long"
+DAY = "event_date"
+
+
+def replica_table(schema: T.StructType, keys: Sequence[str], buckets: int = 1) -> Table:
+    """A replica is stored by day if its key has one, and in ``buckets`` of its keys otherwise."""
+    return Table("rows", schema, tuple(keys), DAY if DAY in keys and len(keys) > 1 else None, buckets)
 
 
 def stream_upsert(
@@ -39,79 +33,63 @@ def stream_upsert(
     keys: Sequence[str],
     checkpoint: str,
     trigger: str | None = None,
-    fold_every: int = FOLD_EVERY,
+    buckets: int = 1,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Keep the replica at ``path`` up to date with an update-mode stream of changed rows.
 
     ``enrich`` completes each micro-batch, for instance from tables that are read afresh. A micro-batch that holds two
-    rows for one key fails the query.
+    rows for one key fails the query. Each batch writes the days or buckets that it touches anew, so triggers of a
+    minute and more suit it; ``buckets`` keep that small for large results without a day.
     """
-    write = batch_writer(path, keys, fold_every)
+    write = batch_writer(path, keys, buckets)
     sink = write if enrich is None else lambda batch, batch_id: write(enrich(batch), batch_id)
     return start(changes, sink, checkpoint, mode="update", trigger=trigger)
 
 
-def batch_writer(path: str, keys: Sequence[str], fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str, keys: Sequence[str], buckets: int = 1) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of :func:`stream_upsert`."""
-    ring = _BASES * fold_every  # a batch stays until every base that lacks it may be gone
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = require_unique(batch, keys).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        rows.write.mode("overwrite").parquet(f"{path}/log/slot={batch_id % ring}")
-        if batch_id % fold_every:
-            return
-        generation = batch_id // fold_every
-        spark, schema = batch.sparkSession, batch.schema
-        folded = rows if not generation else read_log(spark, path, keys, schema, upto=batch_id)
-        folded.write.mode("overwrite").parquet(f"{path}/base/slot={generation % _BASES}")
-        mark = spark.createDataFrame([(batch_id, generation)], _MARK)
-        mark.coalesce(1).write.mode("overwrite").parquet(f"{path}/marks/slot={generation % _BASES}")
+        table = replica_table(batch.schema, keys, buckets)
+
+        def prepare(own: Batch) -> None:
+            own.merge(table, own.keep("changes", batch))
+
+        Store(batch.sparkSession, path).apply(run_of(batch) or "", batch_id, prepare)
 
     return write
 
 
-def read_log(
-    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, upto: int | None = None
+def read_replica(
+    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, buckets: int = 1, with_version: bool = False
 ) -> DataFrame:
-    """The current rows of a replica with the batch that wrote each; ``upto`` leaves out later batches.
+    """The current rows of a replica; ``with_version`` adds the batch that wrote each, counted over all runs."""
+    return Store(spark, path).read(replica_table(schema, keys, buckets), with_version)
 
-    A replica begins at batch 0, which is its first base.
-    """
-    fields = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    marks = spark.read.schema(_MARK).parquet(f"{path}/marks")
-    if upto is not None:
-        marks = marks.filter(F.col("upto") < upto)
-    newest = marks.agg(F.max(F.struct("upto", "generation")).alias("m")).first().m
-    slotted = T.StructType([*fields.fields, T.StructField("slot", T.IntegerType())])
-    base = spark.read.schema(slotted).parquet(f"{path}/base").filter(F.col("slot") == newest.generation % _BASES)
-    log = spark.read.schema(slotted).parquet(f"{path}/log").filter(F.col(BATCH) > newest.upto)
-    if upto is not None:
-        log = log.filter(F.col(BATCH) <= upto)
-    both = base.unionByName(log).drop("slot").withColumn("_version", F.col(BATCH))
-    return latest(both, keys, "_version").select(*fields.names)
-
-
-def read_replica(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
-    """The current rows of a replica."""
-    return read_log(spark, path, keys, schema).drop(BATCH)
-
-
-def read_gold(spark: SparkSession, path: str, name: str, schema: T.StructType) -> DataFrame:
+
+def read_feed(
+    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, streaming: bool = False
+) -> DataFrame:
+    """The change feed of a replica: images of the changed rows with ``_change_type`` and ``version``, as a stream too."""
+    return Store(spark, path).feed(replica_table(schema, keys), streaming)
+
+
+def read_gold(spark: SparkSession, path: str, name: str, schema: T.StructType, buckets: int = 1) -> DataFrame:
     """The current rows of a gold table's replica, one per primary key.
 
-    The log is keyed by what the table is grouped by. Where that is finer than the primary key (the hourly and minute
-    tables hold the campaign's name), the counts of all groups of a key are added, and the key takes the name that
-    changed last: a renamed campaign keeps all its counts.
+    The replica is keyed by what the table is grouped by. Where that is finer than the primary key (the hourly and
+    minute tables hold the campaign's name), the counts of all groups of a key are added, and the key takes the name
+    that changed last: a renamed campaign keeps all its counts.
     """
     table = gold.TABLES[name]
     if set(table.group) == set(table.primary_key):
-        return read_replica(spark, path, table.group, schema)
-    log = read_log(spark, path, table.group, schema)
+        return read_replica(spark, path, table.group, schema, buckets)
+    rows = read_replica(spark, path, table.group, schema, buckets, with_version=True)
     named = [c for c in table.group if c not in table.primary_key]
-    newest = F.struct(BATCH, "total_events", *named)
+    newest = F.struct(VERSION, "total_events", *named)
     counts = [c for c in table.outputs if c != "ctr"]
-    folded = log.groupBy(*table.primary_key).agg(
+    folded = rows.groupBy(*table.primary_key).agg(
         *[F.max_by(c, newest).alias(c) for c in named], *[F.sum(c).alias(c) for c in counts]
     )
     return folded.withColumn("ctr", F.expr(M.percent("clicks", "impressions"))).select(*schema.names)

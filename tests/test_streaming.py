@@ -156,18 +156,20 @@ def test_a_repeated_batch_replaces_itself(spark):
 
 
 def test_fifty_batches_keep_the_number_of_folders(spark):
-    path = work_dir(spark, "ring")
-    schema = spark.createDataFrame([], "k string, v int").schema
-    write, expected = batch_writer(path, ["k"], fold_every=3), {}
+    path, day = work_dir(spark, "days"), dt.date(2024, 1, 1)
+    schema = spark.createDataFrame([], "k string, event_date date, v int").schema
+    write, expected = batch_writer(path, ["k", "event_date"]), {}
     for batch_id in range(50):
-        rows = [(f"k{batch_id % 7}", batch_id), (f"once{batch_id}", batch_id)]
-        for _ in range(2 if batch_id % 9 == 0 else 1):  # some are delivered again, folding batches among them
+        days = [day + dt.timedelta(batch_id % 5), None]
+        rows = [(f"k{batch_id % 7}", days[0], batch_id), (f"once{batch_id}", days[1], batch_id)]
+        for _ in range(2 if batch_id % 9 == 0 else 1):  # some are delivered again
             write(spark.createDataFrame(rows, schema), batch_id)
-        expected |= dict(rows)
-        if batch_id % 10 == 9:
-            assert {r.k: r.v for r in read_replica(spark, path, ["k"], schema).collect()} == expected
-    folders = [p for p in Path(path).rglob("slot=*")]
-    assert len(folders) == 12 + 4 + 4
+        expected |= {(k, d): v for k, d, v in rows}
+    rows = read_replica(spark, path, ["k", "event_date"], schema).collect()
+    assert {(r.k, r.event_date): r.v for r in rows} == expected and len(rows) == len(expected)
+    assert len(list(Path(path, "tables").rglob("event_date=*"))) == 6
+    assert all(len(list(folder.glob("*.parquet"))) == 1 for folder in Path(path, "tables").rglob("event_date=*"))
+    assert [p.name for p in Path(path, "pending").iterdir()] == ["50"]
 
 
 def test_a_renamed_campaign_keeps_its_counts(spark, campaigns):
@@ -202,6 +204,20 @@ def test_late_rows_are_kept_apart(spark):
     assert sorted((r.k, r.reason) for r in read_late(spark, path, schema).collect()) == [("n", "untimed"), ("new", "late")]
 
 
+def test_fifty_batches_keep_the_ledger_small(spark):
+    """Five days of ids are within the horizon, however many batches there were."""
+    path = work_dir(spark, "ledger")
+    schema = spark.createDataFrame([], "k long, t timestamp").schema
+    write = bounded_dedup(path, ["k"], "t", "4 days")
+    for batch_id in range(50):
+        day = dt.datetime(2024, 1, 1) + dt.timedelta(days=batch_id // 2)
+        rows = [(batch_id // 2 * 10 + i, day) for i in range(5)]  # every second batch repeats the one before
+        write(spark.createDataFrame(rows, schema), batch_id)
+    assert sorted(r.k for r in read_kept(spark, path, schema).collect()) == sorted(d * 10 + i for d in range(25) for i in range(5))
+    assert len(list(Path(path, "tables/ledger").glob("_day=*"))) <= 6
+    assert len(list(Path(path, "tables/kept").glob("_day=*"))) == 25
+
+
 def test_metadata_is_read_when_the_table_is(spark, campaigns):
     folder, name = work_dir(spark, "fresh"), "gold_segment_analysis"
     known = campaigns.filter("target_segment IS NOT NULL").select("campaign_id").first().campaign_id
