@@ -37,7 +37,7 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
 MAX_WORDS = 4
 #: Words that a task holds at once, as numbers; texts are cut at piece ends into parts of about so many bytes.
-SHARD_WORDS, TEXT_BYTES = 11_000_000, 1 << 20
+SHARD_WORDS, TEXT_BYTES = 16_000_000, 1 << 20
 #: Bits of the maps that tell which words and phrases may reach the support: 16 MB each, whatever the input.
 MAP_BITS = 1 << 27
 _MAP_ROW = 1 << 15  # bits of one row of Spark's bitmaps
