@@ -23,6 +23,16 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512) -> None:
+    """From now on Python workers of the session get so many rows at once, at most.
+
+    A batch is held as Arrow buffers, as Python objects and as results; Spark's default of 10,000 rows makes that
+    several hundred megabytes of long texts.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a longer name if ``df`` has such a column (names are compared without case)."""
     taken = {c.lower() for c in df.columns}

@@ -25,25 +25,18 @@ SEED = 42
 SEGMENTS, SEGMENT_BITS = 4, 16
 _AT_ONCE = 1 << 16
 
-#: Texts are near copies from this Jaccard similarity of their shingle sets on, as a fraction.
-SIMILARITY = (4, 5)
-#: A pair at that similarity shares none of the bands with a probability of (1 - 0.8 ** 6) ** 46, under 1 in a million.
-BANDS, BAND_ROWS = 46, 6
-_dice = np.random.Generator(np.random.PCG64(SEED))
-_FACTORS, _OFFSETS = (_dice.integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), np.uint32) | np.uint32(odd) for odd in (1, 0))
-
 
 def fingerprint(text: bytes, shingle_words: int = 3) -> int:
     """A bit is 1 if it is 1 in over half of the shingles' hashes. A-Z are lower-cased; no words give 0."""
     n, ones = 0, np.zeros(64, np.int64)
-    for hashes in _shingle_hashes(text, shingle_words):
+    for hashes in shingle_hashes(text, shingle_words):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         n += len(hashes)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def _shingle_hashes(text: bytes, shingle_words: int) -> Iterator[np.ndarray]:
+def shingle_hashes(text: bytes, shingle_words: int) -> Iterator[np.ndarray]:
     """The hashes of all shingles, in batches; a text of fewer words is one shingle, one without words has none."""
     words = text.lower().split()  # of bytes: ASCII letters and ASCII white space only
     if not words:
@@ -103,117 +96,3 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     group = stage(named.join(first, "root").select("fingerprint", "component_id"), "group_of")
     return prints.join(group, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
-
-
-def shingle_set(text: bytes, shingle_words: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles; a text without words has the one of no word."""
-    found = list(_shingle_hashes(text, shingle_words))
-    return np.unique(np.concatenate(found)) if found else np.array([xxhash.xxh64_intdigest(b"", SEED)], "<u8")
-
-
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """``BANDS`` keys, each of ``BAND_ROWS`` minima of permuted shingle hashes. Similar sets share one."""
-    short = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(_FACTORS), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(short), 4096):
-        np.minimum(least, (_FACTORS * short[at : at + 4096] + _OFFSETS).min(axis=1), out=least)
-    rows = least.reshape(BANDS, BAND_ROWS)
-    return [xxhash.xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(rows)]
-
-
-def _text_key() -> F.Column:
-    return F.md5(F.coalesce("text", F.lit("")))
-
-
-def _bands(docs: DataFrame, shingle_words: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingle_set(text, shingle_words) for text in utf8_texts(batch.column(2)))
-            sizes, keys = zip(*((len(s), band_keys(s)) for s in sets)) if batch.num_rows else ((), ())
-            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "node", "n", "bands"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), _text_key().alias("node"), "text")
-    return rows.mapInArrow(run, "doc_id long, node string, n long, bands array<long>")
-
-
-def _shingles(texts: DataFrame, shingle_words: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):  # the sets are larger than their texts
-                part = batch.slice(at, 200)
-                sets = [shingle_set(text, shingle_words).view("<i8") for text in utf8_texts(part.column(1))]
-                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["node", "shingles"])
-
-    return texts.mapInArrow(run, "node string, shingles array<long>")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
-    """Of ``pairs`` (a, b: text keys) those whose shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(_text_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(stage(wanted, "wanted"), "node", "left_semi").dropDuplicates(["node"])
-    sets = stage(_shingles(texts, shingle_words), "shingle_sets")
-    of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
-    both, size = pairs.join(of("a"), "a").join(of("b"), "b"), lambda side: F.size(f"{side}_set")
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    high, low = SIMILARITY
-    return stage(both.filter(shared * (high + low) >= (size("a") + size("b")) * high).select("a", "b"), "similar")
-
-
-def similar_groups(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """``doc_id, component_id`` for every row of ``docs``: groups of texts linked by a Jaccard similarity of 0.8.
-
-    Pairs are fetched by bands of MinHash values and compared exactly. Within a bucket every text is first compared with
-    the smallest; then pairs whose texts are still in different groups, those that share two neighbouring bands first. So
-    each fetched pair is either compared or connected anyway, and a large group of near copies is not compared pair by
-    pair. Texts that share much and yet are no copies are: their pairs grow with the square of their number.
-    """
-    prints = stage(_bands(docs, shingle_words), "bands")
-    nodes = stage(prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "texts")
-    keys = stage(nodes.select("node", "n", F.explode("bands").alias("key")), "band_keys")
-    buckets = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("size"))
-    keys = stage(keys.join(buckets.filter("size > 1").select("key", "first"), "key"), "buckets")
-    high, low = SIMILARITY
-
-    def near(a: F.Column, b: F.Column) -> F.Column:  # sets of too different sizes cannot be similar enough
-        return F.least(a, b) * low >= F.greatest(a, b) * high
-
-    tried = keys.filter((F.col("node") != F.col("first.node")) & near(F.col("n"), F.col("first.n")))
-    tried = stage(tried.select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct(), "pairs")
-    links = _verified(docs, tried, shingle_words)
-
-    two = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 2), F.lit(2)), lambda i: F.xxhash64(i, F.get("bands", i), F.get("bands", i + 1)))
-    for wide in (nodes.select("node", "n", F.explode(two).alias("key")), keys.select("node", "n", "key")):
-        rooted = wide.join(components(links), "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        rooted = stage(rooted, "rooted")
-        open_keys = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("key")
-        mixed = stage(rooted.join(open_keys, "key", "left_semi"), "open_buckets")
-        x, y = mixed.alias("x"), mixed.alias("y")
-        apart = x.join(y, "key").filter((F.col("x.root") < F.col("y.root")) & near(F.col("x.n"), F.col("y.n")))
-        rest = apart.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-        rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links, tried = links.unionAll(_verified(docs, rest, shingle_words)), tried.unionAll(rest)
-
-    named = nodes.select("node", "first_id").join(components(links), "node", "left")
-    named = stage(named.select("node", "first_id", F.coalesce("root", "node").alias("root")), "groups")
-    first = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    group = stage(named.join(first, "root").select("node", "component_id"), "group_of")
-    return prints.select("doc_id", "node").join(group, "node").select("doc_id", "component_id")
-
-
-def keep_one_per_group(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """``docs`` without near copies: of each of ``similar_groups``, the document with the smallest doc_id stays.
-
-    Of rows that repeat a doc_id the one with the smallest text stays. Rows without a doc_id cannot be named by a
-    group; they stay, once per text.
-    """
-    groups = similar_groups(docs, shingle_words)
-    gone, rank, nameless = (free_name(docs, name) for name in ("_gone", "_rank", "_nameless"))
-    removed = groups.filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
-    kept = docs.join(stage(removed, "near_copies"), F.col("doc_id").cast("long") == F.col(gone), "left_anti")
-    kept = kept.withColumn(nameless, F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    best = Window.partitionBy("doc_id", nameless).orderBy("text")
-    return kept.withColumn(rank, F.row_number().over(best)).filter(F.col(rank) == 1).drop(rank, nameless)

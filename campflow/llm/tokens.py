@@ -12,7 +12,8 @@ A folder of token files holds three Parquet tables, so that Spark's writers comm
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -29,7 +30,12 @@ END_ID = 1
 #: The dictionary is trained on so many documents, drawn by a hash of doc_id over the whole table, and on so many
 #: bytes of each one's ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 13, 1 << 16
-_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS, _CACHED_PIECES = 3, 1 << 20, 4096, 300_000
+_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS, _CACHED_FORMS = 3, 1 << 20, 4096, 500_000
+_GROUP_BYTES = 1 << 20
+#: Characters that normal forms, lower-casing or white space rules may treat together with others: all but ASCII white
+#: space and the printable characters of ASCII and Latin.
+_MOVED = re.compile("[^\\t-\\r\\x20-\\x7e\u00a1-\u012f\u0131-\u024f]")
+_STOP = re.compile(r"[.,](?!\S)(?<=[^\W_].)")
 _BLOCK_SCHEMA = (
     "part int, block int, first_id long, last_id long, n_ids long, dict_hash string, doc_ids array<long>,"
     " starts array<long>, n_tokens array<long>, offsets array<long>, payload binary"
@@ -37,39 +43,71 @@ _BLOCK_SCHEMA = (
 
 
 class PieceIds(dict):
-    """Ids (as bytes) of pieces between ASCII white space, encoded when they are first asked for.
-
-    The tokenizer drops white space and never joins over it, so a text's ids are those of its pieces. A piece shares
-    the work of its lower-case form, and of its letters where one full stop or comma follows them: the tokenizer
-    lower-cases and splits there itself. When it holds ``_CACHED_PIECES`` pieces they become the older generation, in
-    place of the one before: pieces that are still in use come back from there, others go.
+    """Ids (as bytes) of the forms of pieces between white space.
+
+    The tokenizer drops white space and never joins over it, so a text's ids are those of its pieces. It lower-cases, and
+    splits a full stop or comma from the letter or digit before it; done beforehand for a whole text, that leaves far
+    fewer forms to know. The unknown forms of a group of texts are encoded in one call, as lines of one text, and told
+    apart by their places. Texts with characters that the tokenizer might treat together with their neighbours are
+    encoded as they are. When it holds ``_CACHED_FORMS`` forms they become the older generation, in place of the one
+    before: forms that are still in use come back from there, others go.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._older: dict[bytes, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._unknown: set[str] = set()
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= _CACHED_PIECES:
+    def __missing__(self, form: str) -> bytes:
+        if (ids := self._older.get(form)) is None:
+            self._unknown.add(form)
+            return b""
+        self[form] = ids
+        return ids
+
+    def of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of each text."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text.decode())
+            size += len(text)
+            if size >= _GROUP_BYTES:
+                yield from self._ids(group)
+                group, size = [], 0
+        yield from self._ids(group)
+
+    def _ids(self, group: list[str]) -> list[bytes]:
+        if len(self) >= _CACHED_FORMS:
             self._older = dict(self)
             self.clear()
-        if (known := self._older.get(piece)) is not None:
-            found = known
-        elif piece.isascii() and (low := piece.lower()) != piece:
-            found = self[low]
-        elif piece[-1:] in (b".", b",") and piece[-2:-1].isalpha():
-            found = self[piece[:-1]] + self[piece[-1:]]
-        else:
-            ids = self._tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-            found = np.array(ids, self.kind).tobytes()
-        self[piece] = found
-        return found
-
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        out, open_texts = [], []
+        for text in group:
+            if _MOVED.search(text):
+                out.append(np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
+                continue
+            forms = _STOP.sub(r" \g<0>", text.lower()).split()
+            seen = len(self._unknown)
+            out.append(b"".join(map(self.__getitem__, forms)))
+            if self._unknown and (len(self._unknown) > seen or not self._unknown.isdisjoint(forms)):
+                open_texts.append((len(out) - 1, forms))
+        if self._unknown:
+            self._learn(list(self._unknown))
+            self._unknown.clear()
+            for at, forms in open_texts:
+                out[at] = b"".join(map(self.__getitem__, forms))
+        return out
+
+    def _learn(self, forms: list[str]) -> None:
+        found = self._tokenizer.encode("\n".join(forms), add_special_tokens=False)
+        ids = np.array(found.ids, self.kind)
+        begins = np.fromiter((at for at, _ in found.offsets), np.int64, len(ids))
+        cuts = np.searchsorted(begins, np.cumsum([0, *(len(form) + 1 for form in forms)])) * ids.itemsize
+        raw, cuts = ids.tobytes(), cuts.tolist()
+        self.update((form, raw[a:b]) for form, a, b in zip(forms, cuts, cuts[1:]))
 
 
 @cache
@@ -87,8 +125,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
         pieces = _pieces(tokenizer)
         for batch in batches:
             out = []
-            for text in utf8_texts(batch.column(0)):
-                ids = pieces.of(text)
+            for ids in pieces.of(utf8_texts(batch.column(0))):
                 spare = max(0, len(ids) - SAMPLE_BYTES) // pieces.kind.itemsize
                 at = int.from_bytes(hashlib.md5(ids).digest()[:8], "little") % (spare + 1) * pieces.kind.itemsize
                 out.append(ids[at : at + SAMPLE_BYTES])
@@ -139,8 +176,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8_texts(batch.column(1))):
-                ids = pieces.of(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), pieces.of(utf8_texts(batch.column(1)))):
+                ids += end
                 n = len(ids) // pieces.kind.itemsize
                 index.append((doc_id, start, n, size))
                 frames.append(pack.compress(ids))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campflow.llm import decontaminate, langid, licences, mixing, pseudonyms, quality, repeats, simhash, templates, tokens
+from campflow.llm import decontaminate, langid, licences, mixing, nearcopies, pseudonyms, quality, repeats, simhash, templates, tokens
 from campflow.llm.queries import tokenizer_file
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -189,7 +189,7 @@ def test_pieces_encode_like_whole_texts():
              "漢字, かな. 😀!", ""]
     for text in texts:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(pieces.of(text.encode()), pieces.kind).tolist() == ids, text
+        assert np.frombuffer(next(pieces.of([text.encode()])), pieces.kind).tolist() == ids, text
 
 
 # 5 ----------------------------------------------------------------------------------------------------------------
@@ -450,12 +450,12 @@ def test_links_of_all_close_pairs(spark):
 
 
 def test_near_duplicates_on_odd_tables(odd_docs, no_docs):
-    assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one_per_group(no_docs).count() == 0
+    assert simhash.near_duplicates(no_docs).count() == 0 and nearcopies.keep_one_per_group(no_docs).count() == 0
     rows = simhash.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
     group = {r.doc_id: r.component_id for r in rows}
     assert group[1] == group[-8] == -8 and group[5] == group[4] == 4 and group[2] == group[3] == group[6] == 2
-    kept = simhash.keep_one_per_group(odd_docs)
+    kept = nearcopies.keep_one_per_group(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [-8, 2, 4, 7]
 
@@ -479,6 +479,43 @@ def test_edited_copies_leave_one_per_group(spark):
     pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     root = {i: i for i in texts} | dict(brute(pairs))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()} == root
-    kept = {r.doc_id for r in simhash.keep_one_per_group(docs).collect()}
+    assert {r.doc_id: r.component_id for r in nearcopies.similar_groups(docs).collect()} == root
+    kept = {r.doc_id for r in nearcopies.keep_one_per_group(docs).collect()}
     assert kept == set(root.values()) and len(kept) < len(texts) // 2
+
+
+def test_texts_of_one_template_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Two thirds of every text are the same; none are near copies, but for one pair."""
+    dice = random.Random(2)
+    shared = [f"t{i}" for i in range(200)]
+    texts = {i: " ".join([*shared[:100], *(f"u{dice.randrange(10**6)}" for _ in range(100)), *shared[100:]]) for i in range(600)}
+    texts[600] = texts[77].replace("t150", "other")
+    compared = []
+    verified = nearcopies._verified
+
+    def counting(docs, pairs, words):
+        compared.append(pairs.count())
+        return verified(docs, pairs, words)
+
+    monkeypatch.setattr(nearcopies, "_verified", counting)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in nearcopies.similar_groups(docs).collect()}
+    assert found == {i: 77 if i == 600 else i for i in texts}
+    assert sum(compared) < 6000
+
+
+def test_near_copies_with_a_crowded_map(spark):
+    """The map of counts decides the order of the shingles only."""
+    dice = random.Random(4)
+    texts = []
+    for _ in range(60):
+        words = [f"w{dice.randrange(300)}" for _ in range(dice.randrange(5, 120))]
+        texts += [" ".join(words), " ".join([*words[: len(words) // 2], "x", *words[len(words) // 2 :]]), " ".join(words[: 9 * len(words) // 10])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in enumerate(texts) for w in [t.split()]}
+    from test_components import brute
+
+    pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = {i: i for i in sets} | dict(brute(pairs))
+    for places in (1 << 15, 1 << 20):
+        assert {r.doc_id: r.component_id for r in nearcopies.similar_groups(docs, map_places=places).collect()} == root

@@ -6,7 +6,8 @@ from collections import Counter
 
 import corpus_pipeline
 from campflow.llm.common import read_table, stage
-from test_queries import SF, brute_fingerprint, brute_groups
+from test_components import brute
+from test_queries import SF
 
 
 def five_words(text):
@@ -16,6 +17,12 @@ def five_words(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
+def word_shingles(text):
+    """Five words between ASCII white space, A-Z lower-cased; a shorter text is one shingle."""
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
 def test_stages(spark):
     docs = read_table(spark, SF, "documents")
     seen = [docs.collect()]
@@ -29,8 +36,10 @@ def test_stages(spark):
     assert {r.doc_id for r in good} < {r.doc_id for r in raw}
     assert all(len(r.text.split()) >= 10 for r in good)
 
-    groups = brute_groups({r.doc_id: brute_fingerprint(r.text) for r in good})
-    assert sorted(r.doc_id for r in single) == sorted(set(groups.values()))
+    sets = {r.doc_id: word_shingles(r.text) for r in good}
+    pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = {i: i for i in sets} | dict(brute(pairs))
+    assert pairs and sorted(r.doc_id for r in single) == sorted(set(root.values()))
 
     items = [five_words(r.text) for r in read_table(spark, SF, "benchmark").collect()]
     leaks = {r.doc_id for r in single if any(i and len(i & five_words(r.text)) >= 0.8 * len(i) for i in items)}
@@ -53,3 +62,14 @@ def test_registered():
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
+    """Each of the first four stages keeps the columns, and what it keeps it has been given."""
+    for docs in (odd_docs, no_docs):
+        given = {(r.doc_id, r.text) for r in docs.collect()}
+        for name, function in corpus_pipeline.STAGES[:-1]:
+            out = stage(function(spark, docs, SF), name)
+            assert out.columns == docs.columns and {(r.doc_id, r.text) for r in out.collect()} <= given, name
+        tokens = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        assert sorted(r.doc_id or 0 for r in tokens.collect()) == sorted(doc_id or 0 for doc_id, *_ in docs.collect())
