@@ -298,6 +298,55 @@ def _refreshed_table(name: str) -> Callable[[_Inputs], DataFrame]:
     return lambda i: live.live_table(i.spark, _refreshed(i), name, i.campaigns)
 
 
+def _catalog_tables(i: _Inputs) -> DataFrame:
+    """The gold tables that the batch pipeline has put into a schema of the catalog: comment, property and rows."""
+    folder, spark = i.work_dir("catalog"), i.spark
+    schema = "campflow_" + folder.rpartition("-")[2]
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{folder}'")
+    raw = testdata.bronze_clicks(spark, i.sf_dir), testdata.bronze_campaigns(spark, i.sf_dir), testdata.bronze_sessions(spark, i.sf_dir)
+    pipeline.run_batch(*raw, schema, AS_OF, catalog=True, properties={"team": "campaigns"})
+    found = []
+    for name in gold.TABLES:
+        about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {schema}.{name}").collect()}
+        kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {schema}.{name}").collect()}
+        rows = spark.table(f"{schema}.{name}").agg(F.count(F.lit(1)).alias("row_count"), F.sum("total_events").alias("total_events"))
+        labels = {"table_name": name, "comment": about["Comment"], "quality": kept["quality"], "team": kept["team"]}
+        found.append(rows.select(*[F.lit(text).alias(label) for label, text in labels.items()], "row_count", "total_events"))
+    return reduce(DataFrame.unionAll, found)
+
+
+def _continuous(i: _Inputs) -> DataFrame:
+    """The daily table of a stream that runs continuously, with a trigger each second, while files arrive."""
+    folder, clicks = i.work_dir("continuous"), i.clicks()
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    clicks.filter(third == 0).write.parquet(f"{folder}/silver")
+    stream = i.spark.readStream.schema(clicks.schema).parquet(f"{folder}/silver")
+    query = live.start_live(stream, f"{folder}/live", f"{folder}/checkpoint", trigger="1 second")
+    try:
+        for part in (1, 2):
+            query.processAllAvailable()
+            clicks.filter(third == part).write.mode("append").parquet(f"{folder}/silver")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return live.live_table(i.spark, f"{folder}/live", "gold_daily_kpis")
+
+
+def _stream_sessions_from_events(i: _Inputs) -> DataFrame:
+    """Sessions kept up to date by a stream of events, over three micro-batches that cut through them."""
+    folder, kind = i.work_dir("built"), None
+
+    def run(events: DataFrame, _: int) -> None:
+        nonlocal kind
+        raw = dedup(testdata.bronze_clicks(i.spark, i.sf_dir, events), ["event_id"])
+        built = sessions.sessions_from_events(raw, arrival=["event_id"])
+        kind = built.schema
+        finish(stream_upsert(built, f"{folder}/data", ["session_id"], f"{folder}/checkpoint", buckets=4))
+
+    _arriving(i, _THIRDS, run, folder)
+    return read_replica(i.spark, f"{folder}/data", ["session_id"], kind, buckets=4)
+
+
 def _stream_rule_report(i: _Inputs) -> DataFrame:
     """The rule counts of a stream of three micro-batches, as a listener has stored them."""
     folder = i.work_dir("rules")
@@ -425,7 +474,7 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "search_wildcard": lambda i: serving.search_campaigns(i.perf(), "gn 3_"),
         "search_escaped": lambda i: serving.search_campaigns(i.perf(), r"in\_app\_b\anner"),
         "hour_detail_top": lambda i: serving.hour_detail_top(i.hourly(), DAY, HOUR),
-        "hour_detail_channels": lambda i: serving.hour_detail_channels(i.perf(), i.hourly(), DAY, HOUR),
+        "hour_detail_channels": lambda i: serving.hour_channels(i.hourly(), i.campaigns(), DAY, HOUR),
         "compare_perf": lambda i: serving.compare_campaigns(i.perf(), CAMPAIGN, UNLISTED),
         "compare_hours": lambda i: serving.compare_hours(i.hourly(), CAMPAIGN, UNLISTED),
         "json_safe_campaigns": lambda i: json_safe(serving.campaigns_performance(i.perf())),
@@ -437,7 +486,7 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "compare_metrics": lambda i: dashboard.compare_metrics(i.perf(), CAMPAIGN, SECOND),
         "compare_series": lambda i: dashboard.compare_hourly(i.hourly(), CAMPAIGN, SECOND),
         "channel_share": lambda i: dashboard.share_of_max(
-            serving.hour_detail_channels(i.perf(), i.hourly(), DAY, HOUR), "clicks"
+            serving.hour_channels(i.hourly(), i.campaigns(), DAY, HOUR), "clicks"
         ),
         "segment_share": lambda i: dashboard.share_of_total(
             serving.segments(i.gold("segment_analysis")), "total_clicks"
@@ -488,6 +537,10 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "refreshed_campaign_hourly_metrics": _refreshed_table("gold_campaign_hourly_metrics"),
         "refreshed_daily_kpis": _refreshed_table("gold_daily_kpis"),
         "stream_rule_report": _stream_rule_report,
+        "stream_sessions_from_events": _stream_sessions_from_events,
+        "live_continuous_daily": _continuous,
+        "catalog_tables": _catalog_tables,
+        "search_blank": lambda i: serving.search_campaigns(i.perf(), "  "),
         # generated interactions, one for each event
         "synth_clicks": lambda i: i.synthetic(),
         "synth_sessions": lambda i: sessions.sessions_from_events(i.synthetic(), arrival=["event_id"]),
@@ -933,6 +986,14 @@ def _checks() -> dict[str, str]:
             "live_campaign_performance", "live_campaign_minute_metrics", "live_segment_analysis", "live_geo_performance",
             "refreshed_campaign_performance", "refreshed_campaign_hourly_metrics", "refreshed_daily_kpis")},
         "live_daily_after_reset": "SELECT * FROM gold_daily_kpis",
+        "live_continuous_daily": "SELECT * FROM gold_daily_kpis",
+        "stream_sessions_from_events": "SELECT * FROM bronze_sessions",
+        "search_blank": f"SELECT {search_columns} FROM gold_campaign_performance WHERE false",
+        "catalog_tables": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{table.comment}' AS comment, 'gold' AS quality, 'campaigns' AS team,"
+            f" CAST(count(*) AS BIGINT) AS row_count, CAST(sum(total_events) AS BIGINT) AS total_events FROM {name}"
+            for name, table in gold.TABLES.items()
+        ),
         "live_feed_applied": f"SELECT * FROM {hourly}",
         "replica_after_reset": f"SELECT * FROM {hourly}",
         "live_trend_hour": hour_all,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -34,9 +35,11 @@ def run_batch(
     target: str,
     as_of: dt.date | str | None = None,
     catalog: bool = False,
+    properties: Mapping[str, str] | None = None,
 ) -> PipelineResult:
     """Compute every dataset below the folder ``target``, or as tables of the catalog schema ``target``; what is there
-    is overwritten. Tables in the catalog carry their comment.
+    is overwritten. Tables in the catalog carry their comment, the property ``quality`` (silver, gold or cells), and
+    ``properties``.
 
     The interactions are shuffled once by event_id on the way into silver, and once by campaign and minute. Each
     further table comes from the smallest that holds it: minutes, then hours of campaign and channel, then the rest;
@@ -44,18 +47,21 @@ def run_batch(
     before has written, so a lost executor costs a task, not the chain.
     """
     with sized_shuffles(clicks, campaigns, sessions):
-        return _run(clicks, campaigns, sessions, target, as_of, catalog)
+        return _run(clicks, campaigns, sessions, target, as_of, catalog, properties)
 
 
 def _run(
-    clicks: DataFrame, campaigns: DataFrame, sessions: DataFrame, target: str, as_of: dt.date | str | None, catalog: bool
+    clicks: DataFrame, campaigns: DataFrame, sessions: DataFrame, target: str, as_of: dt.date | str | None, catalog: bool,
+    properties: Mapping[str, str] | None,
 ) -> PipelineResult:
     seen = {name: Observation(name) for name in ("silver_clicks", "silver_campaigns", "silver_sessions")}
 
     def store(name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        comment = gold.TABLES[name].comment if catalog and name in gold.TABLES else None
-        at = f"{target}.{name}" if catalog else f"{target}/{name}"
-        return materialize(df, at, partition_by=partition_by, comment=comment, catalog=catalog)
+        if not catalog:
+            return materialize(df, f"{target}/{name}", partition_by=partition_by)
+        comment = gold.TABLES[name].comment if name in gold.TABLES else None
+        about = {"quality": name.partition("_")[0] if name.startswith(("silver", "gold")) else "cells", **(properties or {})}
+        return materialize(df, f"{target}.{name}", partition_by=partition_by, comment=comment, properties=about, catalog=True)
 
     def store_gold(name: str) -> DataFrame:
         cells = [tables[f"{kind}_cells"] for kind in ("minute", "hour", "side")]

@@ -193,6 +193,21 @@ def hour_detail_channels(
     return top_k(by_channel, ["-clicks"], tie_break=["campaign_channel"])
 
 
+def hour_channels(hourly_metrics: DataFrame, campaigns: DataFrame, date: dt.date | str, hour: int) -> DataFrame:
+    """The same as :func:`hour_detail_channels` from the hourly table and the metadata alone.
+
+    The totals of a campaign and whether it was active in the hour come from one aggregation, so the hours, or the
+    events that they are made of, are read once.
+    """
+    per_campaign = hourly_metrics.groupBy("campaign_id").agg(
+        F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions"),
+        F.max(F.coalesce(_in_hour(date, hour), F.lit(False))).alias("_active"),
+    )
+    named = per_campaign.filter("_active").join(campaigns.select("campaign_id", "campaign_channel"), "campaign_id", "left")
+    by_channel = named.groupBy("campaign_channel").agg(F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions"))
+    return top_k(by_channel, ["-clicks"], tie_break=["campaign_channel"])
+
+
 def _sides(df: DataFrame, id1: str, id2: str) -> DataFrame:
     """Rows of two campaigns tagged 1 and 2 in one scan; a campaign compared with itself gets both tags."""
     own = F.col("campaign_id")

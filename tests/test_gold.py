@@ -286,6 +286,7 @@ def test_run_batch_into_the_catalog(spark):
     for name, table in gold.TABLES.items():
         about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED batch.{name}").collect()}
         assert about["Comment"] == table.comment
+        assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES batch.{name}").collect()}["quality"] == "gold"
     assert spark.table("batch.gold_daily_kpis").agg(F.sum("total_events")).first()[0] == 100
     spark.sql("DROP DATABASE batch CASCADE")
 

@@ -21,7 +21,8 @@ def plan(df):
 
 
 # those that only read what they have written, and those of the training-text operators, are left out
-RUN = ("stream_", "stored_", "full_refresh", "materialized_", "bounded_", "silver_clicks_from_files", "pipeline")
+RUN = ("stream_", "stored_", "full_refresh", "materialized_", "bounded_", "silver_clicks_from_files", "pipeline", "live_",
+       "refreshed_", "replica_", "catalog_")
 LAZY = [n for n in contract.queries() if not n.startswith(RUN) and not (contract.llm and n in contract.llm.QUERIES)]
 
 
@@ -125,3 +126,10 @@ def test_work_dir_follows_the_session():
         work_dir(_Session("yarn"), "x")
     first, second = (work_dir(_Session("local[2]"), "x") for _ in range(2))
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+@pytest.mark.parametrize("name", ["hour_detail_channels", "channel_share"])
+def test_an_hours_channels_read_the_events_once(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    # a share needs the whole twice; Spark reuses the exchange when it runs
+    assert text.count("events.parquet") <= (1 if name == "hour_detail_channels" else 2)
