@@ -55,21 +55,22 @@ def _table(name: str, keys: tuple[str, ...], by: str | None, values: tuple[str,
 
 
 CELLS = _table("cells", ("cell_set", *_CELL_KEYS), "event_date")
-#: The tables of sums: from which cells, under which keys, stored by what. Names of campaigns are no keys.
+#: The tables of sums under their keys. Names of campaigns are no keys.
 _HOUR = ("campaign_id", "event_date", "hour_of_day")
-SUMS = {
-    "minutes": ("campaign_minute", _table("minutes", (*_HOUR, "minute_of_hour"), "event_date", ("campaign_name",))),
-    "hours": ("campaign_minute", _table("hours", _HOUR, "event_date", ("campaign_name",))),
-    "days": ("campaign_minute", _table("days", ("event_date",), None)),
-    "campaigns": ("campaign_minute", _table("campaigns", ("campaign_id",), None, buckets=16)),
-    "channels": ("campaign_minute", _table("channels", ("campaign_channel",), None)),
-    "places": ("geo", _table("places", ("geo_region", "geo_city"), None)),
-    "groups": ("ab_test", _table("groups", ("ab_test_group",), None)),
-}
+MINUTES = _table("minutes", (*_HOUR, "minute_of_hour"), "event_date", ("campaign_name",))
+HOURS = _table("hours", _HOUR, "event_date", ("campaign_name",))
+CAMPAIGNS = _table("campaigns", ("campaign_id",), None, buckets=16)
+#: Tables of few rows are one table, stored by kind; keys that a kind does not have are NULL.
+_KINDS_OF = {"campaign_minute": ("days", "channels"), "geo": ("places",), "ab_test": ("groups",)}
+_KIND_KEYS = {"days": ("event_date",), "channels": ("campaign_channel",), "places": ("geo_region", "geo_city"), "groups": ("ab_test_group",)}
+TOTALS = _table("totals", ("kind", *[k for keys in _KIND_KEYS.values() for k in keys]), "kind")
 _SUMS_OF = {
-    "gold_campaign_minute_metrics": "minutes", "gold_campaign_hourly_metrics": "hours", "gold_daily_kpis": "days",
-    "gold_campaign_performance": "campaigns", "gold_segment_analysis": "campaigns", "gold_channel_performance": "channels",
-    "gold_geo_performance": "places", "gold_ab_test_results": "groups",
+    "gold_campaign_minute_metrics": MINUTES, "gold_campaign_hourly_metrics": HOURS,
+    "gold_campaign_performance": CAMPAIGNS, "gold_segment_analysis": CAMPAIGNS,
+}
+_KIND_OF = {
+    "gold_daily_kpis": "days", "gold_channel_performance": "channels", "gold_geo_performance": "places",
+    "gold_ab_test_results": "groups",
 }
 #: Key figures that a batch changed, as the dashboard would flash them, one row per figure and batch.
 KPI_CHANGES = Table("kpi_changes", columns(at="bigint", metric="string", previous="double", current="double"), ("at", "metric"))
@@ -104,30 +105,38 @@ def _added(c: str) -> Column:
     return F.when(both(_NULL_WITHOUT[c]) > 0, both(c)) if c in _NULL_WITHOUT else both(c)
 
 
-def _merge_sums(batch: Batch, name: str, signed: DataFrame, dates: list, can_vanish: bool) -> DataFrame:
-    cells, table = SUMS[name]
-    own = signed.filter(F.col("cell_set") == cells)
+def _changes(table: Table, signed: DataFrame) -> DataFrame:
+    """The signed sums of one table's keys."""
     sums = [F.sum(c).cast(_SUM_KINDS[c]).alias(c) for c in _SUMS]
-    if "campaign_name" in table.values:
-        # a key takes the name that changed last; of several in one batch, that with most events
-        named = own.groupBy(*table.keys, "campaign_name").agg(F.sum("_weight").alias("_weight"), *sums)
-        best = F.max_by("campaign_name", F.struct("_weight", "campaign_name")).alias("campaign_name")
-        changes = named.groupBy(*table.keys).agg(best, *sums)
-    else:
-        changes = own.groupBy(*table.keys).agg(*sums)
-    left = F.col("new.events") > 0 if can_vanish else None
-    return batch.merge(table, changes, combine={c: _added(c) for c in _SUMS}, keep_row=left, touched=dates if table.by else None)
+    if table is TOTALS:
+        kinds = " ".join(f"WHEN '{cells}' THEN array{kinds!r}".replace(",)", ")") for cells, kinds in _KINDS_OF.items())
+        rows = signed.withColumn("kind", F.explode(F.expr(f"CASE cell_set {kinds} END")))
+        own = [F.when(F.col("kind") == kind, F.col(k)).alias(k) for kind, keys in _KIND_KEYS.items() for k in keys]
+        return rows.select("kind", *own, *_SUMS).groupBy(*table.keys).agg(*sums)
+    rows = signed.filter("cell_set = 'campaign_minute'")
+    if "campaign_name" not in table.values:
+        return rows.groupBy(*table.keys).agg(*sums)
+    # a key takes the name that changed last; of several in one batch, that with most events
+    named = rows.groupBy(*table.keys, "campaign_name").agg(F.sum("_weight").alias("_weight"), *sums)
+    best = F.max_by("campaign_name", F.struct("_weight", "campaign_name")).alias("campaign_name")
+    return named.groupBy(*table.keys).agg(best, *sums)
 
 
 def _merge_cells(batch: Batch, cells: DataFrame, dates: list, whole: bool = False) -> None:
     images = batch.merge(CELLS, cells, touched=dates, whole=whole, feed=False)
     signed = batch.keep("signed", _signed(images))
     # sums only shrink where rows are taken back: by a new run of a query, or by other copies of an event
-    can_vanish = (signed.agg(F.min("events").alias("least")).first().least or 0) < 0
-    with ThreadPoolExecutor(len(SUMS)) as pool:  # most of the tables are too small to fill a cluster
-        merge = lambda name: _merge_sums(batch, name, signed, dates, can_vanish)
-        merged = dict(zip(SUMS, list(pool.map(merge, SUMS))))
-    _merge_kpi_changes(batch, merged["days"])
+    shrinks = (signed.agg(F.min("events").alias("least")).first().least or 0) < 0
+    left = F.col("new.events") > 0 if shrinks else None
+    touched = {MINUTES: dates, HOURS: dates, CAMPAIGNS: None, TOTALS: list(_KIND_KEYS)}
+
+    def merge(table: Table) -> DataFrame:
+        combine = {c: _added(c) for c in _SUMS}
+        return batch.merge(table, _changes(table, signed), combine=combine, keep_row=left, touched=touched[table])
+
+    with ThreadPoolExecutor(len(touched)) as pool:  # most of the tables are too small to fill a cluster
+        merged = dict(zip(touched, list(pool.map(merge, touched))))
+    _merge_kpi_changes(batch, merged[TOTALS].filter("kind = 'days'"))
 
 
 def _merge_kpi_changes(batch: Batch, days: DataFrame) -> None:
@@ -171,8 +180,12 @@ def finished(name: str, sums: DataFrame, campaigns: DataFrame | None = None) ->
 
 def live_table(spark: SparkSession, root: str, name: str, campaigns: DataFrame | Callable[[], DataFrame] | None = None) -> DataFrame:
     """The current rows of a gold table; ``campaigns`` (or a function that reads it now) for the two that need it."""
-    _, table = SUMS[_SUMS_OF[name]]
-    return finished(name, Store(spark, root).read(table), campaigns() if callable(campaigns) else campaigns)
+    store = Store(spark, root)
+    if name in _KIND_OF:
+        sums = store.read(TOTALS).filter(F.col("kind") == _KIND_OF[name])
+    else:
+        sums = store.read(_SUMS_OF[name])
+    return finished(name, sums, campaigns() if callable(campaigns) else campaigns)
 
 
 def live_feed(spark: SparkSession, root: str, name: str, streaming: bool = False) -> DataFrame:
@@ -180,10 +193,12 @@ def live_feed(spark: SparkSession, root: str, name: str, streaming: bool = False
 
     As a stream it follows the feed's files, each of which belongs to one version.
     """
-    _, table = SUMS[_SUMS_OF[name]]
     if name in gold.WITH_CAMPAIGNS:
         raise ValueError(f"{name} changes with the metadata too; follow the sums of its campaigns")
-    return gold.finish_sums(Store(spark, root).feed(table, streaming), name, extra=("_change_type", "version"))
+    feed = Store(spark, root).feed(TOTALS if name in _KIND_OF else _SUMS_OF[name], streaming)
+    if name in _KIND_OF:
+        feed = feed.filter(F.col("kind") == _KIND_OF[name])
+    return gold.finish_sums(feed, name, extra=("_change_type", "version"))
 
 
 def kpi_changes(spark: SparkSession, root: str) -> DataFrame:

@@ -73,7 +73,7 @@ def columns(**kinds: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in kinds.items()])
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Table:
     """One row per ``keys`` and partition, stored by the column ``by``, or by a hash of the keys in ``buckets``.
 
@@ -196,7 +196,8 @@ class Store:
         prepared = self.spark.read.schema(T.StructType.fromJson(step["schema"])).parquet(f"{self.root}/pending/{version}/{name}")
         rows = prepared.filter("new IS NOT NULL").select(*step["keys"], "new.*", partition)
         target = f"{self.root}/tables/{name}"
-        sorted_rows = compact(rows, [partition]).sortWithinPartitions(partition, *step["keys"])
+        dealt = rows.coalesce(1) if step["one"] else compact(rows, [partition])
+        sorted_rows = dealt.sortWithinPartitions(partition, *step["keys"])
         sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
         for folder in step["gone"]:
             self.files.delete(f"{target}/{folder}")
@@ -301,6 +302,7 @@ class Batch:
         self.steps.append({
             "table": table.name, "partition": partition, "keys": [k for k in keys if k != partition], "schema": images.schema.jsonValue(),
             "columns": table.schema.names, "gone": gone, "feed": feed,
+            "one": not table.by and table.buckets == 1,
         })
         return images
 
