@@ -24,7 +24,7 @@ from campflow.operators.quality import quality_report, uniqueness_report  # noqa
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
 from campflow.session import configure, work_dir  # noqa: E402
 from campflow.sources import readers, sinks, synth, testdata  # noqa: E402
-from campflow.streaming import live  # noqa: E402
+from campflow.streaming import live, tidy  # noqa: E402
 from campflow.streaming.late import bounded_dedup, read_kept, read_late  # noqa: E402
 from campflow.streaming.pipeline import (  # noqa: E402
     Layout, hourly_windows, read_sums, start_daily, start_sessions, start_sums,
@@ -298,6 +298,17 @@ def _refreshed_table(name: str) -> Callable[[_Inputs], DataFrame]:
     return lambda i: live.live_table(i.spark, _refreshed(i), name, i.campaigns)
 
 
+def _compacted(i: _Inputs) -> DataFrame:
+    """Cleaned interactions of a raw table that came in eight parts a day, after its closed days were compacted."""
+    folder, raw = i.work_dir("appended"), testdata.bronze_clicks(i.spark, i.sf_dir)
+    dated = raw.withColumn("day", F.to_date(F.substring("event_timestamp", 1, 10)))
+    for part in range(8):
+        arrived = dated.filter(F.pmod(F.xxhash64("event_id"), F.lit(8)) == part)
+        arrived.write.mode("append").partitionBy("day").parquet(f"{folder}/raw")
+    tidy.compact_closed(i.spark, f"{folder}/raw", dated.schema, "day", BEFORE[:10])
+    return silver.silver_clicks(i.spark.read.schema(dated.schema).parquet(f"{folder}/raw").drop("day"))
+
+
 def _catalog_tables(i: _Inputs) -> DataFrame:
     """The gold tables that the batch pipeline has put into a schema of the catalog: comment, property and rows."""
     folder, spark = i.work_dir("catalog"), i.spark
@@ -540,6 +551,7 @@ def _definitions() -> dict[str, Callable[[_Inputs], DataFrame]]:
         "stream_sessions_from_events": _stream_sessions_from_events,
         "live_continuous_daily": _continuous,
         "catalog_tables": _catalog_tables,
+        "compacted_raw": lambda i: _plain_times(_compacted(i)),
         "search_blank": lambda i: serving.search_campaigns(i.perf(), "  "),
         # generated interactions, one for each event
         "synth_clicks": lambda i: i.synthetic(),
@@ -954,6 +966,7 @@ def _checks() -> dict[str, str]:
             for name in gold.TABLES
         ),
         "stream_dedup": silver_clicks,
+        "compacted_raw": silver_clicks,
         "silver_clicks_from_files": silver_clicks,
         "stream_sessions": "SELECT * FROM silver_sessions",
         "stream_daily_complete": "SELECT * FROM gold_daily_kpis",

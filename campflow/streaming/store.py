@@ -35,7 +35,7 @@ _ROW_VERSION = "_version"
 _KINDS = {"insert": (None, "new"), "delete": ("old", None), "update": ("old", "new")}
 
 
-class _Files:
+class Files:
     """The few questions and moves that concern folders as such, on whatever file system a path names."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -118,7 +118,7 @@ class Store:
     """The tables below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root, self.files = spark, root, _Files(spark, root)
+        self.spark, self.root, self.files = spark, root, Files(spark, root)
 
     def _stored(self, table: Table) -> DataFrame:
         path = f"{self.root}/tables/{table.name}"

@@ -22,7 +22,7 @@ def plan(df):
 
 # those that only read what they have written, and those of the training-text operators, are left out
 RUN = ("stream_", "stored_", "full_refresh", "materialized_", "bounded_", "silver_clicks_from_files", "pipeline", "live_",
-       "refreshed_", "replica_", "catalog_")
+       "refreshed_", "replica_", "catalog_", "compacted_")
 LAZY = [n for n in contract.queries() if not n.startswith(RUN) and not (contract.llm and n in contract.llm.QUERIES)]
 
 
