@@ -35,26 +35,28 @@ def stream_upsert(
     trigger: str | None = None,
     buckets: int = 1,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
+    feed: bool = False,
 ) -> StreamingQuery:
     """Keep the replica at ``path`` up to date with an update-mode stream of changed rows.
 
     ``enrich`` completes each micro-batch, for instance from tables that are read afresh. A micro-batch that holds two
     rows for one key fails the query. Each batch writes the days or buckets that it touches anew, so triggers of a
-    minute and more suit it; ``buckets`` keep that small for large results without a day.
+    minute and more suit it; ``buckets`` keep that small for large results without a day. With ``feed`` the images of
+    the changed rows are kept too (:func:`read_feed`).
     """
-    write = batch_writer(path, keys, buckets)
+    write = batch_writer(path, keys, buckets, feed)
     sink = write if enrich is None else lambda batch, batch_id: write(enrich(batch), batch_id)
     return start(changes, sink, checkpoint, mode="update", trigger=trigger)
 
 
-def batch_writer(path: str, keys: Sequence[str], buckets: int = 1) -> Callable[[DataFrame, int], None]:
+def batch_writer(path: str, keys: Sequence[str], buckets: int = 1, feed: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of :func:`stream_upsert`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table = replica_table(batch.schema, keys, buckets)
 
         def prepare(own: Batch) -> None:
-            own.merge(table, own.keep("changes", batch))
+            own.merge(table, own.keep("changes", batch), feed=feed)
 
         Store(batch.sparkSession, path).apply(run_of(batch) or "", batch_id, prepare)
 
@@ -71,7 +73,7 @@ def read_replica(
 def read_feed(
     spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, streaming: bool = False
 ) -> DataFrame:
-    """The change feed of a replica: images of the changed rows with ``_change_type`` and ``version``, as a stream too."""
+    """The change feed of a replica that keeps one: images of the changed rows with ``_change_type`` and ``version``, as a stream too."""
     return Store(spark, path).feed(replica_table(schema, keys), streaming)
 
 

@@ -15,7 +15,7 @@ from campflow.streaming.pipeline import (
     Layout, gold_stream, gold_table, hourly_windows, live_dashboard, refresh, start_gold, start_silver, start_sums,
 )
 from campflow.streaming.late import bounded_dedup, read_kept, read_late
-from campflow.streaming.replica import batch_writer, read_gold, read_replica, stream_upsert
+from campflow.streaming.replica import batch_writer, read_feed, read_gold, read_replica, stream_upsert
 from campflow.streaming.run import finish, start
 from test_silver import click
 
@@ -155,6 +155,15 @@ def test_a_repeated_batch_replaces_itself(spark):
     assert rows(path) == {"a": 2, "b": 3, None: 1}
 
 
+def test_the_feed_of_a_replica(spark):
+    path, schema = work_dir(spark, "fed"), spark.createDataFrame([], "k string, v int").schema
+    write = batch_writer(path, ["k"], feed=True)
+    for batch_id, rows in enumerate([[("a", 1)], [("a", 2), ("b", 1)], [("b", 1)]]):
+        write(spark.createDataFrame(rows, schema), batch_id)
+    images = sorted((r.version, r.k, r.v, r._change_type) for r in read_feed(spark, path, ["k"], schema).collect())
+    assert images == [(1, "a", 1, "insert"), (2, "a", 1, "update_preimage"), (2, "a", 2, "update_postimage"), (2, "b", 1, "insert")]
+
+
 def test_fifty_batches_keep_the_number_of_folders(spark):
     path, day = work_dir(spark, "days"), dt.date(2024, 1, 1)
     schema = spark.createDataFrame([], "k string, event_date date, v int").schema
