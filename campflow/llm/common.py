@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import pyarrow as pa
@@ -15,12 +16,32 @@ from campflow.session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the tables that :func:`stage` writes within the block when it ends; those that stay are taken off the list
+    that it gives. What is read afterwards must not depend on them."""
+    folders: list[str] = []
+    _scratch.append(folders)
+    try:
+        yield folders
+    finally:
+        _scratch.remove(folders)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as a table below the shared folder and read again.
 
     Cuts lineage in a way that a lost executor cannot undo, and tells Spark the size of small tables.
     """
     folder = work_dir(df.sparkSession, purpose)
+    if _scratch:
+        _scratch[-1].append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
