@@ -21,7 +21,7 @@ PSEUDONYM_KEY = "registered query"
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.repeated_spans(read_table(spark, sf_dir, "documents"))
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
-    return found.select("doc_id", "first_ids", "spans", size.alias("repeated_bytes"))
+    return found.select("doc_id", "n_rows", "first_ids", "spans", size.alias("repeated_bytes"))
 
 
 def as_files(docs: DataFrame) -> DataFrame:
@@ -215,17 +215,18 @@ WITH lines AS (SELECT doc_id, place_of, line, list_transform(regexp_extract_all(
    lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS m
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place_of
    FROM documents)),
-own AS (SELECT DISTINCT doc_id, m, list_prepend(CAST(len(m) AS VARCHAR), m[1 : {t.LEADING}]) AS leaf FROM lines WHERE len(m) >= {t.MIN_TOKENS}),
+own AS (SELECT DISTINCT doc_id, m, list_prepend(CAST(len(m) AS VARCHAR), m[1 : {t.LEADING}]) AS leaf FROM lines WHERE len(m) > 0),
 leaves AS (SELECT leaf FROM own GROUP BY leaf HAVING count(DISTINCT doc_id) >= {t.MIN_DOCS}),
 same AS (SELECT leaf, m, count(*) AS n FROM own JOIN leaves USING (leaf) GROUP BY ALL),
 placed AS (SELECT leaf, m, n, unnest(m) AS token, generate_subscripts(m, 1) AS place FROM same),
-fixed AS (SELECT leaf, place, token FROM placed WHERE token != '<*>' GROUP BY ALL HAVING sum(n) >= {t.MIN_DOCS}),
-named AS (SELECT p.leaf, p.m, list(CASE WHEN f.token IS NULL THEN '<*>' ELSE p.token END ORDER BY p.place) AS template
-  FROM placed p LEFT JOIN fixed f ON p.leaf = f.leaf AND p.place = f.place AND p.token = f.token
-  GROUP BY p.leaf, p.m HAVING avg(CASE WHEN f.token IS NULL THEN 0 ELSE 1 END) >= {t.MIN_FIXED}),
-recurring AS (SELECT template FROM own JOIN named USING (leaf, m) GROUP BY leaf, template
+support AS (SELECT leaf, place, token, sum(n) AS support FROM placed WHERE token != '<*>' GROUP BY ALL HAVING sum(n) >= {t.MIN_DOCS}),
+ranked AS (SELECT p.leaf, p.m, list(p.place || ' ' || p.token ORDER BY support DESC, p.place) AS fixed
+  FROM placed p JOIN support s ON p.leaf = s.leaf AND p.place = s.place AND p.token = s.token GROUP BY p.leaf, p.m),
+chains AS (SELECT leaf, m, fixed[1 : nth] AS template FROM (SELECT *, unnest(range(1, len(fixed) + 1)) AS nth FROM ranked)
+  WHERE nth / len(m) >= {t.MIN_FIXED}),
+recurring AS (SELECT leaf, template FROM own JOIN chains USING (leaf, m) GROUP BY leaf, template
   HAVING count(DISTINCT doc_id) >= {t.MIN_DOCS}),
-gone AS (SELECT m FROM named WHERE template IN (SELECT template FROM recurring)),
+gone AS (SELECT DISTINCT m FROM chains JOIN recurring USING (leaf, template)),
 marked AS (SELECT doc_id, place_of, line, len(m) > 0 AS worded, m IN (SELECT m FROM gone) AS dropped FROM lines),
 left_over AS (SELECT doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   coalesce(string_agg(line, chr(10) ORDER BY place_of) FILTER (NOT dropped), '') AS text FROM marked GROUP BY doc_id)
@@ -263,8 +264,10 @@ made AS (SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1 : c.h], c.ts[c.h + 1
 steps AS (SELECT conv_id, unnest(range(0, len(ts) + 1)) AS depth, ts FROM made),
 nodes AS (SELECT ts[1 : depth] AS way, depth, min(conv_id) AS conv_id, count(*) AS n,
   string_agg(CASE WHEN depth = len(ts) THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends,
-  coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-]+')), 0) AS words
-  FROM steps GROUP BY ts[1 : depth], depth, coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-]+')), 0)),
+  coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-
+]+')), 0) AS words
+  FROM steps GROUP BY ts[1 : depth], depth, coalesce(len(regexp_extract_all(ts[depth].text, '[^ 	-
+]+')), 0)),
 named AS (SELECT *, row_number() OVER () AS id FROM nodes),
 kids AS (SELECT p.id, count(*) AS n_children FROM named p JOIN named k ON k.depth = p.depth + 1 AND k.way[1 : p.depth] = p.way GROUP BY p.id),
 lines AS (SELECT id, unnest(range(0, depth + 1)) AS up, way, n, words FROM named),
@@ -280,7 +283,8 @@ def _phrases_sql(support: int = PHRASE_SUPPORT, first: int = PHRASES_OF_A_LANGUA
     return rf"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')), '[^ 	]+') AS w FROM documents),
+-
+]')), '[^ 	]+') AS w FROM documents),
 grams AS (SELECT lang, k, w[i : i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
   FROM pieces, (VALUES (1), (2), (3), (4)) ks(k) WHERE len(w) >= k)),
 counts AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL),

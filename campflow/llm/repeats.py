@@ -4,7 +4,8 @@ A gear hash rolls over the UTF-8 bytes of a text: every byte shifts it left by o
 so it depends on the last sixteen bytes only. A place is a cut where the hash falls below a bound; the ends of the text
 are cuts too. A chunk begins at every cut and ends at the first cut that is at least ``MIN_BYTES`` further. Cuts depend
 on nothing but the bytes before them, so an insertion moves chunks without changing them, and a passage that two
-documents share holds the same chunks in both, but for its first bytes. Chunks are compared by digest and length.
+documents share holds the same chunks in both, but for its first bytes. A text shorter than that is one chunk. Chunks are
+compared by digest and length.
 """
 
 from __future__ import annotations
@@ -40,11 +41,11 @@ def cuts(text: bytes) -> np.ndarray:
 
 
 def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, length and digest (as a signed long) of every chunk; a text below ``MIN_BYTES`` has none."""
-    if len(text) < MIN_BYTES:
+    """Begin, length and digest (as a signed long) of every chunk; a text below ``MIN_BYTES`` is one, an empty one none."""
+    if not text:
         return (np.zeros(0, np.int64),) * 3
-    cut = cuts(text)
-    last = np.searchsorted(cut, cut + MIN_BYTES)
+    cut = cuts(text) if len(text) >= MIN_BYTES else np.array([0, len(text)])
+    last = np.searchsorted(cut, cut + min(MIN_BYTES, len(text)))
     begin = cut[last < len(cut)]
     end = cut[last[last < len(cut)]]
     view = memoryview(text)
@@ -73,42 +74,66 @@ def all_chunks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _CHUNK)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, crc, first_ids, spans`` of the documents that repeat what an earlier one has.
+def _order(doc_id: str, crc: str) -> F.Column:
+    """A number by which documents are ordered: by doc_id, those without one last, and by crc under one doc_id."""
+    number = F.coalesce(F.col(doc_id).cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
+    return number * F.lit(1 << 32).cast("decimal(10,0)") + F.col(crc).cast("decimal(10,0)")
+
 
-    Of all documents with a chunk, that with the smallest doc_id keeps it, at its first place; everywhere else the
-    chunk is a repetition. ``spans`` are the repeated byte ranges (begin, end) in order, merged where they touch, and
-    ``first_ids`` the documents which keep their content. Chunks are counted by digest within each task before they
-    are shuffled, and only repeated digests reach the join, in which Spark splits digests that very many documents
-    have. A document's spans come together in one row, as its text does.
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """``doc_id, crc, n_rows, first_ids, spans`` of the documents that repeat what an earlier one has.
+
+    Of all documents with a chunk, the first keeps it, at its first place; everywhere else the chunk is a repetition. The
+    first one has the smallest doc_id (rows without a doc_id come last), and of several texts under one doc_id the smallest
+    crc. ``spans`` are the repeated byte ranges (begin, end) in order, merged where they touch, and ``first_ids`` the
+    documents which keep their content (without those that have no doc_id). ``n_rows`` rows are alike: of rows that have
+    both doc_id and text in common, one is compared with the other documents, and a further line of the result stands for
+    all others, which repeat it. Null and empty texts have no spans.
+
+    Chunks are counted by digest within each task before they are shuffled, and only repeated digests reach the join, in
+    which Spark splits digests that very many documents have. A document's spans come together in one row, as its text
+    does.
     """
+    return _repeated(docs).drop("further")
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """:func:`repeated_spans`, with ``further``: 0 for the first row with such doc_id and text, 1 for all others."""
     pieces = all_chunks(docs)
     kept = pieces.groupBy("digest", "length").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")
-    ).filter("n > 1").select("digest", "length", "first_id")
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"), F.min(_order("doc_id", "crc")).alias("first")
+    ).filter("n > 1").drop("n")
     hit = pieces.join(kept, ["digest", "length"])
-    own = hit.groupBy("doc_id", "crc").agg(F.collect_set(F.struct("at", "length", "digest", "first_id")).alias("hits"))
+    of = F.struct("at", "length", "digest", "first_id", (F.col("first") == _order("doc_id", "crc")).alias("own"))
+    own = hit.groupBy("doc_id", "crc").agg(F.collect_set(of).alias("hits"), F.count_if(F.col("at") == 0).alias("n_rows"))
+    # a text that comes twice under one doc_id has all its chunks here, once per row, and each has one at its begin
+    alike = F.when(F.col("n_rows") > 1, F.array(F.lit(1).cast("long"), F.col("n_rows") - 1)).otherwise(F.array(F.lit(1).cast("long")))
+    own = own.select("doc_id", "crc", "hits", F.posexplode(alike).alias("further", "n_rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            out = [_spans(doc_id, hits) for doc_id, hits in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
-            keep = [i for i, (spans, _) in enumerate(out) if spans]
-            kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+            doc_ids, crcs, hits, further, n_rows = batch.columns
+            out = [_spans(own, again == 0)
+                   for own, again in zip(hits.to_pylist(), further.to_pylist())]
+            keep = pa.array([i for i, (spans, _) in enumerate(out) if spans], pa.int64())
+            found = [out[i.as_py()] for i in keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64())),
-                 pa.array([out[i][1] for i in keep], pa.list_(pa.int64())), pa.array([out[i][0] for i in keep], kind)],
-                ["doc_id", "crc", "first_ids", "spans"],
+                [doc_ids.take(keep), crcs.take(keep), further.take(keep), n_rows.take(keep),
+                 pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[0] for f in found], kind)],
+                ["doc_id", "crc", "further", "n_rows", "first_ids", "spans"],
             )
 
-    return own.mapInArrow(run, "doc_id long, crc long, first_ids array<long>, spans array<struct<begin: int, end: int>>")
+    spans = "first_ids array<long>, spans array<struct<begin: int, end: int>>"
+    return own.mapInArrow(run, f"doc_id long, crc long, further int, n_rows long, {spans}")
 
 
-def _spans(doc_id: int | None, hits: list[dict]) -> tuple[list[dict], list[int]]:
-    """The merged ranges of the chunks that this document does not keep, and who keeps them."""
+def _spans(hits: list[dict], keeps: bool) -> tuple[list[dict], list[int]]:
+    """The merged ranges of the chunks that this row does not keep, and who keeps them."""
     spans: list[list[int]] = []
     first_ids, seen = set(), set()
     for hit in sorted(hits, key=lambda h: h["at"]):
-        if hit["first_id"] == doc_id and (hit["digest"], hit["length"]) not in seen:
+        if keeps and hit["own"] and (hit["digest"], hit["length"]) not in seen:
             seen.add((hit["digest"], hit["length"]))
             continue
         first_ids.add(hit["first_id"])
@@ -121,8 +146,11 @@ def _spans(doc_id: int | None, hits: list[dict]) -> tuple[list[dict], list[int]]
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with every repeated span cut out of ``text``; all rows and columns stay."""
-    spans = repeated_spans(docs).select("doc_id", "crc", "spans")
+    """``docs`` with every repeated span cut out of ``text``; all rows and columns stay.
+
+    Rows alike in doc_id and text are one document here, and all keep what the first of them keeps.
+    """
+    spans = _repeated(docs).filter("further = 0").select("doc_id", "crc", "spans")
     inner = {name: free_name(docs, f"_{name}") for name in spans.columns}
     doc_id, crc, ranges = inner.values()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.crc32(F.coalesce("text", F.lit(""))) == F.col(crc))

@@ -1,10 +1,13 @@
 """Line deduplication by a tree of log templates.
 
 The tree has a fixed depth: a line goes to the leaf of its number of tokens and its first ``LEADING`` tokens, with
-fields (tokens that hold a digit) as ``<*>``. Within a leaf a template says which places are fixed: those whose token
-recurs there, in ``MIN_DOCS`` documents or more; all other places are fields. Lines of one template differ in their
-fields only. A template that ``MIN_DOCS`` documents or more have, and of which at least ``MIN_FIXED`` is fixed, is
-boilerplate, and its lines are dropped everywhere. Lines below ``MIN_TOKENS`` tokens carry too little to be one.
+fields (tokens that hold a digit) as ``<*>``. Within a leaf the support of a token at a place is the number of lines,
+each counted once per document, that have it there. A line has a chain of templates: the most general one fixes the
+``MIN_FIXED`` of its places with the most support (of equal ones those further left) and leaves the others as fields;
+each further one fixes the next place. Fields are thus found by comparing places of one line with each other, never by a
+number that a field's values reach when the corpus grows. A template that ``MIN_DOCS`` documents or more have is
+boilerplate, and the lines that have it in their chain are dropped everywhere. Lines of one to three tokens leave no room
+for a field: of these only equal ones are found.
 
 The sequential form of such a parser decides line by line; here every decision is a count over all documents, so the
 result does not depend on order and no leaf is one task's work.
@@ -20,10 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from campflow.llm.common import free_name, stage, utf8_texts
 
-LEADING, MIN_TOKENS, MIN_DOCS, MIN_FIXED = 2, 4, 10, 0.7
+LEADING, MIN_DOCS, MIN_FIXED = 2, 10, 0.7
 FIELD = b"<*>"
 _DIGITS = frozenset(b"0123456789")
 
@@ -50,7 +54,7 @@ def _lines(docs: DataFrame, with_tokens: bool) -> DataFrame:
             ids = batch.column(0).to_pylist()
             rows: list[tuple] = []
             for doc_id, text in zip(ids, utf8_texts(batch.column(1))):
-                lines = {t for line in text.split(b"\n") if len(t := masked(line)) >= MIN_TOKENS}
+                lines = {t for line in text.split(b"\n") if (t := masked(line))}
                 if with_tokens:
                     rows += [(doc_id, leaf_of(t), _number(t), b" ".join(t)) for t in lines]
                 else:
@@ -76,31 +80,77 @@ def _key() -> F.Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
-def recurring_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, template``: the lines of each document (as hashes of their masked form) that are boilerplate.
+def _leaf_lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, leaf, line, tokens``: the different lines of each document, but for leaves which fewer than ``MIN_DOCS``
+    rows have: these cannot hold a recurring template, and only their hashes are shuffled."""
+    leaves = _lines(docs, False).groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS)
+    lines = _lines(docs, True).join(stage(leaves.select("leaf"), "leaves"), "leaf")
+    return stage(lines.groupBy("doc_id", "leaf", "line").agg(F.first("tokens").alias("tokens")), "leaf_lines")
+
+
+def _places(distinct: DataFrame) -> DataFrame:
+    """``leaf, line, n, size, place, token, nth, template``: the fixed places of each different line, most support first,
+    and the template that fixes the first ``nth`` of them, as a hash of places and tokens that no order changes."""
+    tokens = F.split("tokens", " ")
+    placed = distinct.select("leaf", "line", "n", F.size(tokens).alias("size"), F.posexplode(tokens).alias("place", "token"))
+    placed = placed.filter(F.col("token") != FIELD.decode())
+    support = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("support")).filter(F.col("support") >= MIN_DOCS)
+    by_support = Window.partitionBy("leaf", "line").orderBy(F.desc("support"), "place")
+    return placed.join(support, ["leaf", "place", "token"]).select(
+        "leaf", "line", "n", "size", "place", "token", F.row_number().over(by_support).alias("nth"),
+        F.expr("bit_xor(xxhash64(place, token))").over(by_support.rowsBetween(Window.unboundedPreceding, 0)).alias("template"),
+    )
 
-    Leaves which fewer than ``MIN_DOCS`` documents have cannot hold a recurring template, and only their hashes are
-    shuffled. Equal lines are counted before their tokens are.
+
+def _recurring(lines: DataFrame, distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The places of the different lines, and ``leaf, line, nth, template`` of those that have a recurring template: the
+    most special one.
+
+    Equal lines are counted before anything else, and a line that recurs as it is needs no further count. Documents are
+    counted for those templates alone of which only several lines together can be in ``MIN_DOCS``.
     """
-    leaves = _lines(docs, False).groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS)
-    lines = stage(_lines(docs, True).join(stage(leaves.select("leaf"), "leaves"), "leaf"), "leaf_lines")
+    places = _places(distinct)
+    chain = stage(places.filter(F.col("nth") / F.col("size") >= MIN_FIXED).select("leaf", "line", "n", "nth", "template"), "chains")
+    of = ["leaf", "nth", "template"]
+    sums = chain.groupBy(of).agg(F.sum("n").alias("total"), F.max("n").alias("most")).filter(F.col("total") >= MIN_DOCS)
+    sums = stage(sums, "template_sums")
+    unsure = chain.join(sums.filter(F.col("most") < MIN_DOCS).select(of), of)
+    counted = lines.select("doc_id", "leaf", "line").join(unsure, ["leaf", "line"]).select("doc_id", *of).distinct()
+    counted = counted.groupBy(of).agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= MIN_DOCS)
+    recurring = stage(sums.filter(F.col("most") >= MIN_DOCS).select(of).unionAll(counted.select(of)), "recurring")
+    best = chain.join(recurring, of).groupBy("leaf", "line").agg(
+        F.max("nth").alias("nth"), F.max_by("template", "nth").alias("template")
+    )
+    return places, stage(best, "line_templates")
+
+
+def _lines_and_distinct(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    lines = _leaf_lines(docs)
     distinct = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens"))
-    distinct = stage(distinct, "distinct_lines")
-    placed = distinct.select("leaf", "line", "n", F.posexplode(F.split("tokens", " ")).alias("place", "token"))
-    fixed = placed.filter(F.col("token") != FIELD.decode()).groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
-    fixed = fixed.filter(F.col("n") >= MIN_DOCS).select("leaf", "place", "token", F.lit(True).alias("fixed"))
-    named = (
-        placed.join(fixed, ["leaf", "place", "token"], "left")
-        .groupBy("leaf", "line")
-        .agg(F.sort_array(F.collect_list(F.struct("place", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD.decode()).alias("token")))).alias("t"),
-             F.avg(F.when(F.col("fixed"), 1.0).otherwise(0.0)).alias("share"))
-        .filter(F.col("share") >= MIN_FIXED)
-        .select("leaf", "line", F.array_join("t.token", " ").alias("template"))
+    return lines, stage(distinct, "distinct_lines")
+
+
+def recurring_lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, line, template``: the lines of each document (as hashes of their masked form) that are boilerplate, and
+    the hash of the most special template that recurs."""
+    lines, distinct = _lines_and_distinct(docs)
+    _, best = _recurring(lines, distinct)
+    return lines.join(best, ["leaf", "line"]).select("doc_id", "line", "template")
+
+
+def recurring_templates(docs: DataFrame) -> DataFrame:
+    """``template, text, n_lines``: what :func:`recurring_lines` finds, with ``<*>`` for fields, and the number of different
+    lines for which no more special template recurs."""
+    lines, distinct = _lines_and_distinct(docs)
+    places, best = _recurring(lines, distinct)
+    one = best.groupBy("leaf", "nth", "template").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("n_lines"))
+    fixed = places.drop("template", "n").withColumnRenamed("nth", "rank").join(one, ["leaf", "line"]).filter("rank <= nth")
+    known = fixed.groupBy("leaf", "nth", "template", "n_lines", "size").agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("known")
     )
-    of = stage(lines.select("doc_id", "leaf", "line").join(stage(named, "line_templates"), ["leaf", "line"]), "templated")
-    spread = of.select("leaf", "template", "doc_id").distinct().groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("n_docs"))
-    recurring = stage(spread.filter(F.col("n_docs") >= MIN_DOCS).select("leaf", "template"), "recurring")
-    return of.join(recurring, ["leaf", "template"], "left_semi").select("doc_id", "line", "template").distinct()
+    every = F.sequence(F.lit(0), F.col("size") - 1)
+    text = F.array_join(F.transform(every, lambda i: F.coalesce(F.try_element_at("known", i), F.lit(FIELD.decode()))), " ")
+    return known.select("template", text.alias("text"), "n_lines")
 
 
 def without_templates(docs: DataFrame) -> DataFrame:
@@ -133,5 +183,5 @@ def _cut(text: str | None, gone: np.ndarray | None) -> tuple[str | None, int, in
     if gone is None:
         return text, n, 0
     drop = set(gone)
-    stay = [line for line in lines if len(t := masked(line.encode())) < MIN_TOKENS or _number(t) not in drop]
+    stay = [line for line in lines if not (t := masked(line.encode())) or _number(t) not in drop]
     return "\n".join(stay), n, len(lines) - len(stay)

@@ -62,6 +62,44 @@ def test_passages_of_fifty_words_are_found(spark):
     assert all(first == [i - 1] for i, first in found.items())
 
 
+def test_short_copies_and_shared_ids_are_found(spark):
+    short, passage = "a text that is shorter than a chunk, and comes again and again", " ".join(f"passage{i * i}" for i in range(60))
+    rows = [(i, short) for i in range(100)] + [(500, f"{n} {passage} {n}") for n in ("one", "two", "three")]
+    rows += [(600, passage[:300] + "x")] * 4 + [(None, f"{passage[-290:]} {n}") for n in "ab"] + [(700, ""), (701, None), (702, "")]
+    found = {}
+    for row in repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(row.doc_id, []).append(row)
+    assert sorted(i for i in found if i is not None and i < 100) == list(range(1, 100))
+    assert all(found[i][0].first_ids == [0] and found[i][0].spans == [(0, len(short))] for i in range(1, 100))
+    assert len(found[500]) == 2 and all(r.n_rows == 1 and r.first_ids == [500] for r in found[500])
+    assert sorted(r.n_rows for r in found[600]) == [1, 3] and len(found[None]) == 2 and not {700, 701, 702} & set(found)
+
+
+def test_repeats_by_brute_force(spark):
+    """Spans recomputed text by text, in the order of ids, from the chunks alone."""
+    dice = random.Random(5)
+    passages = [" ".join(f"w{dice.randrange(10**6)}" for _ in range(dice.choice([3, 12, 40, 90]))) for _ in range(25)]
+    rows = [(i, " ".join(dice.choices(passages, k=dice.randint(0, 4)))) for i in range(150)]
+    kept, expected = set(), {}
+    for doc_id, text in rows:
+        raw = text.encode()
+        covered, first = np.zeros(len(raw), bool), {}
+        for at, n, digest in zip(*(x.tolist() for x in repeats.chunks(raw))):
+            if (n, digest) in kept or (n, digest) in first:
+                covered[at : at + n] = True
+            first.setdefault((n, digest), at)
+        kept |= set(first)
+        if covered.any():
+            expected[doc_id] = covered
+    found = repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(expected) and len(found) == len(expected)
+    for row in found:
+        covered = np.zeros(len(expected[row.doc_id]), bool)
+        for span in row.spans:
+            covered[span.begin : span.end] = True
+        assert (covered == expected[row.doc_id]).all() and all(i <= row.doc_id for i in row.first_ids)
+
+
 def test_repeats_on_odd_tables(odd_docs, no_docs):
     assert repeats.without_repeats(no_docs).count() == 0
     out = repeats.without_repeats(odd_docs)
@@ -204,6 +242,25 @@ def test_templates_generalise_fields(spark):
     assert out[100].n_dropped == 0 and out[102].text == "" and out[101].text is None
 
 
+@pytest.mark.parametrize("n", [2_000, 20_000, 100_000])
+def test_templates_do_not_fade_as_the_corpus_grows(spark, n):
+    """Field values that recur in ten documents each and more stay fields."""
+    dice = random.Random(n)
+    name = [f"name{''.join(dice.choices('abcdefgh', k=6))}" for _ in range(2000)]
+    rows = [(i, f"Posted by {dice.choice(name)} in the forum on topic{'abcdefghij'[i % 10]}{'klmnopqrstuvwxyzabcd'[i // 10 % 20]} today") for i in range(n)]
+    out = templates.without_templates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.agg(F.sum("n_dropped")).first()[0] == n
+
+
+def test_short_lines_and_texts_of_templates(spark):
+    rows = [(i, f"All rights reserved.\nmenu\nPage {i}\nsent from my {x} phone to you\nown line {x}") for i, x in enumerate("abcdefghijkl")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = templates.without_templates(docs).collect()
+    assert all(r.text == f"Page {r.doc_id}\nown line {rows[r.doc_id][1][-1]}" and r.n_dropped == 3 for r in out)
+    texts = {(r.text, r.n_lines) for r in templates.recurring_templates(docs).collect()}
+    assert texts == {("All rights reserved.", 1), ("menu", 1), ("sent from my <*> phone to you", 12)}
+
+
 def test_templates_on_odd_tables(odd_docs, no_docs):
     assert templates.without_templates(no_docs).count() == 0
     out = templates.without_templates(odd_docs)

@@ -131,15 +131,16 @@ def test_licences_of_lines(spark, docs):
 
 
 def test_line_templates(spark, docs):
-    from campflow.llm.templates import MIN_DOCS, MIN_TOKENS
+    from campflow.llm.templates import MIN_DOCS, MIN_FIXED, masked
 
     found = rows_of(queries.QUERIES["op5_line_templates"](spark, SF))
     homes = defaultdict(set)
     for doc_id, text in docs:
         for line in text.split("\n"):
-            homes[tuple(line.encode().split())].add(doc_id)
-    for doc_id, text in docs:  # whole lines that recur are the templates without a field
-        recur = sum(len(t) >= MIN_TOKENS and len(homes[t]) >= MIN_DOCS for t in (tuple(x.encode().split()) for x in text.split("\n")))
+            homes[masked(line.encode())].add(doc_id)
+    for doc_id, text in docs:  # lines that recur as they are need no template with more fields
+        lines = [t for x in text.split("\n") if (t := masked(x.encode()))]
+        recur = sum(sum(x != b"<*>" for x in t) / len(t) >= MIN_FIXED and len(homes[t]) >= MIN_DOCS for t in lines)
         assert found[doc_id].n_dropped >= recur
         assert found[doc_id].n_lines == sum(1 for x in text.split("\n") if x.encode().split())
 
@@ -160,6 +161,6 @@ def test_repeats_are_repeats(spark, docs):
         own, others = text_of[row.doc_id], [text_of[i] for i in row.first_ids]
         for span in row.spans:
             piece = own[span.begin : span.end]
-            assert len(piece) >= 96
+            assert len(piece) >= 96 or piece == own
             # a span is merged from chunks of which each is kept somewhere
             assert any(piece[:96] in other for other in others)
