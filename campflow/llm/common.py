@@ -34,6 +34,13 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def outlast(written: list[str]) -> None:
+    """The table written last in this block of :func:`scratch` stays until the block around it ends, if there is one."""
+    folder = written.pop()
+    if len(_scratch) > 1:
+        _scratch[-2].append(folder)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as a table below the shared folder and read again.
 
