@@ -15,6 +15,7 @@ result does not depend on order and no leaf is one task's work.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,21 +30,41 @@ from campflow.llm.common import free_name, stage, utf8_texts
 
 LEADING, MIN_DOCS, MIN_FIXED = 2, 10, 0.7
 FIELD = b"<*>"
-_DIGITS = frozenset(b"0123456789")
+_digit = re.compile(rb"[0-9]").search
+
+
+def _fields(tokens: list[bytes]) -> list[bytes]:
+    return [FIELD if _digit(token) else token for token in tokens]
+
+
+def masked_line(line: bytes) -> bytes:
+    """The tokens of a line, joined by spaces, with ``<*>`` for those that hold a digit."""
+    tokens = line.split()
+    return b" ".join(_fields(tokens) if _digit(line) else tokens)  # most lines have no digit
 
 
 def masked(line: bytes) -> tuple[bytes, ...]:
-    """The tokens of a line, with ``<*>`` for those that hold a digit."""
-    return tuple(FIELD if not _DIGITS.isdisjoint(token) else token for token in line.split())
+    """The tokens of :func:`masked_line`."""
+    return tuple(masked_line(line).split())
 
 
-def _number(tokens: tuple[bytes, ...]) -> int:
-    n = xxhash.xxh3_64_intdigest(b" ".join(tokens))
+def _number(tokens: bytes) -> int:
+    n = xxhash.xxh3_64_intdigest(tokens)
     return n - (1 << 64) if n >> 63 else n
 
 
-def leaf_of(tokens: tuple[bytes, ...]) -> int:
-    return _number((b"%d" % len(tokens), *tokens[:LEADING]))
+def leaf_of(tokens: bytes) -> int:
+    """The leaf of a masked line."""
+    return _number(b" ".join((b"%d" % (tokens.count(b" ") + 1), *tokens.split(b" ", LEADING)[:LEADING])))
+
+
+def _leaves(text: bytes) -> set[int]:
+    """The leaves of a text's lines: only their leading tokens are masked."""
+    heads = set()
+    for line in set(text.split(b"\n")):
+        if tokens := line.split():
+            heads.add((len(tokens), *tokens[:LEADING]))
+    return {_number(b" ".join((b"%d" % n, *_fields(leading)))) for n, *leading in heads}
 
 
 def _lines(docs: DataFrame, with_tokens: bool) -> DataFrame:
@@ -54,11 +75,11 @@ def _lines(docs: DataFrame, with_tokens: bool) -> DataFrame:
             ids = batch.column(0).to_pylist()
             rows: list[tuple] = []
             for doc_id, text in zip(ids, utf8_texts(batch.column(1))):
-                lines = {t for line in text.split(b"\n") if (t := masked(line))}
                 if with_tokens:
-                    rows += [(doc_id, leaf_of(t), _number(t), b" ".join(t)) for t in lines]
+                    lines = {t for line in set(text.split(b"\n")) if (t := masked_line(line))}
+                    rows += [(doc_id, leaf_of(t), _number(t), t) for t in lines]
                 else:
-                    rows += [(leaf,) for leaf in {leaf_of(t) for t in lines}]
+                    rows += [(leaf,) for leaf in _leaves(text)]
                 if len(rows) > 50_000:
                     yield batch_of(rows)
                     rows = []
@@ -183,5 +204,5 @@ def _cut(text: str | None, gone: np.ndarray | None) -> tuple[str | None, int, in
     if gone is None:
         return text, n, 0
     drop = set(gone)
-    stay = [line for line in lines if not (t := masked(line.encode())) or _number(t) not in drop]
+    stay = [line for line in lines if not (t := masked_line(line.encode())) or _number(t) not in drop]
     return "\n".join(stay), n, len(lines) - len(stay)

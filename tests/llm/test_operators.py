@@ -252,6 +252,17 @@ def test_templates_do_not_fade_as_the_corpus_grows(spark, n):
     assert out.agg(F.sum("n_dropped")).first()[0] == n
 
 
+def test_lines_are_masked_as_token_by_token():
+    """Leaves and lines by way of whole lines are those of their tokens."""
+    dice = random.Random(5)
+    lines = ["", " \t ", "7", "a1", "x\x0b2 y", " a  b 3c\td ", "٣ drei", *(" ".join(dice.choices(["a", "b1", "22", "c", "é"], k=dice.randrange(9))) for _ in range(300))]
+    plain = [tuple(b"<*>" if any(48 <= c < 58 for c in t) else t for t in line.encode().split()) for line in lines]
+    assert [templates.masked_line(line.encode()) for line in lines] == [b" ".join(t) for t in plain]
+    leaf = lambda t: templates._number(b" ".join((b"%d" % len(t), *t[: templates.LEADING])))
+    assert [templates.leaf_of(b" ".join(t)) for t in plain if t] == [leaf(t) for t in plain if t]
+    assert templates._leaves("\n".join(lines).encode()) == {leaf(t) for t in plain if t}
+
+
 def test_short_lines_and_texts_of_templates(spark):
     rows = [(i, f"All rights reserved.\nmenu\nPage {i}\nsent from my {x} phone to you\nown line {x}") for i, x in enumerate("abcdefghijkl")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
