@@ -226,9 +226,11 @@ def refresh_dates(arrivals: DataFrame, root: str, run: str | None = None) -> lis
         clean = batch.keep("arrived", silver_clicks(arrivals, order_by=["event_timestamp"]))
         silver = silver_table(clean)
         dates[:] = _dates(clean)
-        stored = store.read(silver).filter(within("event_date", dates))
-        rows = dedup(stored.select(*clean.columns).unionByName(clean), ["event_id"], ["event_timestamp"])
-        images = batch.merge(silver, rows, touched=dates, whole=True, feed=False)
+        rows = clean  # one per event_id
+        if store.holds(silver, dates):
+            stored = store.read(silver).filter(within("event_date", dates))
+            rows = dedup(stored.select(*clean.columns).unionByName(clean), ["event_id"], ["event_timestamp"])
+        images = batch.merge(silver, rows, touched=dates, whole=True, feed=False, unique=True)
         current = images.filter("new IS NOT NULL").select("event_id", "event_date", "new.*")
         _merge_cells(batch, live_cells(current), dates, whole=True)
 

@@ -141,6 +141,11 @@ class Store:
         reader = self.spark.readStream if streaming else self.spark.read
         return reader.schema(T.StructType(fields)).parquet(f"{self.root}/feeds/{table.name}")
 
+    def holds(self, table: Table, partitions: Sequence[object]) -> bool:
+        """Whether any of the ``partitions`` is stored."""
+        stored = set(self.files.names(f"{self.root}/tables/{table.name}"))
+        return any(_folder(table.partition, value) in stored for value in partitions)
+
     def expire_feeds(self, keep: int) -> None:
         """Delete the images of all but the newest ``keep`` versions of each feed."""
         for name in self.files.names(f"{self.root}/feeds"):
@@ -257,6 +262,7 @@ class Batch:
         touched: Sequence[object] | None = None,
         whole: bool = False,
         feed: bool = True,
+        unique: bool = False,
     ) -> DataFrame:
         """Merge ``changes``, one row per key, into ``table``; returns ``keys, old, new`` of the partitions touched.
 
@@ -264,7 +270,8 @@ class Batch:
         (structs of the value columns, either of them NULL where there is no such row). Rows for which ``keep_row`` (over
         ``new``) is not true are deleted. ``touched`` names the partitions where the caller knows them (more do no harm);
         with ``whole`` the changes are all rows of those partitions, and stored rows without one are deleted. Two rows
-        for a key fail the batch.
+        for a key fail the batch. Where the caller knows that ``changes`` have one per key (``unique``) and no touched
+        partition is stored, there is nothing to bring together, and the rows are not shuffled.
         """
         store, keys, partition = self.store, list(table.keys), table.partition
         outside = list(dict.fromkeys([*keys, partition]))
@@ -278,12 +285,14 @@ class Batch:
         sides = stored.select(*outside, old_row.alias("old"), F.lit(None).cast(_kind(placed, table.values)).alias("change"))
         news = placed.select(*outside, F.lit(None).cast(_kind(stored, [*table.values, _ROW_VERSION])).alias("old"),
                              F.struct(*table.values).alias("change"))
-        grouped = sides.unionByName(news).groupBy(*outside).agg(
-            F.first("old", ignorenulls=True).alias("old"), F.first("change", ignorenulls=True).alias("change"),
-            F.count_if(F.col("change").isNotNull()).alias("_n"),
-        )
-        message = F.concat(F.lit("more than one row for key "), F.to_json(F.struct(*keys)))
-        grouped = grouped.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        grouped = news
+        if not unique or store.holds(table, touched):
+            grouped = sides.unionByName(news).groupBy(*outside).agg(
+                F.first("old", ignorenulls=True).alias("old"), F.first("change", ignorenulls=True).alias("change"),
+                F.count_if(F.col("change").isNotNull()).alias("_n"),
+            )
+            message = F.concat(F.lit("more than one row for key "), F.to_json(F.struct(*keys)))
+            grouped = grouped.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
         kinds = {f.name: f.dataType for f in table.schema.fields}
         made = [((combine or {}).get(c, F.col(f"change.{c}"))).cast(kinds[c]).alias(c) for c in table.values]
         merged = F.when(F.col("change").isNotNull(), F.struct(*made, F.lit(self.version).cast("long").alias(_ROW_VERSION)))

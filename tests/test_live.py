@@ -168,6 +168,28 @@ def test_a_smaller_copy_takes_the_place_of_a_stored_one(spark):
     assert minute.minute_of_hour == 20
 
 
+def test_arrivals_of_new_dates_are_deduplicated_once(spark, dated, clicks, monkeypatch):
+    """Nothing is stored for their dates, so their rows are not brought together with any: no second and third shuffle."""
+    def never(*_):
+        raise AssertionError("no stored rows to compare with")
+
+    plans, kept = [], live.Batch.merge
+
+    def merge(batch, table, changes, **how):
+        images = kept(batch, table, changes, **how)
+        plans.append((table.name, how.get("unique", False)))
+        return images
+
+    monkeypatch.setattr(live, "dedup", never)
+    monkeypatch.setattr(live.Batch, "merge", merge)
+    root = work_dir(spark, "new")
+    live.refresh_dates(dated, root)
+    assert ("silver_clicks", True) in plans
+    assert same(live.live_table(spark, root, "gold_daily_kpis"), gold.daily_kpis(clicks))
+    stored = Store(spark, root).read(live.silver_table(clicks))
+    assert stored.count() == clicks.count() == stored.select("event_id").distinct().count()
+
+
 def test_the_dashboard_over_live_tables(spark, deployed, clicks, campaigns):
     answers = live.live_tables(spark, deployed, lambda: campaigns)
     assert answers.kpis_summary().collect() == serving.kpis_summary(gold.daily_kpis(clicks)).collect()
