@@ -22,7 +22,7 @@ from campflow.operators import changes, sessions  # noqa: E402
 from campflow.operators.dedup import dedup  # noqa: E402
 from campflow.operators.quality import quality_report, uniqueness_report  # noqa: E402
 from campflow.plans import dashboard, gold, pipeline, serving, silver  # noqa: E402
-from campflow.session import configure, work_dir  # noqa: E402
+from campflow.session import configure, input_bytes, work_dir  # noqa: E402
 from campflow.sources import readers, sinks, synth, testdata  # noqa: E402
 from campflow.streaming import live, tidy  # noqa: E402
 from campflow.streaming.late import bounded_dedup, read_kept, read_late  # noqa: E402
@@ -398,11 +398,16 @@ def _bounded_dedup(i: _Inputs) -> DataFrame:
     return kept.unionAll(late).groupBy("event_id", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+_FILE_BYTES = 16 << 20  # of events, for each file of raw sessions
+
+
 def _stream_sessions(i: _Inputs) -> DataFrame:
     folder = i.work_dir("sessions")
     raw = testdata.bronze_sessions(i.spark, i.sf_dir)
-    raw.repartition(3).write.parquet(f"{folder}/raw")
-    stream = readers.read_sessions(i.spark, f"{folder}/raw", streaming=True, maxFilesPerTrigger="1")
+    size = input_bytes(testdata.read_events(i.spark, i.sf_dir))
+    files = 3 * -(-max(size, 1) // (3 * _FILE_BYTES))  # in three micro-batches
+    raw.repartition(files).write.parquet(f"{folder}/raw")
+    stream = readers.read_sessions(i.spark, f"{folder}/raw", streaming=True, maxFilesPerTrigger=str(files // 3))
     layout = Layout.new(folder)
     finish(start_sessions(stream, layout))
     kind = silver.silver_sessions(stream).schema
@@ -410,9 +415,9 @@ def _stream_sessions(i: _Inputs) -> DataFrame:
 
 
 def _stream_daily(i: _Inputs) -> DataFrame:
-    """The daily table in complete mode over stored silver files, three of them at a time."""
+    """The daily table in complete mode over stored silver files, as many as their size asks for."""
     layout = Layout.new(i.work_dir("daily"))
-    i.clicks().repartition(3).write.parquet(layout.data("silver_clicks"))
+    sinks.compact(i.clicks()).write.parquet(layout.data("silver_clicks"))
     last = f"{layout.root}/last"
     finish(start_daily(i.spark, i.clicks(), lambda days, _: days.write.mode("overwrite").parquet(last), layout))
     return i.spark.read.parquet(last)

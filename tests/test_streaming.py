@@ -259,3 +259,20 @@ def test_paced_source(spark):
     assert got.count() > 0
     batch = synth.synth_clicks(spark, 10_000, seed=5, base=dt.datetime(2024, 2, 15))
     assert got.join(batch, got.columns, "left_anti").filter("action_element IS NOT NULL").count() == 0
+
+
+def test_files_of_the_daily_query_follow_the_size_of_the_table(spark, sf_dir, monkeypatch):
+    """No fixed number of files: Spark's own parts, where it does not join small ones, are more, and none has a large share."""
+    import __spark_entry__ as contract
+
+    layout = Layout.new(work_dir(spark, "daily"))
+    monkeypatch.setattr(contract.Layout, "new", classmethod(lambda cls, root: layout))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        days = contract.queries()["stream_daily_complete"](spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(layout.data("silver_clicks"))
+    rows = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(rows) > 3 and max(rows) < sum(rows) / 3
+    assert days.agg(F.sum("total_events")).first()[0] == sum(rows)
