@@ -1,20 +1,31 @@
-"""Near copies by exact Jaccard similarity of word shingles, found by a prefix filter.
+"""Near copies: SimHash groups, verified by exact Jaccard similarity of word shingles; a prefix filter finds the rest.
+
+The stage begins as operator 10 does: texts whose SimHash fingerprints differ in two bits at most are found by their
+fingerprints (:func:`campflow.llm.simhash.fingerprint_links`), each such link is then checked exactly. A radius of two
+bits alone would lose most edited copies, and no radius holds all texts that are similar enough. So an exact way follows
+for the links that are missing between groups.
 
 Put all shingles in one fixed order and look at the first of each text's only. Two sets that are similar enough share a
 shingle within the first fifth of the larger one and the first ninth of the smaller one, or else too little is left for
-them to share. So each text is filed under its first shingles, and only texts that meet there are compared. The order
-puts shingles of many texts last: what a template gives to all texts of a site is in the first ninth of none, unless
-nearly all of the text is template, and then they are near copies. How many texts have a shingle is counted over
-all documents, in a map of a fixed size; the order decides what it costs, never what is found.
-
-Texts that meet in a bucket are compared with one of them first, and with each other only if they are in different groups
-after that. So each pair that meets is compared or connected anyway, and a large group of near copies is not compared pair
-by pair.
+them to share; nor may too little be left behind the first place where they meet. So each text is filed under its first
+shingles, and only texts that meet there are compared. The order puts shingles of many texts last: what a template gives
+to all texts of a site is in the first ninth of none, unless nearly all of the text is template, and then they are near
+copies. How many texts have a shingle is counted over all documents, in a map of a fixed size; the order decides what it
+costs, never what is found.
+
+Texts that meet in buckets of several groups are first compared with one text each, the centre of most of its buckets,
+in turns, as long as that brings groups together; large buckets are divided by a segment of the fingerprints for that; what is then left in buckets of several groups is compared pair by pair. So each
+pair that meets is compared or connected anyway, and a large group of near copies is not compared pair by pair.
+
+Before the sets of a pair are fetched, small bitmaps are compared in which each shingle of a text has turned over one
+bit. They differ in no more bits than the sets do in shingles, so pairs that differ in too many are left out for certain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,40 +38,61 @@ from pyspark.sql.window import Window
 
 from campflow.llm.common import free_name, giving_back, outlast, scratch, stage, utf8_texts
 from campflow.llm.components import components
-from campflow.llm.simhash import SEED, shingle_hashes
+from campflow.llm.simhash import SEED, fingerprint_links, majority, shingle_hashes
 
 #: Texts are near copies from this Jaccard similarity of their shingle sets on, as a fraction.
 SIMILARITY = (4, 5)
-#: Places of the map of counts, and from how many texts on a shingle counts as frequent.
-MAP_PLACES, FREQUENT = 1 << 27, 16
-#: Texts of a bucket are compared with so many different ones of them, in turn, before pair by pair.
-STARS = 2
+#: Places of the map of counts, and the numbers of texts that it tells apart: shingles of more texts come later.
+MAP_PLACES, LEVELS = 1 << 27, (2, 16, 128, 1024)
+#: Texts are compared with one centre each in so many turns at most, while more than so many pairs for each text are left
+#: to compare pair by pair, and a turn leaves no more than this part of them; buckets of so many texts are large.
+STARS, PAIRS_A_TEXT, ENOUGH, LARGE = 5, 1, 0.7, 16
+#: Longs of the bitmap that is compared where texts meet.
+SMALL = 4
 _MAP_ROW = 1 << 15
 _COUNTED_AT_ONCE = 1_000_000
 
 
 def shingle_set(text: bytes, shingle_words: int) -> np.ndarray:
     """The distinct hashes of a text's shingles; a text without words has the one of no word."""
-    found = list(shingle_hashes(text, shingle_words))
+    return _distinct(list(shingle_hashes(text, shingle_words)))
+
+
+def _distinct(found: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.array([xxhash.xxh64_intdigest(b"", SEED)], "<u8")
 
 
+def sketch(shingles: np.ndarray, width: int = 0) -> bytes:
+    """A bitmap of two to four bits a shingle (or of ``width`` bits), in which each shingle has turned over one bit."""
+    width = width or max(64, 2 << (len(shingles) - 1).bit_length())
+    turned = np.bincount((shingles % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(turned.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(one: bytes, other: bytes) -> int:
+    """Shingles that are in one of two sets only are at least so many; a longer bitmap is folded to the shorter."""
+    x, y = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 class Counts:
-    """Which places of the map are reached by two texts at least, and which by many."""
+    """Which places of the map are reached by as many texts as each of ``LEVELS``."""
 
     def __init__(self, rows: list, places: int) -> None:
         self.places = places
-        self._bits = np.zeros((2, places // 8), np.uint8)
+        self._bits = np.zeros((len(LEVELS), places // 8), np.uint8)
         for row in rows:
-            for k, raw in enumerate((row.twice, row.often)):
-                self._bits[k, row.row * _MAP_ROW // 8 :][: _MAP_ROW // 8] = np.frombuffer(bytes(raw), np.uint8)
+            found = np.frombuffer(bytes(row.bits), np.uint8).reshape(len(LEVELS), -1)
+            self._bits[:, row.row * _MAP_ROW // 8 :][:, : _MAP_ROW // 8] = found
 
     def __getstate__(self) -> tuple:
         return self.places, zstandard.compress(self._bits.tobytes(), 1)  # of few documents the map is nearly empty
 
     def __setstate__(self, state: tuple) -> None:
         self.places, packed = state
-        self._bits = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(2, -1)
+        self._bits = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(len(LEVELS), -1)
 
     def _has(self, k: int, hashes: np.ndarray) -> np.ndarray:
         at = hashes % np.uint64(self.places)
@@ -69,8 +101,8 @@ class Counts:
     def twice(self, hashes: np.ndarray) -> np.ndarray:
         return self._has(0, hashes)
 
-    def often(self, hashes: np.ndarray) -> np.ndarray:
-        return self._has(1, hashes)
+    def level(self, hashes: np.ndarray) -> np.ndarray:
+        return sum(self._has(k, hashes).astype(np.int8) for k in range(1, len(LEVELS)))
 
 
 def _reports(places: np.ndarray) -> pa.RecordBatch:
@@ -90,9 +122,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, sums = None, np.zeros(_MAP_ROW, np.int64)
 
     def full() -> pa.RecordBatch:
-        bits = [np.packbits(sums >= least, bitorder="little").tobytes() for least in (2, FREQUENT)]
+        bits = b"".join(np.packbits(sums >= least, bitorder="little").tobytes() for least in LEVELS)
         sums[:] = 0
-        return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), *[pa.array([b], pa.binary()) for b in bits]], ["row", "twice", "often"])
+        return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([bits], pa.binary())], ["row", "bits"])
 
     for batch in batches:
         for row, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
@@ -120,40 +152,47 @@ def shingle_counts(docs: DataFrame, shingle_words: int, places: int = MAP_PLACES
             yield _reports(np.concatenate(held))
 
     reports = docs.select("text").mapInArrow(giving_back(run), "row int, places binary, counts binary")
-    rows = reports.repartition("row").sortWithinPartitions("row").mapInArrow(giving_back(_summed), "row int, twice binary, often binary")
+    rows = reports.repartition("row").sortWithinPartitions("row").mapInArrow(giving_back(_summed), "row int, bits binary")
     return docs.sparkSession.sparkContext.broadcast(Counts(rows.collect(), places))
 
 
-def first_shingles(shingles: np.ndarray, counts: Counts) -> tuple[np.ndarray, int]:
-    """The shingles that a text is filed under, and how many of them hold for texts that are no smaller."""
-    often = counts.often(shingles)
-    ordered = np.concatenate([shingles[~often], shingles[often]])  # both are sorted by hash
+def first_shingles(shingles: np.ndarray, counts: Counts) -> tuple[np.ndarray, np.ndarray, int]:
+    """The shingles that a text is filed under, their places, and how many of them hold for texts that are no smaller."""
+    ordered = shingles[np.argsort(counts.level(shingles), kind="stable")]  # those of a level stay sorted by hash
     n, (part, whole) = len(ordered), SIMILARITY
     filed = n + 1 - -(-part * n // whole)  # one more than what a similar set may lack
     short = n + 1 - -(-2 * part * n // (part + whole))
     meets = counts.twice(ordered[:filed])
-    return ordered[:filed][meets], int(meets[:short].sum())
+    return ordered[:filed][meets], np.flatnonzero(meets), int(meets[:short].sum())
 
 
 def _text_key() -> Column:
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
+_FILED = "doc_id long, node binary, n long, keys array<long>, places array<int>, short int, fingerprint long, sketch binary, small array<long>"
+
+
 def _filed(docs: DataFrame, shingle_words: int, counts: Broadcast) -> DataFrame:
+    def of_text(text: bytes) -> tuple:
+        found = list(shingle_hashes(text, shingle_words))
+        shingles = _distinct(found)
+        keys, places, short = first_shingles(shingles, counts.value)
+        small = np.frombuffer(sketch(shingles, 64 * SMALL), "<i8")
+        return len(shingles), keys.view("<i8"), places, short, majority(found), sketch(shingles), small
+
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in _FILED.split(", ")]
         for batch in batches:
-            sizes, keys, shorts = [], [], []
-            for text in utf8_texts(batch.column(2)):
-                shingles = shingle_set(text, shingle_words)
-                found, short = first_shingles(shingles, counts.value)
-                sizes.append(len(shingles))
-                keys.append(found.view("<i8"))
-                shorts.append(short)
-            made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "node", "n", "keys", "short"])
+            if batch.num_rows:
+                made = zip(*map(of_text, utf8_texts(batch.column(2))))
+                arrays = [pa.array(values, kind) for values, kind in zip(made, kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
 
     rows = docs.select(F.col("doc_id").cast("long"), _text_key().alias("node"), "text")
-    return rows.mapInArrow(giving_back(run), "doc_id long, node binary, n long, keys array<long>, short int")
+    return rows.mapInArrow(giving_back(run), _FILED)
 
 
 def _shingles(texts: DataFrame, shingle_words: int) -> DataFrame:
@@ -175,6 +214,33 @@ def _near(a: Column, b: Column) -> Column:
     return F.least(a, b) * low >= F.greatest(a, b) * high
 
 
+def _meet(x: str, y: str) -> Column:
+    """Texts of two groups that may be similar enough: for their sizes, and for what is left behind the place (``at``)
+    of the key. At the first key that two texts share, what is left is all that they can share besides."""
+    part, whole = SIMILARITY
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    left = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))
+    return (F.col(f"{x}.root") != F.col(f"{y}.root")) & _near(n, m) & (left * (part + whole) >= (n + m) * part)
+
+
+def _sketched(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) without those whose bitmaps differ too much, or that are one text; in how many bits (``apart``)."""
+    part, whole = SIMILARITY
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, one, other = (batch.column(i).to_pylist() for i in range(2, 6))
+            apart = [least_difference(x, y) for x, y in zip(one, other)]
+            kept = [d * (whole + part) <= (x + y) * (whole - part) for d, x, y in zip(apart, n, m)]
+            found = [batch.column(0), batch.column(1), pa.array(apart, pa.int64())]
+            yield pa.RecordBatch.from_arrays(found, ["a", "b", "apart"]).filter(pa.array(kept, pa.bool_()))
+
+    of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch"))
+    both = pairs.filter("a != b").join(of("b"), "b").join(of("a"), "a")
+    both = both.filter(_near(F.col("a_n"), F.col("b_n"))).select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch")
+    return both.mapInArrow(giving_back(run), "a binary, b binary, apart long")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
     """Of ``pairs`` (a, b: text keys) those whose shingle sets have a Jaccard similarity of ``SIMILARITY`` or more."""
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
@@ -184,29 +250,67 @@ def _verified(docs: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFram
         texts = texts.join(stage(wanted, "wanted"), "node", "left_semi").dropDuplicates(["node"])
         sets = stage(_shingles(texts, shingle_words), "shingle_sets")
         of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
-        both, size = pairs.join(of("a"), "a").join(of("b"), "b"), lambda side: F.size(f"{side}_set")
+        both, size = pairs.join(of("b"), "b").join(of("a"), "a"), lambda side: F.size(f"{side}_set")
         shared = F.size(F.array_intersect("a_set", "b_set"))
         found = stage(both.filter(shared * (high + low) >= (size("a") + size("b")) * high).select("a", "b"), "similar")
         outlast(written)
     return found
 
 
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+def _fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """``a, b``: texts whose fingerprints differ in two bits at most, as stars that connect what those links connect."""
+    prints = stage(nodes.groupBy("fingerprint").agg(F.min("node").alias("first")), "fingerprints")
+    of = lambda side: prints.select(F.col("fingerprint").alias(f"{side}_print"), F.col("first").alias(side))
+    links = fingerprint_links(prints.select("fingerprint")).toDF("a_print", "b_print")
+    between = links.join(of("a"), "a_print").join(of("b"), "b_print").select("a", "b")
+    return between.unionAll(nodes.join(prints, "fingerprint").select(F.col("node").alias("a"), F.col("first").alias("b")))
 
 
-def _rooted(keys: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The rows of ``keys`` in buckets that hold texts of several groups, each with its group's ``root``."""
+def _open(keys: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``keys`` in buckets of several groups, each with its group's ``root`` and the rows of the bucket."""
+    columns = ["key", "node", "n", "at", "short", "fingerprint"]
     with scratch(keys.sparkSession) as written:
-        if links is None:
-            rows = keys.withColumn("root", F.col("node"))
-        else:
-            rows = keys.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rows = stage(rows, "rooted")
-        apart = rows.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("key")
-        open_buckets = stage(rows.join(apart, "key", "left_semi"), "open_buckets")
+        rows = keys.select(columns).join(components(links), "node", "left").select(*columns, F.coalesce("root", "node").alias("root"))
+        buckets = rows.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("all"))
+        found = stage(rows.join(buckets.filter("r < s").drop("r", "s"), "key"), "open_buckets")
+        outlast(written)
+    return found
+
+
+def _left(rows: DataFrame) -> int:
+    """So many pairs of different groups would be compared in the buckets."""
+    both = [F.count(F.lit(1)).alias("of"), F.count_if("short").alias("short")]
+    pairs = F.sum("of") * F.sum("short") - F.sum(F.col("of") * F.col("short"))
+    return rows.groupBy("key", "root").agg(*both).groupBy("key").agg(pairs.alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
+
+
+def _to_centres(rows: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: texts and the centres that they meet.
+
+    In the first turn a bucket has one centre, and each text has the one that it meets most often. In later turns large
+    buckets have a centre for each value of each segment of the fingerprints: texts that are alike share some of these.
+    """
+    if turn:
+        values = [F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fingerprint", 8 * k).bitwiseAND(F.lit(255)).alias("v")) for k in range(8)]
+        rows = rows.filter(F.col("all") >= LARGE).withColumn("segment", F.explode(F.array(*values)))
+    by = ["key", "segment"] if turn else ["key"]
+    chosen = F.min_by(F.struct("node", "root", "n", "at"), F.xxhash64("node", F.lit(turn))).alias("c")
+    met = rows.alias("x").join(rows.groupBy(*by).agg(chosen), by).filter(_meet("x", "c")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+    if turn:
+        return met.distinct()
+    times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    return times.groupBy("a").agg(F.max_by("b", F.struct("times", F.xxhash64("b"))).alias("b"))
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_words: int, nearest: bool = False) -> DataFrame:
+    """Of ``pairs`` those that are similar enough; of the others only few have their sets fetched. With ``nearest`` only
+    one pair for each ``a`` is looked at, whose bitmaps differ least."""
+    with scratch(docs.sparkSession) as written:
+        pairs = _sketched(nodes, pairs)
+        pairs = pairs.groupBy("a").agg(F.min_by("b", "apart").alias("b")) if nearest else pairs.select("a", "b")
+        found = _verified(docs, stage(pairs, "pairs"), shingle_words)
         outlast(written)
-    return open_buckets
+    return found
 
 
 def similar_groups(docs: DataFrame, shingle_words: int = 5, map_places: int = MAP_PLACES) -> DataFrame:
@@ -219,31 +323,31 @@ def similar_groups(docs: DataFrame, shingle_words: int = 5, map_places: int = MA
     counts = shingle_counts(docs, shingle_words, map_places)
     with scratch(docs.sparkSession) as written:
         filed = stage(_filed(docs, shingle_words, counts), "filed")
-        nodes = filed.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "keys", "short")])
-        nodes = stage(nodes, "texts")
+        each = [F.first(c).alias(c) for c in ("n", "keys", "places", "short", "fingerprint", "sketch", "small")]
+        nodes = stage(filed.groupBy("node").agg(F.min("doc_id").alias("first_id"), *each), "texts")
         outlast(written)
         filed = stage(filed.select("doc_id", "node"), "text_of")
         outlast(written)
-    keys = nodes.select("node", "n", "short", F.posexplode("keys").alias("at", "key"))
-    keys = keys.select("key", "node", "n", (F.col("at") < F.col("short")).alias("short"))
-
-    links = tried = None
-    for star in range(STARS + 1):
-        # only a text in whose first ninth the key lies has to meet those that are no smaller
-        keys = _rooted(keys if star == 0 else keys.drop("root"), links)
-        if star < STARS:
-            centre = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(star))).alias("c")
-            met = keys.join(keys.groupBy("key").agg(centre), "key").filter((F.col("root") != F.col("c.root")) & _near(F.col("n"), F.col("c.n")))
-            pairs = met.select(*_ordered("node", "c.node"))
-        else:
-            x, y = keys.filter("short").alias("x"), keys.alias("y")
-            met = x.join(y, "key").filter((F.col("x.root") != F.col("y.root")) & (F.col("x.n") <= F.col("y.n")) & _near(F.col("x.n"), F.col("y.n")))
-            pairs = met.select(*_ordered("x.node", "y.node"))
-        pairs = pairs.distinct()
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = _verified(docs, pairs, shingle_words)
-        links = found if links is None else links.unionAll(found)
-        tried = pairs if tried is None else tried.unionAll(pairs)
+    n_texts = nodes.count()
+    keys = nodes.select("node", "n", "short", "fingerprint", F.posexplode(F.arrays_zip("keys", "places")).alias("i", "k"))
+    keys = keys.withColumns({"key": F.col("k.keys"), "at": F.col("k.places"), "short": F.col("i") < F.col("short")})
+
+    links, before = _linked(docs, nodes, _fingerprint_pairs(nodes), shingle_words), None
+    for turn in range(STARS + 1):
+        keys = _open(keys, links)
+        left = _left(keys)
+        if turn == STARS or left <= PAIRS_A_TEXT * n_texts or turn > 1 and left > ENOUGH * before:
+            break
+        links, before = links.unionAll(_linked(docs, nodes, _to_centres(keys, turn), shingle_words, nearest=True)), left
+    # only a text in whose first ninth the key lies has to meet those that are no smaller
+    keys = keys.join(nodes.select("node", "small"), "node").select("key", "node", "n", "at", "short", "root", *[F.col("small")[i].alias(f"s{i}") for i in range(SMALL)])
+    x, y = keys.filter("short").alias("x"), keys.alias("y")
+    apart = reduce(add, [F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(SMALL)])
+    part, whole = SIMILARITY
+    few = apart * (whole + part) <= (F.col("x.n") + F.col("y.n")) * (whole - part)
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.n") <= F.col("y.n")) & _meet("x", "y") & few)
+    pairs = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+    links = links.unionAll(_linked(docs, nodes, pairs, shingle_words))
 
     named = nodes.select("node", "first_id").join(components(links), "node", "left")
     named = stage(named.select("node", "first_id", F.coalesce("root", "node").alias("root")), "groups")

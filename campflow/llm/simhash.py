@@ -9,7 +9,7 @@ however many near copies the corpus has: tables keyed by a segment alone would f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,13 @@ _AT_ONCE = 1 << 16
 
 def fingerprint(text: bytes, shingle_words: int = 3) -> int:
     """A bit is 1 if it is 1 in over half of the shingles' hashes. A-Z are lower-cased; no words give 0."""
+    return majority(shingle_hashes(text, shingle_words))
+
+
+def majority(batches: Iterable[np.ndarray]) -> int:
+    """The fingerprint (as a signed long) of batches of hashes, repeats included."""
     n, ones = 0, np.zeros(64, np.int64)
-    for hashes in shingle_hashes(text, shingle_words):
+    for hashes in batches:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         n += len(hashes)

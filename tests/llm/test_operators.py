@@ -587,3 +587,32 @@ def test_near_copies_with_a_crowded_map(spark):
     root = {i: i for i in sets} | dict(brute(pairs))
     for places in (1 << 15, 1 << 20):
         assert {r.doc_id: r.component_id for r in nearcopies.similar_groups(docs, map_places=places).collect()} == root
+
+
+def test_bitmaps_never_differ_more_than_the_sets():
+    dice = np.random.default_rng(3)
+    for size in (1, 5, 64, 300, 5_000):
+        for gone in (0, 1, size // 9, size // 2, size):
+            all_of = dice.integers(0, 1 << 63, 2 * size, dtype=np.uint64)
+            one, other = all_of[:size], np.concatenate([all_of[gone:size], all_of[size : size + gone // 3]])
+            apart = len(np.setxor1d(one, other))
+            assert nearcopies.least_difference(nearcopies.sketch(one), nearcopies.sketch(other)) <= apart
+            assert nearcopies.least_difference(nearcopies.sketch(one, 256), nearcopies.sketch(other, 256)) <= apart
+
+
+def test_near_copies_begin_with_simhash_links(spark, monkeypatch):
+    """Texts within two bits are linked by their fingerprints, before any bucket of shingles is opened."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words).upper(), " ".join([*words[:399], "x"]), " ".join(f"v{i}" for i in range(400))]
+    close = [(a, b) for a in range(4) for b in range(a) if (simhash.fingerprint(texts[a].encode(), 5) ^ simhash.fingerprint(texts[b].encode(), 5)).bit_count() <= 2]
+    assert (1, 0) in close
+    seen, opened = [], nearcopies._open
+
+    def first_links(keys, links):
+        seen.append(links.count())
+        return opened(keys, links)
+
+    monkeypatch.setattr(nearcopies, "_open", first_links)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.component_id for r in sorted(nearcopies.similar_groups(docs).collect())] == [0, 0, 0, 3]
+    assert seen[0] > 0
