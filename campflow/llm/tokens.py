@@ -30,7 +30,9 @@ END_ID = 1
 #: The dictionary is trained on so many documents, drawn by a hash of doc_id over the whole table, and on so many
 #: bytes of each one's ids.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 13, 1 << 16
-_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS, _CACHED_FORMS = 3, 1 << 20, 4096, 500_000
+_LEVEL, _BLOCK_BYTES, _BLOCK_DOCS = 3, 1 << 20, 4096
+#: So many forms are at hand in a worker, and so many times as many packed.
+_CACHED_FORMS, _PACKED = 250_000, 3
 _GROUP_BYTES = 1 << 20
 #: Characters that normal forms, lower-casing or white space rules may treat together with others: all but ASCII white
 #: space and the printable characters of ASCII and Latin.
@@ -42,6 +44,25 @@ _BLOCK_SCHEMA = (
 )
 
 
+class _Packed:
+    """Forms and their ids in Arrow columns, found by hash and compared: a fifth of what a dict of them takes."""
+
+    def __init__(self, known: dict[str, bytes]) -> None:
+        hashes = np.fromiter(map(hash, known), np.int64, len(known))
+        self._rows = np.argsort(hashes).astype(np.int32)
+        self._hashes = hashes[self._rows]
+        self._forms, self._ids = pa.array(list(known), pa.string()), pa.array(list(known.values()), pa.binary())
+
+    def known(self, forms: list[str]) -> dict[str, bytes]:
+        """Those of ``forms`` that are held, with their ids."""
+        asked = np.fromiter(map(hash, forms), np.int64, len(forms))
+        places = np.searchsorted(self._hashes, asked).clip(max=len(self._hashes) - 1)
+        hits = np.flatnonzero(self._hashes[places] == asked)
+        rows = self._rows[places[hits]]
+        held = zip(hits.tolist(), self._forms.take(rows).to_pylist(), self._ids.take(rows).to_pylist())
+        return {form: ids for at, form, ids in held if form == forms[at]}
+
+
 class PieceIds(dict):
     """Ids (as bytes) of the forms of pieces between white space.
 
@@ -49,24 +70,21 @@ class PieceIds(dict):
     splits a full stop or comma from the letter or digit before it; done beforehand for a whole text, that leaves far
     fewer forms to know. The unknown forms of a group of texts are encoded in one call, as lines of one text, and told
     apart by their places. Texts with characters that the tokenizer might treat together with their neighbours are
-    encoded as they are. When it holds ``_CACHED_FORMS`` forms they become the older generation, in place of the one
-    before: forms that are still in use come back from there, others go.
+    encoded as they are. When it holds ``_CACHED_FORMS`` forms they are packed, as the newest of ``_PACKED`` generations:
+    forms that are still in use come back from there, others go with the oldest.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._older: dict[str, bytes] = {}
+        self._older: list[_Packed] = []
         self._unknown: set[str] = set()
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def __missing__(self, form: str) -> bytes:
-        if (ids := self._older.get(form)) is None:
-            self._unknown.add(form)
-            return b""
-        self[form] = ids
-        return ids
+        self._unknown.add(form)
+        return b""
 
     def of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
@@ -82,7 +100,7 @@ class PieceIds(dict):
 
     def _ids(self, group: list[str]) -> list[bytes]:
         if len(self) >= _CACHED_FORMS:
-            self._older = dict(self)
+            self._older = [_Packed(self), *self._older[: _PACKED - 1]]
             self.clear()
         out, open_texts = [], []
         for text in group:
@@ -102,6 +120,12 @@ class PieceIds(dict):
         return out
 
     def _learn(self, forms: list[str]) -> None:
+        for older in self._older:
+            held = older.known(forms)
+            self.update(held)
+            forms = [form for form in forms if form not in held]
+        if not forms:
+            return
         found = self._tokenizer.encode("\n".join(forms), add_special_tokens=False)
         ids = np.array(found.ids, self.kind)
         begins = np.fromiter((at for at, _ in found.offsets), np.int64, len(ids))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +233,34 @@ def test_pieces_encode_like_whole_texts():
         assert np.frombuffer(next(pieces.of([text.encode()])), pieces.kind).tolist() == ids, text
 
 
+def test_pieces_of_older_generations_are_small_and_found_again(monkeypatch):
+    """Forms out of use for a while take little memory, are not encoded again, and have the right ids."""
+    monkeypatch.setattr(tokens, "_CACHED_FORMS", 10_000)
+    monkeypatch.setattr(tokens, "_GROUP_BYTES", 1 << 12)
+    dice, learned = random.Random(3), []
+    forms = list({"".join(dice.choices("abcdeéß", k=9)) for _ in range(30_000)})
+    texts = [" ".join(forms[at : at + 100]).encode() for at in range(0, len(forms), 100)]
+    fresh = tokens.PieceIds(tokenizer_file())
+    encode = fresh._tokenizer.encode
+
+    class Counting:
+        def encode(self, text, **how):
+            learned.append(text.count("\n") + 1)
+            return encode(text, **how)
+
+    fresh._tokenizer = Counting()
+    gc.collect()
+    tracemalloc.start()
+    before, arrow = tracemalloc.get_traced_memory()[0], pa.total_allocated_bytes()
+    ids = list(fresh.of(texts))
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] - before + pa.total_allocated_bytes() - arrow - sum(map(len, ids))
+    tracemalloc.stop()
+    assert held < 100 * len(forms), held / len(forms)
+    assert list(fresh.of(texts)) == ids and sum(learned) == len(forms)
+    assert ids[7] == np.array(encode(texts[7].decode(), add_special_tokens=False).ids, fresh.kind).tobytes()
+
+
 # 5 ----------------------------------------------------------------------------------------------------------------
 
 
