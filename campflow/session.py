@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+#: Interactions take some thirty times their Parquet size as rows. A task sorts its rows by key before it drops copies, so
+#: Spark's default of 128 MB a task would mean gigabytes.
+_ROWS_SPLIT = 32 << 20
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,6 +50,9 @@ def configure(spark: SparkSession) -> SparkSession:
         # the default keeps all state of a task in heap memory, which ids kept without end outgrow
         spark.conf.set(_STATE_STORE, _ROCKSDB)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if to_bytes(spark.conf.get(_SPLIT)) > _ROWS_SPLIT:
+        spark.conf.set(_SPLIT, str(_ROWS_SPLIT))
     context = spark.sparkContext
     if context.master.startswith("local"):
         spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))

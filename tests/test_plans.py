@@ -12,7 +12,7 @@ import __spark_entry__ as contract
 from campflow.operators.dedup import dedup
 from campflow.operators.topk import top_k
 from campflow.plans import gold, silver
-from campflow.session import input_bytes, shuffle_plan, sized_shuffles, work_dir
+from campflow.session import configure, input_bytes, shuffle_plan, sized_shuffles, work_dir
 from campflow.sources import testdata
 
 
@@ -133,3 +133,21 @@ def test_an_hours_channels_read_the_events_once(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir))
     # a share needs the whole twice; Spark reuses the exchange when it runs
     assert text.count("events.parquet") <= (1 if name == "hour_detail_channels" else 2)
+
+
+def test_a_task_reads_few_files_of_rows(spark):
+    """Stored interactions are many times larger as rows, so a task gets less of them than Spark would give it."""
+    key, least = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key)
+    folder = work_dir(spark, "many")
+    spark.range(0, 100, 1, 100).write.parquet(folder)
+    try:
+        spark.conf.set(least, "1")
+        spark.conf.set(key, "128m")
+        configure(spark)
+        assert spark.read.parquet(folder).rdd.getNumPartitions() >= 100 * 4 // 32
+        spark.conf.set(key, "16m")
+        assert configure(spark).conf.get(key) == "16m"
+    finally:
+        spark.conf.unset(least)
+        spark.conf.set(key, before)
