@@ -233,6 +233,18 @@ def test_pieces_encode_like_whole_texts():
         assert np.frombuffer(next(pieces.of([text.encode()])), pieces.kind).tolist() == ids, text
 
 
+def test_signs_behind_a_word_make_no_new_form():
+    """A word is known once whatever signs follow it, and the ids are those of the tokenizer."""
+    from tokenizers import Tokenizer
+
+    tokenizer, pieces = Tokenizer.from_file(tokenizer_file()), tokens.PieceIds(tokenizer_file())
+    texts = [" Woord&&& woord,*** woord.%%%\twoord. woord\n", "woord$$$ 1&& woord's&& #woord# a.&b woord&-& it's. '&s", "  \n", "", "été.## été"]
+    ids = [np.frombuffer(found, pieces.kind).tolist() for found in pieces.of([text.encode() for text in texts])]
+    assert ids == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert {form for form in pieces if "woord" in form} == {"woord", "woord's", "#woord", "woord&-&"}
+    assert list(tokens.PieceIds(tokenizer_file()).of([])) == []
+
+
 def test_pieces_of_older_generations_are_small_and_found_again(monkeypatch):
     """Forms out of use for a while take little memory, are not encoded again, and have the right ids."""
     monkeypatch.setattr(tokens, "_CACHED_FORMS", 10_000)
