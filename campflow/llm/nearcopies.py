@@ -78,21 +78,24 @@ def least_difference(one: bytes, other: bytes) -> int:
 
 
 class Counts:
-    """Which places of the map are reached by as many texts as each of ``LEVELS``."""
+    """Which places of the map are reached by as many texts as each of ``LEVELS``.
+
+    The driver has the rows as tasks packed them, and hands them on like that; they are unpacked where the map is used.
+    """
 
     def __init__(self, rows: list, places: int) -> None:
-        self.places = places
-        self._bits = np.zeros((len(LEVELS), places // 8), np.uint8)
-        for row in rows:
-            found = np.frombuffer(bytes(row.bits), np.uint8).reshape(len(LEVELS), -1)
-            self._bits[:, row.row * _MAP_ROW // 8 :][:, : _MAP_ROW // 8] = found
+        self.places, self._packed = places, [(row.row, bytes(row.bits)) for row in rows]
 
     def __getstate__(self) -> tuple:
-        return self.places, zstandard.compress(self._bits.tobytes(), 1)  # of few documents the map is nearly empty
+        return self.places, self._packed
 
     def __setstate__(self, state: tuple) -> None:
         self.places, packed = state
-        self._bits = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(len(LEVELS), -1)
+        self._bits = np.zeros((len(LEVELS), self.places // 8), np.uint8)
+        for row, bits in packed:
+            found = np.frombuffer(zstandard.decompress(bits), np.uint8).reshape(len(LEVELS), -1)
+            for k in np.flatnonzero(found.any(axis=1)):  # pages that are never written take no memory
+                self._bits[k, row * _MAP_ROW // 8 :][: _MAP_ROW // 8] = found[k]
 
     def _has(self, k: int, hashes: np.ndarray) -> np.ndarray:
         at = hashes % np.uint64(self.places)
@@ -118,13 +121,14 @@ def _reports(places: np.ndarray) -> pa.RecordBatch:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the map from reports sorted by row; one row of sums is held at a time."""
+    """Packed rows of the map from reports sorted by row; one row of sums is held at a time."""
     last, sums = None, np.zeros(_MAP_ROW, np.int64)
 
     def full() -> pa.RecordBatch:
         bits = b"".join(np.packbits(sums >= least, bitorder="little").tobytes() for least in LEVELS)
         sums[:] = 0
-        return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([bits], pa.binary())], ["row", "bits"])
+        packed = pa.array([zstandard.compress(bits, 3)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), packed], ["row", "bits"])
 
     for batch in batches:
         for row, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
@@ -137,7 +141,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingle_counts(docs: DataFrame, shingle_words: int, places: int = MAP_PLACES) -> Broadcast:
-    """The map of all shingles of ``docs``: its bits, of a fixed number, are what reaches the driver and the tasks."""
+    """The map of all shingles of ``docs``: its bits, of a fixed number, are what reaches the driver (packed) and the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from campflow.llm.common import utf8_texts
+from campflow.llm.common import giving_back, utf8_texts
 
 END_ID = 1
 #: The dictionary is trained on so many documents, drawn by a hash of doc_id over the whole table, and on so many
@@ -34,7 +34,7 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 13, 1 << 16
 _LEVEL, _BLOCK_BYTES, _BLOCK_DOCS = 3, 1 << 20, 4096
 #: So many forms are at hand in a worker, and so many times as many packed.
 _CACHED_FORMS, _PACKED = 250_000, 3
-_GROUP_BYTES = 4 << 20
+_GROUP_BYTES = 2 << 20
 #: Characters that normal forms, lower-casing or white space rules may treat together with others: all but ASCII white
 #: space and the printable characters of ASCII and Latin.
 _MOVED = re.compile("[^\\t-\\r\\x20-\\x7e\u00a1-\u012f\u0131-\u024f]")
@@ -175,7 +175,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
                 out.append(ids[at : at + SAMPLE_BYTES])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    samples = [bytes(row.ids) for row in drawn.select("text").mapInArrow(run, "ids binary").collect() if row.ids]
+    samples = [bytes(row.ids) for row in drawn.select("text").mapInArrow(giving_back(run), "ids binary").collect() if row.ids]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few to train on
@@ -234,7 +234,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
     tie = docs.withColumn("tie", F.xxhash64("text"))
     dealt = tie.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    dealt.select("doc_id", "text").mapInArrow(run, _BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
+    dealt.select("doc_id", "text").mapInArrow(giving_back(run), _BLOCK_SCHEMA).write.parquet(f"{folder}/blocks")
     sums = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = F.sum("n_ids").over(Window.orderBy("part")) - F.col("n_ids")  # a row per task of the writing
     sums.select("part", "n_ids", before.alias("base")).coalesce(1).write.parquet(f"{folder}/parts")
@@ -276,7 +276,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["part", "doc_id", "start", "n_tokens", "ids"])
 
     blocks = spark.read.parquet(f"{folder}/blocks").select("part", "doc_ids", "starts", "n_tokens", "offsets", "dict_hash", "payload")
-    rows = blocks.mapInArrow(run, "part int, doc_id long, start long, n_tokens long, ids binary")
+    rows = blocks.mapInArrow(giving_back(run), "part int, doc_id long, start long, n_tokens long, ids binary")
     parts = spark.read.parquet(f"{folder}/parts").select("part", "base")
     return rows.join(parts, "part").select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
 

@@ -632,6 +632,23 @@ def test_near_copies_with_a_crowded_map(spark):
         assert {r.doc_id: r.component_id for r in nearcopies.similar_groups(docs, map_places=places).collect()} == root
 
 
+def test_map_of_counts_is_packed_until_it_is_used():
+    """Its bits come to the driver packed and stay so; a task that gets the map has all places of all levels."""
+    import pickle
+
+    place = nearcopies.MAP_PLACES - 3
+    reports = [nearcopies._reports(np.array([5] * times + [place] * (times > 20), np.int32)) for times in (1, 1, 14, 300, 900)]
+    rows = pa.Table.from_batches(reports).sort_by("row").to_batches()
+    packed = [type("Row", (), row) for batch in nearcopies._summed(iter(rows)) for row in batch.to_pylist()]
+    assert sum(len(row.bits) for row in packed) < 1000
+    counts = nearcopies.Counts(packed, nearcopies.MAP_PLACES)
+    state = pickle.dumps(counts)
+    assert len(state) < 2000 and not any(isinstance(v, np.ndarray) for v in vars(counts).values())
+    there, hashes = pickle.loads(state), np.array([5, 6, place, 5 + nearcopies.MAP_PLACES], np.uint64)
+    assert there.twice(hashes).tolist() == [True, False, True, True]
+    assert there.level(hashes).tolist() == [2, 0, 0, 2]  # a report counts a place 255 times at most
+
+
 def test_bitmaps_never_differ_more_than_the_sets():
     dice = np.random.default_rng(3)
     for size in (1, 5, 64, 300, 5_000):
