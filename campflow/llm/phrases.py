@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campflow.llm.common import stage, utf8_texts
+from campflow.llm.common import bounded_batches, giving_back, stage, utf8_texts
 
 #: Fixed: what ends a piece; phrases do not reach over it.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -119,7 +119,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     yield from counted()
         yield from counted()
 
-    rows = texts.mapInArrow(run, "lang string, phrase string, a long")
+    rows = texts.mapInArrow(giving_back(run), "lang string, phrase string, a long")
     return rows.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
@@ -291,6 +291,7 @@ def phrase_counts(texts: DataFrame, support: int, longest: int = MAX_WORDS, map_
     its words joined by spaces. Every language is mined on its own.
     """
     context = texts.sparkSession.sparkContext
+    bounded_batches(texts.sparkSession)  # a row of reports has the places of thousands of phrases
     words = stage(word_counts(texts), "words")
     totals = {row.lang: row.n for row in words.groupBy("lang").agg(F.sum("a").alias("n")).collect()}
     often = stage(words.filter(F.col("a") >= support), "frequent_words")
@@ -313,11 +314,11 @@ def phrase_counts(texts: DataFrame, support: int, longest: int = MAX_WORDS, map_
             over = np.concatenate([f.counts - (least - 1) for f in mined] or [np.zeros(0, np.int64)])
             yield _report(numbers[lang], least - 1, places, over)
 
-    reports = stage(dealt.mapInArrow(local, "lang int, spare long, row int, places binary, over binary"), "local_phrases")
+    reports = stage(dealt.mapInArrow(giving_back(local), "lang int, spare long, row int, places binary, over binary"), "local_phrases")
     spare = {row.lang: row.n for row in reports.groupBy("lang").agg(F.sum("spare").alias("n")).collect()}  # a row per language
     wanted = {lang: support - n for lang, n in spare.items()}
     by_row = reports.filter("places IS NOT NULL").repartition("row").sortWithinPartitions("row", "lang")
-    rows = by_row.select("row", "lang", "places", "over").mapInArrow(lambda batches: _united(batches, wanted), "row int, bits binary")
+    rows = by_row.select("row", "lang", "places", "over").mapInArrow(giving_back(lambda batches: _united(batches, wanted)), "row int, bits binary")
     united = context.broadcast(BitMap(rows.collect(), map_bits))  # a bit per place
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +335,7 @@ def phrase_counts(texts: DataFrame, support: int, longest: int = MAX_WORDS, map_
                         ["lang", "phrase", "words", "a"],
                     )
 
-    rows = dealt.mapInArrow(counted, "lang string, phrase string, words int, a long")
+    rows = dealt.mapInArrow(giving_back(counted), "lang string, phrase string, words int, a long")
     sums = rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= support)
     out = stage(sums.unionByName(often.select("lang", "phrase", F.lit(1).alias("words"), "a")), "phrases")
     for held in (frequent, united):

@@ -106,3 +106,15 @@ def test_bits_of_the_map(spark):
     everywhere = held.has(np.arange(1 << 17, dtype=np.uint64))
     assert set(np.flatnonzero(everywhere).tolist()) == {row.place for row in places.collect()}
     assert held.has_one((1 << 17) - 1) and held.has_one(1 << 17) == bool(everywhere[0])
+
+
+def test_workers_get_reports_in_small_batches(spark, rows):
+    """A row of reports has the places of thousands of phrases, so Spark's 10,000 rows a batch would be too many."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        assert found(phrases.collocations(frame(spark, rows), 5)) == brute([(t, lang) for t, lang in rows], 5)
+        assert int(spark.conf.get(name)) <= 512
+    finally:
+        spark.conf.set(name, before)
